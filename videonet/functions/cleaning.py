@@ -13,7 +13,10 @@ FIRST_UPLOAD_DAY = "2005-02-15"
 UNKNOWN = "unknown"
 
 # Unicode white space plus the four ASCII separators, which count as blank too.
-_BLANK = r"[\s\x1c-\x1f]"
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 _INTEGER = r"^[+-]?\d+(_\d+)*$"
 _FLOAT = (
     r"(?i)^[+-]?((\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)(e[+-]?\d+(_\d+)*)?"
@@ -23,7 +26,7 @@ _LONG_MAX = 9223372036854775807
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"(?U)^{_BLANK}+|{_BLANK}+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def split_line(line: Column) -> Column:

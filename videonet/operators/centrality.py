@@ -18,7 +18,7 @@ from videonet.operators.graph import (
 from videonet.operators.sampling import sample_n
 from videonet.operators.search import check_limit
 from videonet.operators.skew import ROWS_PER_SLICE
-from videonet.session import cut_lineage
+from videonet.session import cut_lineage, fixed_layout
 
 
 def top_degree_subgraph(edges: DataFrame, k: int = 100) -> DataFrame:
@@ -59,7 +59,7 @@ def shortest_paths(
     )
     seen = frontier.select("pivot", "id")
     levels = [frontier]
-    with MessageRoutes(links, rows_per_slice) as routes:
+    with MessageRoutes(links, rows_per_slice) as routes, fixed_layout(edges.sparkSession):
         while True:
             reached = (
                 routes.send(frontier)
@@ -101,7 +101,7 @@ def betweenness(
     # Backwards: a vertex passes (1 + delta) / sigma to its predecessors, one level up.
     links = edges.select(F.col("dst").alias("sender"), F.col("src").alias("receiver"))
     parts: list[DataFrame] = []
-    with MessageRoutes(links, rows_per_slice) as routes:
+    with MessageRoutes(links, rows_per_slice) as routes, fixed_layout(edges.sparkSession):
         below = paths.levels[-1].withColumn("delta", F.lit(0.0))
         for level in reversed(paths.levels[:-1]):
             share = ((F.lit(1.0) + F.col("delta")) / F.col("sigma")).alias("share")

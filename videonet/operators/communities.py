@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from videonet.functions.labels import community_size_class
 from videonet.operators.graph import MessageRoutes, enrich_metadata, weighted_edges
 from videonet.operators.skew import ROWS_PER_SLICE
-from videonet.session import cut_lineage
+from videonet.session import cut_lineage, fixed_layout
 
 ROUNDS_PER_CHECKPOINT = 3
 
@@ -33,7 +33,7 @@ def label_propagation(
     # Every vertex sends along at least one edge.
     ids = votes.select(F.col("sender").alias("id")).distinct()
     state = ids.withColumn("label", F.col("id"))
-    with MessageRoutes(votes, rows_per_slice) as routes:
+    with MessageRoutes(votes, rows_per_slice) as routes, fixed_layout(edges.sparkSession):
         for step in range(1, max_iter + 1):
             counts = (
                 routes.send(state)

@@ -16,7 +16,7 @@ from videonet.operators.graph import (
 from videonet.operators.ranks import cumulative_counts, group_quantiles
 from videonet.operators.search import check_limit, latest_snapshot
 from videonet.operators.skew import ROWS_PER_SLICE, sliced_join
-from videonet.session import cut_lineage
+from videonet.session import cut_lineage, fixed_layout
 
 ROUNDS_PER_CHECKPOINT = 5
 
@@ -71,7 +71,7 @@ def pagerank(
     links, vertices = _layout(weighted)
     vertices = vertices.persist()
     state = vertices.withColumn("rank", F.lit(1.0))
-    with MessageRoutes(links, rows_per_slice) as routes:
+    with MessageRoutes(links, rows_per_slice) as routes, fixed_layout(edges.sparkSession):
         for step in range(1, max_iter + 1):
             before = state
             state = _round(routes, state, vertices).select(
@@ -113,7 +113,7 @@ def pagerank_normalized(
     n = vertices.count()
     state = vertices.withColumn("rank", F.lit(1.0 / max(n, 1)))
     done = n == 0
-    with MessageRoutes(links, rows_per_slice) as routes:
+    with MessageRoutes(links, rows_per_slice) as routes, fixed_layout(edges.sparkSession):
         for _ in range(max_iter):
             if done:
                 break

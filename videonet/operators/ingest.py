@@ -16,10 +16,13 @@ CRAWL_UNKNOWN = "unknown"
 
 
 def split_lines(lines: DataFrame) -> DataFrame:
-    """Drop blank lines and add the fields."""
-    return lines.filter(cleaning.strip(F.col("value")) != "").withColumn(
-        "fields", cleaning.split_line(F.col("value"))
-    )
+    """Drop blank lines and add the fields.
+
+    The one-row inline makes Spark split each line once; as a plain column the
+    split would be repeated in every later expression that reads a field.
+    """
+    once = F.array(F.struct(cleaning.split_line(F.col("value")).alias("fields")))
+    return lines.filter(cleaning.strip(F.col("value")) != "").select("*", F.inline(once))
 
 
 def classify_malformed(lines: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from videonet.operators.degree import degree_table, vertex_set
 from videonet.operators.graph import MessageRoutes, enrich_metadata, simple_edges
 from videonet.operators.skew import ROWS_PER_SLICE, sliced_join
-from videonet.session import cut_lineage
+from videonet.session import cut_lineage, fixed_layout
 
 
 def _star(neighbours: DataFrame, rows_per_slice: int) -> DataFrame:
@@ -78,7 +78,7 @@ def _reached(edges: DataFrame, start: str, rows_per_slice: int) -> int:
     frontier = spark.range(1).select(F.lit(start).alias("id"))
     seen = frontier
     count = 1
-    with MessageRoutes(edges, rows_per_slice) as routes:
+    with MessageRoutes(edges, rows_per_slice) as routes, fixed_layout(spark):
         while True:
             nexts = routes.send(frontier).select(F.col("receiver").alias("id")).distinct()
             frontier = cut_lineage(nexts.join(seen, "id", "left_anti"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,3 +54,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@contextmanager
+def fixed_layout(spark: SparkSession):
+    """Run rounds of a loop without adaptive re-planning.
+
+    The loops lay their edges out once and cut hot vertices themselves, so
+    planning every small stage anew only adds time to each round.
+    """
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
