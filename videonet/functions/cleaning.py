@@ -39,17 +39,24 @@ def is_video_id(text: Column) -> Column:
 
 
 def to_long(text: Column) -> Column:
-    """Integer value or 0. Values beyond 64 bits become the nearest 64-bit value."""
+    """Integer value or 0. Values beyond 64 bits become the nearest 64-bit value.
+
+    The plain cast settles nearly all values; the pattern is tried only where it fails.
+    """
     bare = strip(text)
-    number = F.replace(bare, F.lit("_"), F.lit("")).try_cast("bigint")
+    grouped = F.replace(bare, F.lit("_"), F.lit("")).try_cast("bigint")
     too_big = F.when(bare.startswith("-"), F.lit(-_LONG_MAX)).otherwise(F.lit(_LONG_MAX))
-    return F.when(bare.rlike(_INTEGER), F.coalesce(number, too_big)).otherwise(F.lit(0))
+    rare = F.when(bare.rlike(_INTEGER), F.coalesce(grouped, too_big))
+    return F.coalesce(bare.try_cast("bigint"), rare, F.lit(0).cast("bigint"))
 
 
 def to_double(text: Column) -> Column:
+    """Floating value or 0; letters need the full pattern, as casts take more than it does."""
     bare = strip(text)
-    number = F.replace(bare, F.lit("_"), F.lit("")).try_cast("double")
-    return F.when(bare.rlike(_FLOAT), F.coalesce(number, F.lit(0.0))).otherwise(F.lit(0.0))
+    grouped = F.replace(bare, F.lit("_"), F.lit("")).try_cast("double")
+    rare = F.when(bare.rlike(_FLOAT), grouped)
+    plain = F.when(bare.rlike("[A-Za-z_]"), rare).otherwise(bare.try_cast("double"))
+    return F.coalesce(plain, F.lit(0.0))
 
 
 def at_least_zero(number: Column) -> Column:

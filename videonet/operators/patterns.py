@@ -69,12 +69,13 @@ def path_matches(
     vertex the number of ways to finish the path is counted backwards, up to
     max_results. Going forward, a partial path takes only as many next edges as
     the paths before it leave room for, so at most max_results rows exist.
+    Parallel edges travel as one row with a number of copies.
     """
     limit = check_limit(max_results)
     if hops < 1:
         raise ValueError("a path needs at least one edge")
     allowed = allowed or {}
-    base = edges.select("src", "dst").filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    base = weighted_edges(edges)
 
     def only(rows: DataFrame, column: str, position: int) -> DataFrame:
         if position not in allowed:
@@ -82,6 +83,9 @@ def path_matches(
         ids = allowed[position].select(F.col("id").alias(column))
         return rows.join(ids, column, "left_semi")
 
+    def up_to_limit(count):
+        return F.least(count, F.lit(limit).cast("bigint"))
+
     steps: list[DataFrame] = []
     ways: DataFrame | None = None
     for hop in reversed(range(hops)):
@@ -94,12 +98,17 @@ def path_matches(
             step = sliced_join(step, ways, "dst", by=["src"])
         steps.insert(0, step)
         if hop > 0:
-            total = F.least(F.sum("ways"), F.lit(limit).cast("bigint"))
+            total = up_to_limit(F.sum(up_to_limit(F.col("weight") * F.col("ways"))))
             ways = step.groupBy(F.col("src").alias("dst")).agg(total.alias("ways"))
 
     paths = (
         steps[0]
-        .select(F.col("src").alias("v0"), F.col("dst").alias("v1"), "ways")
+        .select(
+            F.col("src").alias("v0"),
+            F.col("dst").alias("v1"),
+            up_to_limit(F.col("weight")).alias("copies"),
+            "ways",
+        )
         .orderBy("v0", "v1")
         .limit(limit)
     )
@@ -107,8 +116,8 @@ def path_matches(
         names = [f"v{i}" for i in range(hop + 1)]
         # These windows run over at most max_results rows.
         before = Window.partitionBy().orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
-        room = F.lit(limit) - F.coalesce(F.sum("ways").over(before), F.lit(0))
-        paths = paths.withColumn("room", room).filter(F.col("room") > 0).drop("ways")
+        taken = F.coalesce(F.sum(F.col("copies") * F.col("ways")).over(before), F.lit(0))
+        paths = paths.withColumn("room", F.lit(limit) - taken).filter(F.col("room") > 0)
         last = names[-1]
         # At most max_results ids.
         ends = paths.select(F.col(last).alias("src")).distinct()
@@ -118,16 +127,22 @@ def path_matches(
             .join(F.broadcast(ends), "src", "left_semi")
             .withColumn("place", F.row_number().over(order))
             .filter(F.col("place") <= limit)
-            .select(F.col("src").alias(last), F.col("dst").alias(f"v{hop + 1}"), "ways", "place")
+            .select(F.col("src").alias(last), F.col("dst").alias(f"v{hop + 1}"), "weight",
+                    "ways", "place")
         )
+        names.append(f"v{hop + 1}")
         paths = (
-            paths.join(nexts, last)
+            paths.drop("ways")
+            .join(nexts, last)
             .filter(F.col("place") <= F.col("room"))
-            .select(*names, f"v{hop + 1}", "ways")
-            .orderBy(*names, f"v{hop + 1}")
+            .withColumn("copies", up_to_limit(F.col("copies") * F.col("weight")))
+            .select(*names, "copies", "ways")
+            .orderBy(*names)
             .limit(limit)
         )
-    return paths.drop("ways")
+    names = [f"v{i}" for i in range(hops + 1)]
+    copy = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
+    return paths.select(*names, copy.alias("copy")).orderBy(*names).limit(limit).select(*names)
 
 
 def chains(

@@ -6,6 +6,8 @@ that depends on the order of the rows. Rows with equal keys share their fate.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,9 +32,10 @@ def sample_fraction(df: DataFrame, fraction: float, key: list[str], seed: int) -
 
 def sample_up_to(df: DataFrame, size: int, key: list[str], seed: int) -> DataFrame:
     """About `size` rows: a fraction size / total, or the whole frame if it is smaller."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    position = F.conv(F.substring(sample_hash(key, seed), 1, 12), 16, 10).cast("bigint")
-    return df.filter(position * total < F.lit(size) * F.lit(16**12).cast("decimal(20,0)"))
+    # Decimals: the product of a 48-bit position and a row count exceeds 64 bits.
+    total = df.agg(F.count(F.lit(1)).cast("decimal(20,0)")).scalar()
+    position = F.conv(F.substring(sample_hash(key, seed), 1, 12), 16, 10).cast("decimal(15,0)")
+    return df.filter(position * total < F.lit(Decimal(size * 16**12)))
 
 
 def sample_limit(df: DataFrame, n: int, key: list[str], seed: int = 0) -> DataFrame:
