@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -13,10 +14,9 @@ from videonet.operators.skew import (
     SLICE,
     copy_to_slices,
     hot_slices,
-    sliced_join,
     spread_rows,
 )
-from videonet.session import shuffle_partitions
+from videonet.session import fixed_layout
 
 UNKNOWN = "Unknown"
 
@@ -114,10 +114,8 @@ def enrich_metadata(
     )
 
 
-def lookup_by_source(edges: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """edges JOIN table on src or dst, the edges of hub videos spread over slices."""
-    other = "dst" if key == "src" else "src"
-    return sliced_join(edges, table, key, by=[other])
+# Edges that one task of a round handles.
+EDGES_PER_PARTITION = 2_000_000
 
 
 class MessageRoutes:
@@ -125,14 +123,20 @@ class MessageRoutes:
 
     The edges (sender, receiver, ...) stay cached, hash-partitioned by sender.
     Senders with very many edges are cut into slices, and their state is copied
-    to each slice, so no task holds all edges of a hub.
+    to each slice, so no task holds all edges of a hub. Inside the `with` block
+    all shuffles use the same number of partitions, chosen by the number of edges.
     """
 
     def __init__(self, edges: DataFrame, rows_per_slice: int = ROWS_PER_SLICE):
-        partitions = shuffle_partitions(edges.sparkSession)
-        counts = edges.groupBy("sender").agg(F.count(F.lit(1)).alias("n"))
+        spark = edges.sparkSession
+        counts = edges.groupBy("sender").agg(F.count(F.lit(1)).alias("n")).persist()
+        total = counts.agg(F.sum("n")).first()[0] or 0
+        partitions = max(
+            spark.sparkContext.defaultParallelism, math.ceil(total / EDGES_PER_PARTITION)
+        )
         hot = hot_slices(counts, "sender", rows_per_slice=rows_per_slice).persist()
         self._hot = None if hot.isEmpty() else hot
+        counts.unpersist()
         self._keys = ["sender"]
         if self._hot is not None:
             self._keys = ["sender", SLICE]
@@ -140,6 +144,7 @@ class MessageRoutes:
         self.edges = (
             edges.repartition(partitions, *self._keys).sortWithinPartitions(*self._keys).persist()
         )
+        self._layout = fixed_layout(spark, partitions)
 
     def send(self, state: DataFrame) -> DataFrame:
         """Edges joined with the state (id, ...) of their sender."""
@@ -148,13 +153,12 @@ class MessageRoutes:
             out = copy_to_slices(out, self._hot, "sender")
         return self.edges.join(out, self._keys).drop(SLICE)
 
-    def close(self) -> None:
-        self.edges.unpersist()
-        if self._hot is not None:
-            self._hot.unpersist()
-
     def __enter__(self) -> MessageRoutes:
+        self._layout.__enter__()
         return self
 
-    def __exit__(self, *_) -> None:
-        self.close()
+    def __exit__(self, *error) -> None:
+        self._layout.__exit__(*error)
+        self.edges.unpersist()
+        if self._hot is not None:
+            self._hot.unpersist()

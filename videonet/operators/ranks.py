@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from videonet.session import cut_lineage, shuffle_partitions
+from videonet.session import cut_lineage
 
 
 def cumulative_counts(df: DataFrame, value: str, by: str | None = None) -> DataFrame:
@@ -19,9 +19,7 @@ def cumulative_counts(df: DataFrame, value: str, by: str | None = None) -> DataF
     keys = [by] if by else []
     distinct = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("num_rows"))
     ranges = cut_lineage(
-        distinct.repartitionByRange(
-            shuffle_partitions(df.sparkSession), *keys, value
-        ).withColumn("range", F.spark_partition_id())
+        distinct.repartitionByRange(*keys, value).withColumn("range", F.spark_partition_id())
     )
     totals = ranges.groupBy(*keys, "range").agg(F.sum("num_rows").alias("range_rows"))
     before = Window.partitionBy(*keys).orderBy("range").rowsBetween(

@@ -8,22 +8,29 @@ from pyspark.sql import functions as F
 from videonet.operators.degree import degree_table, vertex_set
 from videonet.operators.graph import MessageRoutes, enrich_metadata, simple_edges
 from videonet.operators.skew import ROWS_PER_SLICE, sliced_join
-from videonet.session import cut_lineage, fixed_layout
+from videonet.session import cut_lineage
 
 
-def _star(neighbours: DataFrame, rows_per_slice: int) -> DataFrame:
-    """Neighbour rows (u, v) with m, the smallest id among u and its neighbours."""
-    centres = neighbours.groupBy("u").agg(
-        F.min("v").alias("low"), F.count(F.lit(1)).alias("n")
-    )
-    return sliced_join(
-        neighbours,
-        centres.select("u", F.least("u", "low").alias("m")),
-        "u",
-        by=["v"],
-        counts=centres.select("u", "n"),
-        rows_per_slice=rows_per_slice,
+def _rewire(neighbours: DataFrame, rows_per_slice: int, emit) -> DataFrame:
+    """Distinct links emitted from the rows (u, v, m), m the smallest of u and its neighbours.
+
+    The centres are counted once; only if some vertex has very many neighbours
+    does the join cut it into slices.
+    """
+    centres = (
+        neighbours.groupBy("u")
+        .agg(F.min("v").alias("low"), F.count(F.lit(1)).alias("n"))
+        .persist()
     )
+    lows = centres.select("u", F.least("u", "low").alias("m"))
+    if (centres.agg(F.max("n")).first()[0] or 0) > rows_per_slice:
+        counts = centres.select("u", "n")
+        rows = sliced_join(neighbours, lows, "u", ["v"], counts, rows_per_slice=rows_per_slice)
+    else:
+        rows = neighbours.join(lows, "u")
+    links = cut_lineage(emit(rows).distinct())
+    centres.unpersist()
+    return links
 
 
 def weak_components(edges: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
@@ -50,14 +57,17 @@ def weak_components(edges: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> D
     mark = fingerprint(links)
     while True:
         # Larger neighbours move to the smallest neighbour.
-        both = links.select(F.expr("stack(2, u, v, v, u) AS (u, v)"))
-        large = _star(both, rows_per_slice).filter(F.col("v") > F.col("u"))
-        links = cut_lineage(large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        links = _rewire(
+            links.select(F.expr("stack(2, u, v, v, u) AS (u, v)")),
+            rows_per_slice,
+            lambda rows: rows.filter("v > u").selectExpr("v AS u", "m AS v"),
+        )
         # A vertex and its smaller neighbours move to the smallest of them.
-        small = _star(links, rows_per_slice).select(
-            F.expr("stack(2, v, m, u, m) AS (u, v)")
+        links = _rewire(
+            links,
+            rows_per_slice,
+            lambda rows: rows.selectExpr("stack(2, v, m, u, m) AS (u, v)").filter("u <> v"),
         )
-        links = cut_lineage(small.filter(F.col("u") != F.col("v")).distinct())
         now = fingerprint(links)
         if now == mark:
             break
@@ -78,7 +88,7 @@ def _reached(edges: DataFrame, start: str, rows_per_slice: int) -> int:
     frontier = spark.range(1).select(F.lit(start).alias("id"))
     seen = frontier
     count = 1
-    with MessageRoutes(edges, rows_per_slice) as routes, fixed_layout(spark):
+    with MessageRoutes(edges, rows_per_slice) as routes:
         while True:
             nexts = routes.send(frontier).select(F.col("receiver").alias("id")).distinct()
             frontier = cut_lineage(nexts.join(seen, "id", "left_anti"))

@@ -12,7 +12,7 @@ from videonet.operators import categories, degree, ingest, sampling, search
 from videonet.operators.graph import build_graph
 from videonet.operators.influence import influence_report, pagerank
 from videonet.operators.patterns import motif_edge
-from videonet.session import build_session, cut_lineage
+from videonet.session import build_session, cut_lineage, write_through
 from videonet.sources import crawl_files, sinks
 from videonet.sources.catalog import Catalog
 
@@ -69,7 +69,9 @@ def degree_job(catalog: Catalog, save: bool = True) -> dict[str, DataFrame]:
     return {**results, **by_category}
 
 
-def store_records(catalog: Catalog, records: DataFrame, logs: DataFrame, force: bool) -> None:
+def store_records(
+    catalog: Catalog, records: DataFrame, logs: DataFrame, crawl_ids: list[str], force: bool
+) -> None:
     """Write deduplicated records and register their crawls, which makes them visible.
 
     Registered crawls keep their stored records and gain the new ones. Edges
@@ -81,18 +83,23 @@ def store_records(catalog: Catalog, records: DataFrame, logs: DataFrame, force:
     version = catalog.videos_version()
     edges = None
     if crawls is not None:
-        registered = crawls.select(F.col("id").alias("crawl_id"))
-        touched = logs.select("crawl_id").join(registered, "crawl_id", "left_semi")
-        old_snapshots = catalog.load_table("video_snapshots").join(touched, "crawl_id", "left_semi")
-        old_edges = catalog.load_table("edges").join(touched, "crawl_id", "left_semi")
+        # Ids of this run's crawls only; as literals they select the partitions to read.
+        again = crawls.filter(F.col("id").isin(crawl_ids)).select("id").collect()
+        touched = F.col("crawl_id").isin([row.id for row in again])
+        old_snapshots = catalog.load_table("video_snapshots").filter(touched)
+        old_edges = catalog.load_table("edges").filter(touched)
         known = old_snapshots.select("crawl_id", "video_id")
-        records = cut_lineage(records.join(known, ["crawl_id", "video_id"], "left_anti"))
+        records = write_through(
+            records.join(known, ["crawl_id", "video_id"], "left_anti"), "new-records"
+        )
         kept = old_edges.join(
             known.withColumnRenamed("video_id", "src"), ["crawl_id", "src"], "left_semi"
         )
         # Both tables are read before their partitions are replaced.
-        edges = cut_lineage(kept.unionByName(ingest.explode_edges(records)))
-        snapshots = cut_lineage(old_snapshots.unionByName(ingest.project_snapshots(records)))
+        edges = write_through(kept.unionByName(ingest.explode_edges(records)), "edges")
+        snapshots = write_through(
+            old_snapshots.unionByName(ingest.project_snapshots(records)), "snapshots"
+        )
         old_videos = catalog.load_table("videos")
     else:
         edges = ingest.explode_edges(records)
@@ -137,11 +144,11 @@ def ingest_crawls(
     if not crawl_ids:
         return None
     lines = crawl_files.read_raw_crawl(spark, raw_dir, crawl_ids)
-    records = cut_lineage(ingest.dedupe_in_crawl(ingest.typed_records(lines)))
+    records = write_through(ingest.dedupe_in_crawl(ingest.typed_records(lines)), "records")
     rejects = ingest.rejected_lines(lines)
     sinks.write_entities(rejects, catalog.path("rejected_lines"), replace_all=force)
     logs = cut_lineage(crawl_files.read_crawl_log(spark, raw_dir, crawl_ids))
-    store_records(catalog, records, logs, force)
+    store_records(catalog, records, logs, crawl_ids, force)
     stored = catalog.load_table("rejected_lines").filter(F.col("crawl_id").isin(crawl_ids))
     return ingest.ingest_stats(records, stored)
 

@@ -16,6 +16,9 @@ SESSION_DEFAULTS = {
     # Split a skewed join even where the split costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.checkpoint.compress": "true",
+    # Loops leave one checkpoint per few rounds; drop those no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -52,21 +55,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def write_through(df: DataFrame, name: str) -> DataFrame:
+    """A frame stored as a table in the shared folder, for several reads of some columns each."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
-def fixed_layout(spark: SparkSession):
-    """Run rounds of a loop without adaptive re-planning.
+def fixed_layout(spark: SparkSession, partitions: int):
+    """Run the rounds of a loop with one number of partitions and no re-planning.
 
-    The loops lay their edges out once and cut hot vertices themselves, so
-    planning every small stage anew only adds time to each round.
+    The loops lay their edges out once, by size, and cut hot vertices
+    themselves, so planning every small stage anew only adds time to each round.
     """
-    key = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": str(partitions),
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from videonet.operators import ingest
 from videonet.plans.jobs import store_records
-from videonet.session import cut_lineage
+from videonet.session import cut_lineage, write_through
 from videonet.sources import crawl_files
 from videonet.sources.catalog import Catalog
 
@@ -48,7 +48,7 @@ def store_batch(batch: DataFrame, raw_dir: str, base: str) -> None:
         return
     logs = cut_lineage(crawl_files.read_crawl_log(spark, raw_dir, crawl_ids))
     data = crawl_files.only_data_files(lines, logs.select("crawl_id", "log_file"))
-    records = cut_lineage(ingest.dedupe_in_crawl(ingest.typed_records(data)))
+    records = write_through(ingest.dedupe_in_crawl(ingest.typed_records(data)), "records")
     rejects = ingest.rejected_lines(data)
     # One directory per crawl and file, so files of a later batch are kept.
     (
@@ -57,4 +57,4 @@ def store_batch(batch: DataFrame, raw_dir: str, base: str) -> None:
         .partitionBy("crawl_id", "file_name")
         .parquet(catalog.path("rejected_lines_by_file"))
     )
-    store_records(catalog, records, logs, force=False)
+    store_records(catalog, records, logs, crawl_ids, force=False)
