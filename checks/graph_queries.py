@@ -17,7 +17,6 @@ from videonet.operators import (
     influence,
     patterns,
     sampling,
-    search,
     structure,
 )
 from videonet.plans import jobs
@@ -639,7 +638,8 @@ EDGE_HASH = "md5('{seed}|' || src || '|' || dst || '|' || crawl_id)"
 
 
 @query("sample_fraction", f"""
-SELECT crawl_id, src, dst FROM edges WHERE substring({EDGE_HASH.format(seed=7)}, 1, 12) < '{int(0.25 * 16**12):012x}'""")
+SELECT crawl_id, src, dst FROM edges
+WHERE substring({EDGE_HASH.format(seed=7)}, 1, 12) < '{int(0.25 * 16**12):012x}'""")
 def sample_fraction(d):
     return sampling.sample_fraction(d.edges, 0.25, sampling.EDGE_KEY, 7)
 
@@ -674,7 +674,7 @@ members AS MATERIALIZED (
 SELECT crawl_id, src, dst FROM near WHERE src IN (SELECT id FROM members)
   AND dst IN (SELECT id FROM members)""")
 def hub_subgraph(d):
-    return sampling.hub_subgraph(d.edges, d.videos, 100)
+    return sampling.hub_subgraph(d.edges, 100)
 
 
 @query("top_connected_subgraph", f"""

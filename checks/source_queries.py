@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import Data, query
 from videonet.functions import cleaning
-from videonet.operators import categories, degree, ingest, search
+from videonet.operators import categories, degree, ingest
 from videonet.plans.jobs import ingest_crawls
 from videonet.session import scratch_path
 from videonet.sources import catalog, crawl_files, sinks

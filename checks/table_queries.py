@@ -204,12 +204,14 @@ def category_share(d):
     return rounded(categories.category_share(d.videos, 4), "pct_of_shown", "pct_of_all")
 
 
-@query("length_buckets", f"SELECT {LENGTH_CASE} AS length_bucket, count(*) AS num_videos FROM videos GROUP BY 1")
+@query("length_buckets", f"""
+SELECT {LENGTH_CASE} AS length_bucket, count(*) AS num_videos FROM videos GROUP BY 1""")
 def length_buckets(d):
     return categories.length_buckets(d.videos)
 
 
-@query("view_buckets", f"SELECT {VIEW_CASE} AS view_bucket, count(*) AS num_videos FROM video_snapshots GROUP BY 1")
+@query("view_buckets", f"""
+SELECT {VIEW_CASE} AS view_bucket, count(*) AS num_videos FROM video_snapshots GROUP BY 1""")
 def view_buckets(d):
     return categories.view_buckets(d.snapshots)
 

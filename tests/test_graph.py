@@ -128,7 +128,7 @@ def test_percentiles_and_quartiles_with_many_equal_scores(spark):
     got = {r.id: r.percentile for r in influence.pagerank_percentile(ranks, rows_per_slice=4).collect()}
     want = {i: sum(s < score for s in scores) / (len(scores) - 1) for i, score in rows}
     assert got == pytest.approx(want)
-    videos = spark.createDataFrame([(i, "x", "u") for i, _ in rows], "id string, category string, uploader string")
+    videos = spark.createDataFrame([(i, "x") for i, _ in rows], "id string, category string")
     row = influence.pagerank_quartiles(ranks, videos).first()
     assert (row.num_rows, row.min_rank, row.q1, row.median_rank, row.q3, row.max_rank) == (
         30, 1.0, 1.0, 1.0, 2.75, 8.0

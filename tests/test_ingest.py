@@ -2,10 +2,8 @@
 
 import datetime
 import os
-import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from videonet.operators import ingest
 from videonet.plans.jobs import ingest_crawls

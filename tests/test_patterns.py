@@ -118,7 +118,7 @@ def test_samples_do_not_depend_on_the_layout(spark):
 
 def test_hub_subgraph_is_bounded(spark):
     edges = edge_frame(spark, HUBS)
-    got = sampling.hub_subgraph(edges, None, 10).collect()
+    got = sampling.hub_subgraph(edges, 10).collect()
     assert len({v for r in got for v in (r.src, r.dst)}) <= 10
     empty = edges.filter(F.lit(False))
-    assert sampling.hub_subgraph(empty, None, 10).count() == 0
+    assert sampling.hub_subgraph(empty, 10).count() == 0

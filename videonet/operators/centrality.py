@@ -23,7 +23,8 @@ from videonet.session import cut_lineage
 
 def top_degree_subgraph(edges: DataFrame, k: int = 100) -> DataFrame:
     """Distinct edges between the k videos of highest total degree."""
-    top = top_by_degree(degree_table(edges), check_limit(k)).select("id")
+    # k rows, looked up for both ends: stored once.
+    top = cut_lineage(top_by_degree(degree_table(edges), check_limit(k)).select("id"))
     return simple_edges(induced_edges(edges, top))
 
 

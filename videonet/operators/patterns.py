@@ -53,8 +53,8 @@ def motif_edge(
     )
     ends = vertices.select(F.col("id").alias("dst"), F.struct("id", *columns).alias("b"))
     edge = F.struct(*edges.columns).alias("e")
-    rows = edges.select("src", "dst", edge).join(starts, "src").join(ends, "dst")
-    return rows.select("a", "e", "b")
+    rows = sliced_join(edges.select("src", "dst", edge), starts, "src", by=["dst"])
+    return sliced_join(rows, ends, "dst", by=["src"]).select("a", "e", "b")
 
 
 def path_matches(
@@ -76,6 +76,8 @@ def path_matches(
         raise ValueError("a path needs at least one edge")
     allowed = allowed or {}
     base = weighted_edges(edges)
+    # Sizes before any restriction: an upper bound that all hops share.
+    counts = base.groupBy("dst").agg(F.count(F.lit(1)).alias("n"))
 
     def only(rows: DataFrame, column: str, position: int) -> DataFrame:
         if position not in allowed:
@@ -95,7 +97,7 @@ def path_matches(
         if ways is None:
             step = step.withColumn("ways", F.lit(1).cast("bigint"))
         else:
-            step = sliced_join(step, ways, "dst", by=["src"])
+            step = sliced_join(step, ways, "dst", by=["src"], counts=counts)
         steps.insert(0, step)
         if hop > 0:
             total = up_to_limit(F.sum(up_to_limit(F.col("weight") * F.col("ways"))))
@@ -117,7 +119,10 @@ def path_matches(
         # These windows run over at most max_results rows.
         before = Window.partitionBy().orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
         taken = F.coalesce(F.sum(F.col("copies") * F.col("ways")).over(before), F.lit(0))
-        paths = paths.withColumn("room", F.lit(limit) - taken).filter(F.col("room") > 0)
+        # Few rows, needed twice below: stored instead of computed twice.
+        paths = cut_lineage(
+            paths.withColumn("room", F.lit(limit) - taken).filter(F.col("room") > 0)
+        )
         last = names[-1]
         # At most max_results ids.
         ends = paths.select(F.col(last).alias("src")).distinct()
@@ -216,7 +221,7 @@ def common_recommendations(
     # This window runs over at most max_results targets.
     before = Window.partitionBy().orderBy("dst").rowsBetween(Window.unboundedPreceding, -1)
     first = first.withColumn("start", F.coalesce(F.sum(pairs).over(before), F.lit(0)))
-    first = first.filter(F.col("start") < limit)
+    first = cut_lineage(first.filter(F.col("start") < limit))
 
     order = Window.partitionBy("dst").orderBy("src")
     sources = (
@@ -224,6 +229,7 @@ def common_recommendations(
         .withColumn("i", F.row_number().over(order).cast("bigint"))
         .filter(F.col("i") <= limit + 1)
     )
+    sources = cut_lineage(sources)
     i, n = F.col("i"), F.col("n")
     room = F.lit(limit) - F.col("start") - ((i - 1) * n - (i * (i - 1) / 2).cast("bigint"))
     left = (
@@ -385,7 +391,8 @@ def uploader_links(edges: DataFrame, videos: DataFrame) -> DataFrame:
     by_src = videos.select(F.col("id").alias("src"), F.col("uploader").alias("src_uploader"))
     by_dst = videos.select(F.col("id").alias("dst"), F.col("uploader").alias("dst_uploader"))
     # Parallel edges meet first, so both lookups see one row per pair.
-    rows = weighted_edges(edges).join(by_src, "src").join(by_dst, "dst")
+    rows = sliced_join(weighted_edges(edges), by_src, "src", by=["dst"])
+    rows = sliced_join(rows, by_dst, "dst", by=["src"])
     return rows.groupBy("src_uploader", "dst_uploader").agg(F.sum("weight").alias("num_edges"))
 
 

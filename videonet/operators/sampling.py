@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from videonet.operators.degree import degree_table, out_degree, vertex_set
 from videonet.operators.graph import incident_edges, induced_edges, simple_edges
 from videonet.operators.search import check_limit
+from videonet.session import cut_lineage
 
 EDGE_KEY = ["src", "dst", "crawl_id"]
 
@@ -48,7 +49,7 @@ def sample_n(df: DataFrame, n: int, key: list[str], seed: int) -> DataFrame:
     return sample_limit(df, n, key, seed)
 
 
-def hub_subgraph(edges: DataFrame, videos: DataFrame, n: int = 100, seed: int = 0) -> DataFrame:
+def hub_subgraph(edges: DataFrame, n: int = 100) -> DataFrame:
     """Edges among n videos around the n / 2 largest senders.
 
     Takes up to 5 n edges that touch a hub and of their ends the first n ids.
@@ -57,7 +58,9 @@ def hub_subgraph(edges: DataFrame, videos: DataFrame, n: int = 100, seed: int =
     check_limit(n)
     hubs = out_degree(edges).filter(F.col("id").isNotNull())
     hubs = hubs.orderBy(F.desc("outDegree"), "id").limit(max(n // 2, 1)).select("id")
-    near = incident_edges(edges, hubs).orderBy(*EDGE_KEY).limit(5 * n)
+    # Few rows, read several times: stored once.
+    hubs = cut_lineage(hubs)
+    near = cut_lineage(incident_edges(edges, hubs).orderBy(*EDGE_KEY).limit(5 * n))
     members = vertex_set(near).filter(F.col("id").isNotNull()).orderBy("id").limit(n)
     return induced_edges(near, members)
 
@@ -70,7 +73,7 @@ def fallback_videos(videos: DataFrame, n: int = 100, seed: int = 0) -> DataFrame
 def top_connected_subgraph(edges: DataFrame, n: int = 100, seed: int = 0) -> DataFrame:
     """Distinct edges among the n highest-degree vertices of 3 n random edges."""
     check_limit(n)
-    sample = sample_n(edges, 3 * n, EDGE_KEY, seed)
+    sample = cut_lineage(sample_n(edges, 3 * n, EDGE_KEY, seed))
     distinct = simple_edges(sample)
     members = degree_table(distinct).orderBy(F.desc("total_degree"), "id").limit(n)
     return induced_edges(distinct, members.select("id"))

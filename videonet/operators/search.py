@@ -198,13 +198,15 @@ def by_duration(
         order = [F.desc("views"), *order]
     rows = (
         between(by_category(snapshots, category), "length_sec", min_duration, max_duration)
-        .select("video_id", "crawl_id", "length_sec", "views", "rate", "category")
+        .select(
+            "video_id", "crawl_id", "length_sec", "views", "rate", "category",
+            # Made before the limit: two projections above it would turn top-k into a full sort.
+            labels.duration_formatted(F.col("length_sec")).alias("duration_formatted"),
+        )
         .orderBy(*order)
         .limit(check_limit(max_results))
     )
-    return labels.result_columns(rows).withColumn(
-        "duration_formatted", labels.duration_formatted(F.col("duration_sec"))
-    )
+    return labels.result_columns(rows)
 
 
 def by_views(
