@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from videonet.operators.degree import vertex_set
+from videonet.operators.search import by_category, latest_snapshot
 from videonet.operators.skew import (
     ROWS_PER_SLICE,
     SLICE,
@@ -60,8 +61,6 @@ def simple_edges(edges: DataFrame) -> DataFrame:
 
 def edges_of_category(edges: DataFrame, videos: DataFrame, category: str | None) -> DataFrame:
     """Edges whose source is in the category."""
-    from videonet.operators.search import by_category
-
     if not category:
         return edges
     sources = by_category(videos, category).select(F.col("id").alias("src"))
@@ -95,8 +94,6 @@ def enrich_metadata(
 
     Missing texts become Unknown and missing numbers 0.
     """
-    from videonet.operators.search import latest_snapshot
-
     info = videos.select(F.col("id").alias(key), "category", "uploader")
     rows = result.join(info, key, "left").withColumns(
         {name: F.coalesce(name, F.lit(UNKNOWN)) for name in ("category", "uploader")}
