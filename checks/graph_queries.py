@@ -552,6 +552,15 @@ def centrality_table(d):
     return rounded(table, "betweenness", "closeness", digits=9)
 
 
+@query("top_by_metric", CENTRALITY + """
+SELECT id AS video_id, in_degree + out_degree AS total_degree, round(closeness, 9) AS closeness
+FROM sub_degrees JOIN close_scores USING (id) ORDER BY total_degree DESC, video_id LIMIT 20""")
+def top_by_metric(d):
+    table = centrality.centrality_table(d.edges, d.videos)
+    top = centrality.top_by_metric(table, "total_degree", 20)
+    return rounded(top.select("video_id", "total_degree", "closeness"), "closeness", digits=9)
+
+
 # ---------------------------------------------------------------- structure
 
 
