@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from checks.compare import check, duck
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = entry.QUERIES, entry.ORACLE
 
 
 @pytest.fixture(scope="module")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -30,16 +29,21 @@ def build_session(app_name: str = "videonet", conf: dict[str, str] | None = None
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Checkpoint folder of the session; a temporary one only for local masters."""
+    """The shared folder named in spark.checkpoint.dir.
+
+    Where that is unset, a folder below the warehouse, which executors share as
+    well; it is deleted when the session's JVM ends.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        configured = tempfile.mkdtemp(prefix="videonet-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        configured = f"{warehouse}/_scratch-{uuid.uuid4().hex}"
+        path = sc._jvm.org.apache.hadoop.fs.Path(configured)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
