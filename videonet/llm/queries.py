@@ -1,4 +1,4 @@
 """Imports the modules that register the operators' queries."""
 
-from videonet.llm import quality_rules  # noqa: F401
+from videonet.llm import exact_dedup, language_id, packing, quality_rules, simhash  # noqa: F401
 from videonet.llm.registry import ORACLE, QUERIES  # noqa: F401

@@ -1,0 +1,63 @@
+"""Token ids by a tokenizers file, with a cache of the parts between blanks."""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+import numpy as np
+from tokenizers import Tokenizer
+
+CACHE_ENTRIES = 400_000
+
+
+class WordEncoder:
+    """Ids of a text by a tokenizer that drops white space and never joins characters across it.
+
+    Such a tokenizer gives a text the ids of its parts between blanks, one after the other, so each part is
+    encoded by the library once and looked up afterwards. Ids are bytes of little-endian unsigned 32-bit numbers.
+    """
+
+    def __init__(self, path: str):
+        self._tokenizer = Tokenizer.from_file(path)
+        self._parts: dict[str, bytes] = {"": b""}
+        self._stems: dict[str, bytes] = {}
+
+    def _learn(self, parts: set[str]) -> None:
+        split = {}
+        for part in parts:
+            stem = part.rstrip(".,")
+            # Letters up to U+00FF have one lower case, and the tokenizer parts letters from full stops and commas.
+            if stem.isalpha() and max(stem) < "Ā":
+                split[part] = (stem.lower(), part[len(stem):])
+            else:
+                split[part] = (part, "")
+        if len(self._stems) > CACHE_ENTRIES:
+            self._stems.clear()
+        new = list({s for pair in split.values() for s in pair if s and s not in self._stems})
+        for first in range(0, len(new), 1024):
+            names = new[first:first + 1024]
+            for name, found in zip(names, self._tokenizer.encode_batch_fast(names, add_special_tokens=False)):
+                self._stems[name] = np.array(found.ids, "<u4").tobytes()
+        if len(self._parts) > CACHE_ENTRIES:
+            self._parts.clear()
+            self._parts[""] = b""
+        known = self._stems
+        for part, (stem, tail) in split.items():
+            self._parts[part] = known[stem] + known[tail] if tail else known[stem]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        lists = [text.replace("\n", " ").split(" ") for text in texts]
+        missing = set().union(*lists) - self._parts.keys()
+        if missing:
+            before = len(self._parts)
+            self._learn(missing)
+            if len(self._parts) < before + len(missing):  # the cache was emptied: all parts of these texts once more
+                self._learn(set().union(*lists) - self._parts.keys())
+        find = self._parts.__getitem__
+        return [b"".join(map(find, parts)) for parts in lists]
+
+
+@lru_cache(maxsize=4)
+def word_encoder(path: str) -> WordEncoder:
+    """One encoder per worker process and file."""
+    return WordEncoder(path)
