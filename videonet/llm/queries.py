@@ -1,4 +1,12 @@
 """Imports the modules that register the operators' queries."""
 
-from videonet.llm import exact_dedup, language_id, packing, quality_rules, simhash  # noqa: F401
+from videonet.llm import (  # noqa: F401
+    chat,
+    exact_dedup,
+    language_id,
+    packing,
+    quality_rules,
+    simhash,
+    warc,
+)
 from videonet.llm.registry import ORACLE, QUERIES  # noqa: F401

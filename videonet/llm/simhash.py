@@ -171,7 +171,9 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket_limit: int = BUC
         tagged.join(buckets.filter(F.col("members") > bucket_limit).select("block", "key"), ["block", "key"])
         .select("fp").distinct()
     )
-    met = arrow_map(many, _near_values(max_bits // 2), "value long, fp long").repartition("value")
+    # Each member sends over 2,000 values, so these few rows are spread over all partitions first.
+    spread = many.repartition(int(many.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    met = arrow_map(spread, _near_values(max_bits // 2), "value long, fp long").repartition("value")
     chained = arrow_map(met.sortWithinPartitions("value", "fp"), _chain, "src long, dst long")
     return twos.union(within).union(chained).distinct()
 
