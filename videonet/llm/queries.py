@@ -4,6 +4,7 @@ from videonet.llm import (  # noqa: F401
     chat,
     exact_dedup,
     language_id,
+    main_text,
     packing,
     quality_rules,
     simhash,
