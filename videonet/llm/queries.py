@@ -8,6 +8,7 @@ from videonet.llm import (  # noqa: F401
     packing,
     quality_rules,
     simhash,
+    token_counts,
     warc,
 )
 from videonet.llm.registry import ORACLE, QUERIES  # noqa: F401
