@@ -7,6 +7,7 @@ from videonet.llm import (  # noqa: F401
     main_text,
     packing,
     quality_rules,
+    sentencepiece_codec,
     simhash,
     token_counts,
     warc,
