@@ -8,6 +8,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from videonet.session import scratch_path
 
@@ -53,5 +54,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> I
 
 
 def arrow_map(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
+              schema: str | StructType) -> DataFrame:
     return df.mapInArrow(work, schema)
+
+
+def schema_with(df: DataFrame, *columns: tuple[str, str]) -> StructType:
+    """The frame's schema and further columns; a new one, as add() changes the schema it is called on."""
+    schema = StructType(list(df.schema.fields))
+    for name, kind in columns:
+        schema = schema.add(name, kind)
+    return schema

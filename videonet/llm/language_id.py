@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from videonet.llm.common import slices, table
+from videonet.llm.common import schema_with, slices, table
 from videonet.llm.registry import query
 
 WINDOW = 256
@@ -181,7 +181,7 @@ def predict(docs: DataFrame, net: ByteNet | None, text: str = "text",
     """The rows of `docs` with the predicted language and its probability; columns of these names are replaced."""
     rest = docs.drop(*names)
     lettered = rest.withColumn("__lettered", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
-    schema = rest.schema.add(names[0], "string").add(names[1], "double")
+    schema = schema_with(rest, (names[0], "string"), (names[1], "double"))
 
     def work(batches):
         for batch in slices(batches, text, BATCH_BYTES):

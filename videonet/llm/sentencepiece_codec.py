@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from videonet.llm.common import arrow_map, slices, table
+from videonet.llm.common import arrow_map, schema_with, slices, table
 from videonet.llm.registry import query
 
 CACHE_ENTRIES = 400_000
@@ -231,7 +231,7 @@ def _with_column(df: DataFrame, source: str, name: str, kind: str, arrow_kind: p
                 [*batch.columns, pa.array(values, arrow_kind)], names=[*batch.schema.names, name]
             )
 
-    return arrow_map(rest, work, rest.schema.add(name, kind))
+    return arrow_map(rest, work, schema_with(rest, (name, kind)))
 
 
 def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
