@@ -53,6 +53,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 
     n_repeat_words counts the words in windows of five words that the text has twice or more. Hashes of the
     windows tell whether there are any; only then are the windows themselves compared, so the count is exact.
+    Store the result before filtering by a measure: the optimizer would copy the expressions into the filter.
     """
     kept = docs.columns
     df = docs.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
