@@ -27,6 +27,11 @@ SELECT DISTINCT src AS id FROM edges UNION SELECT dst FROM edges"""
 # ---------------------------------------------------------------- joins and sets
 
 
+def whole(df: DataFrame, column: str) -> DataFrame:
+    """A wide number of matches as a 64-bit one, which is enough for the test tables."""
+    return df.withColumn(column, F.col(column).cast("bigint"))
+
+
 @query("vertex_set", UNITED)
 def vertex_set(d):
     return degree.vertex_set(d.edges)
@@ -50,17 +55,39 @@ def edges_of_category(d):
 
 
 @query("chain_join", """
-SELECT e.dst AS id, count(*) AS num_chains FROM edges e JOIN edges f ON e.dst = f.src
-GROUP BY e.dst""")
+SELECT e.dst AS video_b, count(*) AS num_chains, min(e.src) AS first_a, max(f.dst) AS last_c
+FROM edges e JOIN edges f ON e.dst = f.src JOIN videos ON e.src = id
+WHERE category = 'promo' GROUP BY e.dst""")
 def chain_join(d):
-    return patterns.chain_counts_by_bridge(d.edges)
+    return patterns.chain_join(d.edges, d.videos, "promo").groupBy("video_b").agg(
+        F.count(F.lit(1)).alias("num_chains"), F.min("video_a").alias("first_a"),
+        F.max("video_c").alias("last_c"),
+    )
 
 
 @query("common_target_join", """
+SELECT e.dst AS common_target, count(*) AS num_triples, min(e.src) AS first_a, max(f.src) AS last_b
+FROM edges e JOIN edges f ON e.dst = f.dst AND e.src < f.src JOIN videos ON e.dst = id
+WHERE category = 'promo' GROUP BY e.dst""")
+def common_target_join(d):
+    return patterns.common_target_join(d.edges, d.videos, "promo").groupBy("common_target").agg(
+        F.count(F.lit(1)).alias("num_triples"), F.min("video_a").alias("first_a"),
+        F.max("video_b").alias("last_b"),
+    )
+
+
+@query("chain_counts", """
+SELECT e.dst AS id, count(*) AS num_chains FROM edges e JOIN edges f ON e.dst = f.src
+GROUP BY e.dst""")
+def chain_counts(d):
+    return whole(patterns.chain_counts_by_bridge(d.edges), "num_chains")
+
+
+@query("common_target_counts", """
 SELECT e.dst AS id, count(*) AS num_triples FROM edges e JOIN edges f
   ON e.dst = f.dst AND e.src < f.src GROUP BY e.dst""")
-def common_target_join(d):
-    return patterns.common_counts_by_target(d.edges)
+def common_target_counts(d):
+    return whole(patterns.common_counts_by_target(d.edges), "num_triples")
 
 
 @query("motif_edge", """
@@ -80,13 +107,18 @@ def motif_edge(d):
 SELECT d.id, total_degree, coalesce(category, 'Unknown') AS category,
        coalesce(uploader, 'Unknown') AS uploader, round(coalesce(rate, 0), 6) AS rating,
        coalesce(views, 0) AS views, coalesce(ratings, 0) AS ratings_count
-FROM degrees d LEFT JOIN (SELECT id, category, uploader FROM videos WHERE length_sec > 300) v
-  ON d.id = v.id
+FROM (SELECT id, total_degree FROM degrees
+      UNION ALL SELECT 's' || CAST(s_suppkey AS VARCHAR), s_suppkey FROM supplier) d
+LEFT JOIN videos v ON d.id = v.id
 LEFT JOIN (SELECT video_id, rate, views, ratings FROM latest) ON d.id = video_id""")
 def enrich_metadata(d):
     degrees = degree.degree_table(d.edges).select("id", "total_degree")
-    some = d.videos.filter("length_sec > 300")
-    return rounded(graph.enrich_metadata(degrees, some, d.snapshots), "rating")
+    # Suppliers are no videos, so they have no metadata.
+    others = d.table("supplier").select(
+        F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("id"),
+        F.col("s_suppkey").cast("bigint").alias("total_degree"),
+    )
+    return rounded(graph.enrich_metadata(degrees.union(others), d.videos, d.snapshots), "rating")
 
 
 TOP = "SELECT id FROM degrees ORDER BY total_degree DESC, id LIMIT {k}"
@@ -123,9 +155,9 @@ def related_pairs(d):
 @query("chains", """
 SELECT e.src AS video_a, e.dst AS video_b, f.dst AS video_c
 FROM edges e JOIN edges f ON e.dst = f.src JOIN videos ON e.src = id
-WHERE category = 'promo' ORDER BY 1, 2, 3 LIMIT 300""")
+WHERE category = 'promo' ORDER BY 1, 2, 3 LIMIT 5000""")
 def chains(d):
-    return patterns.chains(d.edges, d.videos, "promo", max_results=300)
+    return patterns.chains(d.edges, d.videos, "promo", max_results=5000)
 
 
 @query("long_chains", """
@@ -139,17 +171,17 @@ def long_chains(d):
 @query("common_recommendations", """
 SELECT e.src AS video_a, f.src AS video_b, e.dst AS common_target
 FROM edges e JOIN edges f ON e.dst = f.dst AND e.src < f.src JOIN videos ON e.dst = id
-WHERE category = 'promo' ORDER BY 3, 1, 2 LIMIT 500""")
+WHERE category = 'promo' ORDER BY 3, 1, 2 LIMIT 5000""")
 def common_recommendations(d):
-    return patterns.common_recommendations(d.edges, d.videos, "promo", max_results=500)
+    return patterns.common_recommendations(d.edges, d.videos, "promo", max_results=5000)
 
 
 @query("common_pairs", """
 SELECT e.src AS video_a, f.src AS video_b, count(*) AS num_common
 FROM simple e JOIN simple f ON e.dst = f.dst AND e.src < f.src
-GROUP BY 1, 2 HAVING count(*) >= 2""")
+GROUP BY 1, 2 HAVING count(*) >= 2 ORDER BY 1, 2 LIMIT 5000""")
 def common_pairs(d):
-    return patterns.common_pairs(d.edges, 2)
+    return patterns.common_pairs(d.edges, 2, max_results=5000)
 
 
 @query("top_sources", """
@@ -163,14 +195,16 @@ def top_sources(d):
 SELECT e.dst AS id, count(*) AS num_chains FROM edges e JOIN edges f ON e.dst = f.src
 GROUP BY e.dst ORDER BY num_chains DESC, id LIMIT 10""")
 def top_bridges(d):
-    return patterns.top_counts(patterns.chain_counts_by_bridge(d.edges), "num_chains")
+    top = patterns.top_counts(patterns.chain_counts_by_bridge(d.edges), "num_chains")
+    return whole(top, "num_chains")
 
 
 @query("top_targets", """
 SELECT e.dst AS id, count(*) AS num_triples FROM edges e JOIN edges f
   ON e.dst = f.dst AND e.src < f.src GROUP BY e.dst ORDER BY num_triples DESC, id LIMIT 10""")
 def top_targets(d):
-    return patterns.top_counts(patterns.common_counts_by_target(d.edges), "num_triples")
+    top = patterns.top_counts(patterns.common_counts_by_target(d.edges), "num_triples")
+    return whole(top, "num_triples")
 
 
 @query("motif", """
@@ -187,6 +221,17 @@ def motif(d):
     return patterns.motif(d.edges, d.videos, where, hops=2, max_results=400)
 
 
+@query("motif_links", """
+SELECT e.src AS a, e.dst AS b, g.src AS c FROM edges e JOIN edges f ON f.src = e.dst AND f.dst = e.src
+  JOIN edges g ON g.dst = e.dst JOIN videos v ON e.src = v.id
+WHERE e.crawl_id < '1996' AND v.length_sec > 300 ORDER BY 1, 2, 3 LIMIT 2000""")
+def motif_links(d):
+    return patterns.motif_links(
+        d.edges, [("a", "b"), ("b", "a"), ("c", "b")], d.videos,
+        {"a": F.col("length_sec") > 300}, {0: F.col("crawl_id") < "1996"}, 2000,
+    )
+
+
 @query("mutual_edges", """
 SELECT e.src AS video_a, e.dst AS video_b FROM simple e JOIN simple f
   ON e.src = f.dst AND e.dst = f.src WHERE e.src < e.dst""")
@@ -215,7 +260,7 @@ SELECT pattern, category, count(*) AS num_matches FROM (
   UNION ALL SELECT 'common', e.dst FROM edges e JOIN edges f ON e.dst = f.dst AND e.src < f.src
 ) JOIN videos USING (id) GROUP BY 1, 2""")
 def pattern_stats(d):
-    return patterns.pattern_stats(d.edges, d.videos)
+    return whole(patterns.pattern_stats(d.edges, d.videos), "num_matches")
 
 
 # ---------------------------------------------------------------- influence
@@ -533,13 +578,13 @@ def top_degree_nodes(d):
 
 @query("betweenness", CENTRALITY + "SELECT id, round(betweenness, 9) AS betweenness FROM between_scores")
 def betweenness(d):
-    scores = centrality.betweenness(centrality.top_degree_subgraph(d.edges))
+    scores = centrality.betweenness(centrality.top_degree_subgraph(d.edges), num_pivots=100)
     return rounded(scores, "betweenness", digits=9)
 
 
 @query("closeness", CENTRALITY + "SELECT id, round(closeness, 9) AS closeness FROM close_scores")
 def closeness(d):
-    scores = centrality.closeness(centrality.top_degree_subgraph(d.edges))
+    scores = centrality.closeness(centrality.top_degree_subgraph(d.edges), num_pivots=100)
     return rounded(scores, "closeness", digits=9)
 
 
@@ -677,9 +722,10 @@ def sample_n(d):
 WITH hubs AS (SELECT src AS id FROM edges GROUP BY src ORDER BY count(*) DESC, src LIMIT 50),
 near AS MATERIALIZED (
   SELECT crawl_id, src, dst FROM edges WHERE src IN (SELECT id FROM hubs) OR dst IN (SELECT id FROM hubs)
-  ORDER BY src, dst, crawl_id LIMIT 500),
+  ORDER BY md5('0|' || src || '|' || dst || '|' || crawl_id), src, dst, crawl_id LIMIT 500),
 members AS MATERIALIZED (
-  SELECT id FROM (SELECT src AS id FROM near UNION SELECT dst FROM near) ORDER BY id LIMIT 100)
+  SELECT id FROM (SELECT src AS id FROM near UNION ALL SELECT dst FROM near) GROUP BY id
+  ORDER BY id IN (SELECT id FROM hubs) DESC, count(*) DESC, id LIMIT 100)
 SELECT crawl_id, src, dst FROM near WHERE src IN (SELECT id FROM members)
   AND dst IN (SELECT id FROM members)""")
 def hub_subgraph(d):

@@ -62,12 +62,15 @@ def exists_filter(d):
 @query("null_to_zero", """
 SELECT id, coalesce(views, 0) AS views, coalesce(round(rate, 6), 0) AS rating,
        coalesce(ratings, 0) AS num_ratings, coalesce(s.length_sec, 0) AS duration_sec
-FROM videos v LEFT JOIN video_snapshots s ON v.id = s.video_id AND s.crawl_id = '1998'""")
+FROM (SELECT id FROM videos UNION ALL SELECT 's' || CAST(s_suppkey AS VARCHAR) FROM supplier) v
+LEFT JOIN video_snapshots s ON v.id = s.video_id""")
 def null_to_zero(d):
-    of_1998 = d.snapshots.filter("crawl_id = '1998'").select(
+    metrics = d.snapshots.select(
         F.col("video_id").alias("id"), "views", "rate", "ratings", "length_sec"
     )
-    joined = d.videos.select("id").join(of_1998, "id", "left")
+    # Suppliers are no videos, so they have no snapshot.
+    others = d.table("supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("id"))
+    joined = d.videos.select("id").union(others).join(metrics, "id", "left")
     return rounded(labels.result_columns(joined), "rating")
 
 
@@ -357,9 +360,9 @@ def top_categories(d):
 
 @query("most_viewed", f"""
 SELECT video_id, crawl_id, category, {RATED} FROM video_snapshots
-ORDER BY views DESC, video_id, crawl_id LIMIT 10""")
+ORDER BY views DESC, video_id, crawl_id LIMIT 5000""")
 def most_viewed(d):
-    return rounded(search.most_viewed(d.snapshots), "rating")
+    return rounded(search.most_viewed(d.snapshots, 5000), "rating")
 
 
 @query("most_viewed_latest", f"""

@@ -99,9 +99,28 @@ def test_centrality(spark, rows_per_slice):
 def test_betweenness_of_a_path(spark):
     edges = edge_frame(spark, [("1", "2"), ("2", "3"), ("3", "4")])
     third = pytest.approx(1 / 3)
-    assert as_dict(centrality.betweenness(edges)) == {"1": 0, "2": third, "3": third, "4": 0}
+    assert as_dict(centrality.betweenness(edges, 4)) == {"1": 0, "2": third, "3": third, "4": 0}
     two = edge_frame(spark, [("1", "2")])
-    assert as_dict(centrality.betweenness(two)) == {"1": 0.0, "2": 0.0}
+    assert as_dict(centrality.betweenness(two, 9)) == {"1": 0.0, "2": 0.0}
+    with pytest.raises(ValueError):
+        centrality.betweenness(edges)
+
+
+def test_long_path_is_searched_with_one_state(spark):
+    """Each level replaces the state, so a plan never refers to more than one earlier level."""
+    edges = edge_frame(spark, [(f"{i:03d}", f"{i + 1:03d}") for i in range(40)])
+    paths = centrality.shortest_paths(edges, spark.createDataFrame([("000",)], "id string"))
+    assert paths.depth == 41
+    assert sorted((r.id, r.dist) for r in paths.table().collect()) == [(f"{i:03d}", i) for i in range(41)]
+    assert structure.strongly_connected(edge_frame(spark, [(f"{i:03d}", f"{(i + 1) % 40:03d}") for i in range(40)]))
+
+
+def test_sampled_closeness(spark):
+    edges = edge_frame(spark, HUBS)
+    n = len(helpers.nodes(HUBS))
+    exact, sampled = as_dict(centrality.closeness(edges, n)), as_dict(centrality.closeness(edges, n // 2, seed=3))
+    assert exact == pytest.approx(helpers.closeness(HUBS), abs=1e-9)
+    assert set(sampled) <= set(exact) and max(sampled.values()) > 0
 
 
 def test_sampled_pivots_scale_the_sum(spark):

@@ -57,10 +57,73 @@ def test_chain_counts(spark):
     assert all(bridges[b] == sum(p[1] == b for p in chains) for b in bridges)
 
 
-@pytest.mark.parametrize("least, rows_per_slice", [(2, 10_000), (2, 2), (3, 2)])
-def test_common_pairs(spark, least, rows_per_slice):
-    got = patterns.common_pairs(edge_frame(spark, HUBS), least, rows_per_slice=rows_per_slice)
-    assert {(r[0], r[1]): r[2] for r in got.collect()} == pairs_sharing(HUBS, least)
+@pytest.mark.parametrize(
+    "least, rows_per_slice, limit", [(1, 10_000, 10**6), (2, 10_000, 10**6), (2, 2, 7), (3, 2, 10**6)]
+)
+def test_common_pairs(spark, monkeypatch, least, rows_per_slice, limit):
+    monkeypatch.setattr(patterns, "SOURCES_AT_FIRST", 8)
+    got = patterns.common_pairs(
+        edge_frame(spark, HUBS), least, max_results=limit, rows_per_slice=rows_per_slice
+    )
+    want = sorted(pairs_sharing(HUBS, least).items())[:limit]
+    assert [((r[0], r[1]), r[2]) for r in got.collect()] == want
+
+
+def test_common_pairs_of_two_targets_that_everyone_links_to(spark):
+    edges = [(f"s{i:04d}", target) for i in range(3000) for target in ("hub1", "hub2")]
+    got = patterns.common_pairs(edge_frame(spark, edges), 2, max_results=4000).collect()
+    assert [tuple(r) for r in got] == [
+        (f"s{a:04d}", f"s{b:04d}", 2) for a in range(3) for b in range(a + 1, 3000)
+    ][:4000]
+
+
+def test_listings_beyond_a_thousand_rows(spark):
+    edges = [(f"a{i:02d}", "hub") for i in range(60)] + [("hub", f"c{i:02d}") for i in range(60)]
+    frame = edge_frame(spark, edges)
+    want = [(f"a{i:02d}", "hub", f"c{j:02d}") for i in range(60) for j in range(60)]
+    assert sorted(tuples(patterns.chains(frame, max_results=2500))) == want[:2500]
+    triples = [(f"a{i:02d}", f"a{j:02d}", "hub") for i in range(60) for j in range(i + 1, 60)]
+    assert sorted(tuples(patterns.common_recommendations(frame, max_results=1500))) == triples[:1500]
+
+
+def test_counts_above_64_bit_products(spark):
+    """Weights whose pairs a double or a 64-bit product cannot hold."""
+    from videonet.operators import patterns as module
+
+    weights = [("a", "t", 100_000_000), ("b", "t", 50_000_000), ("c", "t", 1), ("d", "u", 4 * 10**9), ("e", "u", 4 * 10**9)]
+    original = module.weighted_edges
+    module.weighted_edges = lambda edges: spark.createDataFrame(weights, "src string, dst string, weight long")
+    try:
+        got = {r.id: int(r.num_triples) for r in module.common_counts_by_target(None).collect()}
+    finally:
+        module.weighted_edges = original
+    total, squares = 150_000_001, 100_000_000**2 + 50_000_000**2 + 1
+    assert got == {"t": (total * total - squares) // 2, "u": 16 * 10**18}
+
+
+def test_many_hot_keys_are_all_cut(spark):
+    """1,500 keys of 40 rows at 10 rows a slice: all are listed, and no slice holds more rows than its share."""
+    from videonet.operators.skew import SLICE, hot_slices, spread_rows
+
+    rows = spark.range(60_000).select((F.col("id") % 1500).cast("string").alias("k"), "id")
+    hot = hot_slices(rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "k", rows_per_slice=10)
+    assert hot.count() == 1500
+    spread = spread_rows(rows, hot, "k", ["id"])
+    assert spread.groupBy("k", SLICE).count().agg(F.max("count")).first()[0] < 30
+
+
+def test_motif_links(spark):
+    edges = edge_frame(spark, HUBS)
+    got = sorted(tuples(patterns.motif_links(edges, [("a", "b"), ("c", "b"), ("b", "d")], max_results=10**6)))
+    assert got == sorted((a, b, c, d) for a, b in HUBS for c, x in HUBS if x == b for y, d in HUBS if y == b)
+    loops = sorted(tuples(patterns.motif_links(edges, [("a", "b"), ("b", "a")], max_results=10**6)))
+    assert loops == sorted((a, b) for a, b in HUBS for c, d in HUBS if (c, d) == (b, a))
+    with pytest.raises(ValueError):
+        patterns.motif_links(edges, [("a", "b"), ("c", "d")])
+
+
+def test_column_names_of_long_chains():
+    assert [patterns.letters(i) for i in (0, 25, 26, 27, 52)] == ["a", "z", "aa", "ab", "ba"]
 
 
 def test_common_pairs_forms_no_pairs_at_a_hub(spark):
@@ -74,7 +137,7 @@ def test_common_pairs_forms_no_pairs_at_a_hub(spark):
 def test_limits_are_checked(spark):
     edges = edge_frame(spark, HUBS)
     with pytest.raises(ValueError):
-        patterns.common_pairs(edges, 1)
+        patterns.common_pairs(edges, 0)
     with pytest.raises(ValueError):
         patterns.chains(edges, max_results=0)
     with pytest.raises(ValueError):
@@ -122,3 +185,12 @@ def test_hub_subgraph_is_bounded(spark):
     assert len({v for r in got for v in (r.src, r.dst)}) <= 10
     empty = edges.filter(F.lit(False))
     assert sampling.hub_subgraph(empty, 10).count() == 0
+    videos = id_frame(spark, [f"v{i}" for i in range(30)])
+    assert sampling.hub_videos(empty, videos, 10).count() == 10
+
+
+def test_hub_subgraph_keeps_its_hubs(spark):
+    # Hubs have the last ids, so an order by id would drop them.
+    edges = edge_frame(spark, [(f"z{h}", f"a{i:03d}") for h in range(5) for i in range(100)] + [("z0", "z1")])
+    got = sampling.hub_subgraph(edges, 10).collect()
+    assert {r.src for r in got} == {f"z{h}" for h in range(5)}

@@ -18,7 +18,7 @@ from videonet.operators.graph import (
 from videonet.operators.sampling import sample_n
 from videonet.operators.search import check_limit
 from videonet.operators.skew import ROWS_PER_SLICE
-from videonet.session import cut_lineage
+from videonet.session import cut_lineage, scratch_path
 
 
 def top_degree_subgraph(edges: DataFrame, k: int = 100) -> DataFrame:
@@ -30,17 +30,17 @@ def top_degree_subgraph(edges: DataFrame, k: int = 100) -> DataFrame:
 
 @dataclass
 class ShortestPaths:
-    """Per level: (pivot, id, sigma), the vertices at that distance and their path counts."""
+    """(pivot, id, dist, sigma) of all reached pairs, stored by distance; sigma counts the shortest paths."""
 
-    levels: list[DataFrame]
+    reached: DataFrame
+    depth: int
+
+    def level(self, dist: int) -> DataFrame:
+        """(pivot, id, sigma) at one distance; reads only that part of the table."""
+        return self.reached.filter(F.col("dist") == dist).select("pivot", "id", "sigma")
 
     def table(self) -> DataFrame:
-        """(pivot, id, dist, sigma) of all reached pairs."""
-        parts = [
-            level.withColumn("dist", F.lit(dist).cast("bigint"))
-            for dist, level in enumerate(self.levels)
-        ]
-        return reduce(DataFrame.unionByName, parts).select("pivot", "id", "dist", "sigma")
+        return self.reached.select("pivot", "id", F.col("dist").cast("bigint").alias("dist"), "sigma")
 
 
 def shortest_paths(
@@ -48,35 +48,52 @@ def shortest_paths(
 ) -> ShortestPaths:
     """Distances and numbers of shortest paths from every pivot, level by level.
 
-    Each level is one join of the frontier with the edges, checkpointed; the
-    state is spread over (pivot, id).
+    Each level is one join of its frontier with the edges. There is one state,
+    spread over (pivot, id), and a level replaces it, so the reads of a level do
+    not grow with the number of levels before it.
     """
     links = simple_edges(edges).select(
         F.col("src").alias("sender"), F.col("dst").alias("receiver")
     )
     # Path counts are doubles: they grow exponentially with the distance.
-    frontier = cut_lineage(
-        pivots.select(F.col("id").alias("pivot"), "id", F.lit(1.0).alias("sigma"))
+    state = cut_lineage(
+        pivots.select(F.col("id").alias("pivot"), "id", F.lit(0).alias("dist"), F.lit(1.0).alias("sigma"))
     )
-    seen = frontier.select("pivot", "id")
-    levels = [frontier]
+    dist = 0
     with MessageRoutes(links, rows_per_slice) as routes:
         while True:
-            reached = (
-                routes.send(frontier)
-                .groupBy("pivot", F.col("receiver").alias("id"))
-                .agg(F.sum("sigma").alias("sigma"))
+            dist += 1
+            sent = routes.send(state.filter(F.col("dist") == dist - 1).drop("dist")).select(
+                "pivot", F.col("receiver").alias("id"), F.lit(dist).alias("dist"), "sigma"
+            )
+            known = F.col("dist") < dist
+            state = cut_lineage(
+                state.union(sent)
+                .groupBy("pivot", "id")
+                .agg(
+                    F.min("dist").alias("dist"),
+                    F.sum(F.when(known, F.col("sigma"))).alias("old"),
+                    F.sum(F.when(~known, F.col("sigma"))).alias("new"),
+                )
+                .select("pivot", "id", "dist", F.coalesce("old", "new").alias("sigma"))
             )
-            frontier = cut_lineage(reached.join(seen, ["pivot", "id"], "left_anti"))
-            if frontier.isEmpty():
-                return ShortestPaths(levels)
-            levels.append(frontier)
-            seen = seen.unionByName(frontier.select("pivot", "id"))
+            if state.filter(F.col("dist") == dist).isEmpty():
+                break
+    path = scratch_path(edges.sparkSession, "shortest-paths")
+    state.write.partitionBy("dist").parquet(path)
+    stored = edges.sparkSession.read.schema(state.schema).parquet(path)
+    return ShortestPaths(stored, dist)
+
+
+def _pivots(vertices: DataFrame, num_pivots: int | None, seed: int) -> DataFrame:
+    """Vertices to search from. The number is required: the search holds up to one row per pivot and vertex."""
+    if num_pivots is None:
+        raise ValueError("give the number of pivots, or shortest paths that were searched before")
+    return sample_n(vertices, check_limit(num_pivots), ["id"], seed)
 
 
 def betweenness(
     edges: DataFrame,
-    pivots: DataFrame | None = None,
     num_pivots: int | None = None,
     seed: int = 0,
     paths: ShortestPaths | None = None,
@@ -84,27 +101,24 @@ def betweenness(
 ) -> DataFrame:
     """(id, betweenness) on the simple directed graph, normalised.
 
-    All vertices are pivots unless `num_pivots` picks some by hash; the sums
-    are then scaled by n / num_pivots.
+    `num_pivots` vertices are picked by hash and the sums scaled by n / num_pivots;
+    with as many pivots as vertices the result is exact.
     """
     edges = cut_lineage(simple_edges(edges))
     vertices = cut_lineage(vertex_set(edges))
     n = vertices.count()
-    if pivots is None:
-        pivots = vertices
-        if num_pivots is not None and num_pivots < n:
-            pivots = sample_n(vertices, num_pivots, ["id"], seed)
     if paths is None:
-        paths = shortest_paths(edges, pivots, rows_per_slice)
-    used = paths.levels[0].count()
+        paths = shortest_paths(edges, _pivots(vertices, num_pivots, seed), rows_per_slice)
+    used = paths.level(0).count()
     scale = (1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0) * (n / used if used < n else 1.0)
 
     # Backwards: a vertex passes (1 + delta) / sigma to its predecessors, one level up.
     links = edges.select(F.col("dst").alias("sender"), F.col("src").alias("receiver"))
     parts: list[DataFrame] = []
     with MessageRoutes(links, rows_per_slice) as routes:
-        below = paths.levels[-1].withColumn("delta", F.lit(0.0))
-        for level in reversed(paths.levels[:-1]):
+        below = paths.level(paths.depth - 1).withColumn("delta", F.lit(0.0))
+        for dist in reversed(range(paths.depth - 1)):
+            level = paths.level(dist)
             share = ((F.lit(1.0) + F.col("delta")) / F.col("sigma")).alias("share")
             got = (
                 routes.send(below.select("pivot", "id", share))
@@ -129,24 +143,30 @@ def betweenness(
 
 def closeness(
     edges: DataFrame,
+    num_pivots: int | None = None,
+    seed: int = 0,
     paths: ShortestPaths | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """(id, closeness) from the distances towards each vertex.
 
-    (r - 1) / sum(d) * (r - 1) / (n - 1), where r vertices reach this one
-    (itself included). The search must have started from all vertices.
+    r / sum(d) * r / (n - 1), where r other vertices reach this one. With fewer
+    pivots than vertices, r and the sum are scaled by n / num_pivots; a vertex
+    that no pivot reaches is left out.
     """
     if paths is None:
         edges = cut_lineage(simple_edges(edges))
-        paths = shortest_paths(edges, vertex_set(edges), rows_per_slice)
-    n = paths.levels[0].count()
+        vertices = cut_lineage(vertex_set(edges))
+        paths = shortest_paths(edges, _pivots(vertices, num_pivots, seed), rows_per_slice)
+    n, used = vertex_set(edges).count(), paths.level(0).count()
     sums = paths.table().groupBy("id").agg(
-        F.count(F.lit(1)).alias("r"), F.sum("dist").alias("total")
+        F.count(F.lit(1)).alias("r"), F.sum("dist").alias("total"), F.min("dist").alias("nearest")
     )
-    near = F.col("r") - 1
+    # The vertex itself, where it is a pivot, is at distance 0.
+    near = (F.col("r") - (F.col("nearest") == 0).cast("int")) * F.lit(n / used if used < n else 1)
+    total = F.col("total") * F.lit(n / used if used < n else 1)
     value = F.when(
-        F.col("total") > 0, near / F.nullif("total", F.lit(0)) * near / F.lit(max(n - 1, 1))
+        F.col("total") > 0, near / F.nullif(total, F.lit(0)) * near / F.lit(max(n - 1, 1))
     ).otherwise(0.0)
     return sums.select("id", value.alias("closeness"))
 

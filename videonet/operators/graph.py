@@ -17,7 +17,6 @@ from videonet.operators.skew import (
     hot_slices,
     spread_rows,
 )
-from videonet.session import fixed_layout
 
 UNKNOWN = "Unknown"
 
@@ -120,8 +119,8 @@ class MessageRoutes:
 
     The edges (sender, receiver, ...) stay cached, hash-partitioned by sender.
     Senders with very many edges are cut into slices, and their state is copied
-    to each slice, so no task holds all edges of a hub. Inside the `with` block
-    all shuffles use the same number of partitions, chosen by the number of edges.
+    to each slice, so no task holds all edges of a hub. The number of partitions
+    follows the number of edges; the state is shuffled to match this layout.
     """
 
     def __init__(self, edges: DataFrame, rows_per_slice: int = ROWS_PER_SLICE):
@@ -131,31 +130,23 @@ class MessageRoutes:
         partitions = max(
             spark.sparkContext.defaultParallelism, math.ceil(total / EDGES_PER_PARTITION)
         )
-        hot = hot_slices(counts, "sender", rows_per_slice=rows_per_slice).persist()
-        self._hot = None if hot.isEmpty() else hot
+        self._hot = hot_slices(counts, "sender", rows_per_slice=rows_per_slice)
         counts.unpersist()
-        self._keys = ["sender"]
-        if self._hot is not None:
-            self._keys = ["sender", SLICE]
-            edges = spread_rows(edges, self._hot, "sender", ["receiver"])
+        self._keys = ["sender", SLICE]
         self.edges = (
-            edges.repartition(partitions, *self._keys).sortWithinPartitions(*self._keys).persist()
+            spread_rows(edges, self._hot, "sender", ["receiver"])
+            .repartition(partitions, *self._keys)
+            .sortWithinPartitions(*self._keys)
+            .persist()
         )
-        self._layout = fixed_layout(spark, partitions)
 
     def send(self, state: DataFrame) -> DataFrame:
         """Edges joined with the state (id, ...) of their sender."""
-        out = state.withColumnRenamed("id", "sender")
-        if self._hot is not None:
-            out = copy_to_slices(out, self._hot, "sender")
+        out = copy_to_slices(state.withColumnRenamed("id", "sender"), self._hot, "sender")
         return self.edges.join(out, self._keys).drop(SLICE)
 
     def __enter__(self) -> MessageRoutes:
-        self._layout.__enter__()
         return self
 
     def __exit__(self, *error) -> None:
-        self._layout.__exit__(*error)
         self.edges.unpersist()
-        if self._hot is not None:
-            self._hot.unpersist()

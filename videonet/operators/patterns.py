@@ -8,12 +8,15 @@ exact and neither forms the pairs of a hub.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from videonet.operators.degree import degree_table
 from videonet.operators.graph import edges_of_category, simple_edges, weighted_edges
+from videonet.operators.ranks import numbered, running_sum
 from videonet.operators.search import by_category, check_limit
 from videonet.operators.skew import (
     SLICE,
@@ -22,10 +25,19 @@ from videonet.operators.skew import (
     sliced_join,
     spread_rows,
 )
-from videonet.session import cut_lineage
+from videonet.session import cut_lineage, write_through
 
 # Rows of a hot target that one task pairs with all rows of that target.
 PAIR_ROWS_PER_SLICE = 10_000
+# Sources that a listing of pairs compares with all others in its first round.
+SOURCES_AT_FIRST = 256
+# Numbers of matches grow with the square of a degree and do not fit 64 bits.
+COUNT = "decimal(38,0)"
+
+
+def wide(name: str) -> Column:
+    """A 64-bit number whose products are exact."""
+    return F.col(name).cast("decimal(19,0)")
 
 
 def related_pairs(
@@ -69,13 +81,14 @@ def path_matches(
     vertex the number of ways to finish the path is counted backwards, up to
     max_results. Going forward, a partial path takes only as many next edges as
     the paths before it leave room for, so at most max_results rows exist.
-    Parallel edges travel as one row with a number of copies.
+    Parallel edges travel as one row with a number of copies. Edges, counts and
+    partial paths are stored, so each hop reads them instead of making them anew.
     """
     limit = check_limit(max_results)
     if hops < 1:
         raise ValueError("a path needs at least one edge")
     allowed = allowed or {}
-    base = weighted_edges(edges)
+    base = write_through(weighted_edges(edges), "path-edges")
     # Sizes before any restriction: an upper bound that all hops share.
     counts = base.groupBy("dst").agg(F.count(F.lit(1)).alias("n"))
 
@@ -101,7 +114,9 @@ def path_matches(
         steps.insert(0, step)
         if hop > 0:
             total = up_to_limit(F.sum(up_to_limit(F.col("weight") * F.col("ways"))))
-            ways = step.groupBy(F.col("src").alias("dst")).agg(total.alias("ways"))
+            ways = write_through(
+                step.groupBy(F.col("src").alias("dst")).agg(total.alias("ways")), "path-ways"
+            )
 
     paths = (
         steps[0]
@@ -116,21 +131,19 @@ def path_matches(
     )
     for hop in range(1, hops):
         names = [f"v{i}" for i in range(hop + 1)]
-        # These windows run over at most max_results rows.
-        before = Window.partitionBy().orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
-        taken = F.coalesce(F.sum(F.col("copies") * F.col("ways")).over(before), F.lit(0))
-        # Few rows, needed twice below: stored instead of computed twice.
-        paths = cut_lineage(
-            paths.withColumn("room", F.lit(limit) - taken).filter(F.col("room") > 0)
+        taken = running_sum(
+            paths.withColumn("found", F.col("copies") * F.col("ways")), [], names, "found", "taken"
+        )
+        paths = write_through(
+            taken.withColumn("room", F.lit(limit) - F.col("taken"))
+            .filter(F.col("room") > 0)
+            .drop("taken", "found"),
+            "paths",
         )
         last = names[-1]
-        # At most max_results ids.
         ends = paths.select(F.col(last).alias("src")).distinct()
-        order = Window.partitionBy("src").orderBy("dst")
         nexts = (
-            steps[hop]
-            .join(F.broadcast(ends), "src", "left_semi")
-            .withColumn("place", F.row_number().over(order))
+            numbered(steps[hop].join(ends, "src", "left_semi"), ["src"], ["dst"], "place")
             .filter(F.col("place") <= limit)
             .select(F.col("src").alias(last), F.col("dst").alias(f"v{hop + 1}"), "weight",
                     "ways", "place")
@@ -157,16 +170,56 @@ def chains(
     length: int = 2,
     max_results: int = 30,
 ) -> DataFrame:
-    """(a)->(b)->(c)... of `length` edges, `a` in the category. Length 1 lists pairs."""
+    """(a)->(b)->(c)... of `length` edges, `a` in the category. Length 1 lists pairs.
+
+    The columns are video_a ... video_z, video_aa, video_ab and so on.
+    """
     if length == 1:
         return related_pairs(edges, videos, category, max_results)
     allowed = {}
     if videos is not None and category:
         allowed[0] = by_category(videos, category).select("id")
     paths = path_matches(edges, length, max_results, allowed)
-    if length > 25:
-        return paths
-    return paths.toDF(*[f"video_{chr(ord('a') + i)}" for i in range(length + 1)])
+    return paths.toDF(*[f"video_{letters(i)}" for i in range(length + 1)])
+
+
+def letters(place: int) -> str:
+    """a ... z, aa, ab ... for the places 0, 1, ..."""
+    head, tail = divmod(place, 26)
+    return (letters(head - 1) if head else "") + chr(ord("a") + tail)
+
+
+def meeting_rows(
+    left: DataFrame, right: DataFrame, key: str, by: list[str], rows_per_slice: int = PAIR_ROWS_PER_SLICE
+) -> DataFrame:
+    """left JOIN right USING (key) where both have many rows of a key: hot keys of the left are cut into slices.
+
+    The result has as many rows as there are matches; for a hub that is the square of its degree.
+    """
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    hot = hot_slices(counts, key, rows_per_slice=rows_per_slice)
+    rows = spread_rows(left, hot, key, by).join(copy_to_slices(right, hot, key), [key, SLICE])
+    return rows.drop(SLICE)
+
+
+def chain_join(edges: DataFrame, videos: DataFrame, category: str) -> DataFrame:
+    """All chains (a)->(b)->(c) with `a` in the category, as rows, parallel edges repeated."""
+    firsts = edges_of_category(edges, videos, category).select(
+        F.col("src").alias("video_a"), F.col("dst").alias("video_b")
+    )
+    seconds = edges.select(F.col("src").alias("video_b"), F.col("dst").alias("video_c"))
+    return meeting_rows(firsts, seconds, "video_b", ["video_a"]).select("video_a", "video_b", "video_c")
+
+
+def common_target_join(edges: DataFrame, videos: DataFrame, category: str) -> DataFrame:
+    """All triples (a)->(c)<-(b), a < b, with the target in the category, as rows, parallel edges repeated."""
+    targets = by_category(videos, category).select(F.col("id").alias("dst"))
+    rows = edges.join(targets, "dst", "left_semi").select("src", F.col("dst").alias("common_target"))
+    pairs = meeting_rows(
+        rows.withColumnRenamed("src", "video_a"), rows.withColumnRenamed("src", "video_b"),
+        "common_target", ["video_a"],
+    )
+    return pairs.filter("video_a < video_b").select("video_a", "video_b", "common_target")
 
 
 def chain_counts_by_bridge(edges: DataFrame) -> DataFrame:
@@ -174,7 +227,7 @@ def chain_counts_by_bridge(edges: DataFrame) -> DataFrame:
     return (
         degree_table(edges)
         .filter((F.col("inDegree") > 0) & (F.col("outDegree") > 0))
-        .select("id", (F.col("inDegree") * F.col("outDegree")).alias("num_chains"))
+        .select("id", (wide("inDegree") * wide("outDegree")).cast(COUNT).alias("num_chains"))
     )
 
 
@@ -184,17 +237,19 @@ def chain_counts_by_start(edges: DataFrame) -> DataFrame:
     out = weighted.groupBy(F.col("src").alias("dst")).agg(F.sum("weight").alias("ways"))
     steps = sliced_join(weighted, out, "dst", by=["src"])
     return steps.groupBy(F.col("src").alias("id")).agg(
-        F.sum(F.col("weight") * F.col("ways")).alias("num_chains")
+        F.sum((wide("weight") * wide("ways")).cast("decimal(28,0)")).cast(COUNT).alias("num_chains")
     )
 
 
 def common_counts_by_target(edges: DataFrame) -> DataFrame:
     """Triples (a)->(c)<-(b) with a < b per target c, from sums of the edge weights."""
-    total, squares = F.sum("weight"), F.sum(F.col("weight") * F.col("weight"))
+    total = F.sum("weight").cast("decimal(19,0)")
+    squares = F.sum((wide("weight") * wide("weight")).cast("decimal(28,0)"))
+    half = F.lit(Decimal("0.5"))
     return (
         weighted_edges(edges)
         .groupBy(F.col("dst").alias("id"))
-        .agg(((total * total - squares) / 2).cast("bigint").alias("num_triples"))
+        .agg(((total * total - squares) * half).cast(COUNT).alias("num_triples"))
         .filter(F.col("num_triples") > 0)
     )
 
@@ -217,23 +272,18 @@ def common_recommendations(
         rows = rows.join(targets, "dst", "left_semi")
     sizes = rows.groupBy("dst").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     first = sizes.orderBy("dst").limit(limit)
-    pairs = F.least(F.col("n") * (F.col("n") - 1) / 2, F.lit(float(limit))).cast("bigint")
-    # This window runs over at most max_results targets.
-    before = Window.partitionBy().orderBy("dst").rowsBetween(Window.unboundedPreceding, -1)
-    first = first.withColumn("start", F.coalesce(F.sum(pairs).over(before), F.lit(0)))
-    first = cut_lineage(first.filter(F.col("start") < limit))
-
-    order = Window.partitionBy("dst").orderBy("src")
-    sources = (
-        rows.join(F.broadcast(first.select("dst")), "dst", "left_semi")
-        .withColumn("i", F.row_number().over(order).cast("bigint"))
-        .filter(F.col("i") <= limit + 1)
-    )
-    sources = cut_lineage(sources)
-    i, n = F.col("i"), F.col("n")
-    room = F.lit(limit) - F.col("start") - ((i - 1) * n - (i * (i - 1) / 2).cast("bigint"))
+    n = F.col("n")
+    # n (n - 1) / 2 pairs, or the limit where that is certainly less.
+    pairs = F.when(n > limit, F.lit(limit)).otherwise(F.least(F.expr("n * (n - 1) div 2"), F.lit(limit)))
+    first = running_sum(first.withColumn("pairs", pairs.cast("bigint")), [], ["dst"], "pairs", "start")
+    first = write_through(first.filter(F.col("start") < limit).drop("pairs"), "first-targets")
+
+    sources = numbered(rows.join(first.select("dst"), "dst", "left_semi"), ["dst"], ["src"], "i")
+    sources = write_through(sources.filter(F.col("i") <= limit + 1), "first-sources")
+    i = F.col("i")
+    room = F.lit(limit) - F.col("start") - F.expr("(i - 1) * n - i * (i - 1) div 2")
     left = (
-        sources.join(F.broadcast(first), "dst")
+        sources.join(first, "dst")
         .withColumn("room", room)
         .filter((F.col("room") > 0) & (i < n))
         .select(
@@ -261,70 +311,44 @@ def common_pairs(
     min_common: int = 2,
     videos: DataFrame | None = None,
     category: str | None = None,
+    max_results: int = 1000,
     rows_per_slice: int = PAIR_ROWS_PER_SLICE,
 ) -> DataFrame:
-    """All pairs (a, b), a < b, that share at least `min_common` distinct targets.
+    """Pairs (a, b), a < b, that share at least `min_common` distinct targets; first by (a, b).
 
-    Two sources with t common targets still share one after each has set aside
-    its t - 1 most popular targets. Pairs are formed on the remaining targets
-    only, so a hub that everyone links to forms none; the targets set aside are
-    looked up afterwards to complete the count. Targets with very many
-    remaining sources are cut into slices.
+    Sources are taken in order, a few at first and twice as many each time, and
+    compared with all others until there are enough pairs. So a target that
+    everyone links to costs its size times the few sources taken, not its square.
     """
-    if min_common < 2:
-        raise ValueError("min_common starts at 2; common_recommendations lists single targets")
+    limit = check_limit(max_results)
+    if min_common < 1:
+        raise ValueError(f"pairs share at least one target, got {min_common}")
     links = simple_edges(edges)
     if videos is not None and category:
         targets = by_category(videos, category).select(F.col("id").alias("dst"))
         links = links.join(targets, "dst", "left_semi")
-    links = cut_lineage(links)
-    popularity = links.groupBy("dst").agg(F.count(F.lit(1)).alias("n"))
-    shared = sliced_join(
-        links, popularity.filter(F.col("n") > 1), "dst", by=["src"], counts=popularity
-    )
-    popular_first = Window.partitionBy("src").orderBy(F.desc("n"), "dst")
-    aside = (
-        shared.withColumn("place", F.row_number().over(popular_first))
-        .filter(F.col("place") <= min_common - 1)
-        .select("src", "dst")
-    )
-    # At most min_common - 1 entries per source.
-    aside_lists = aside.groupBy("src").agg(F.collect_list("dst").alias("aside"))
-    rest = shared.select("src", "dst").join(aside, ["src", "dst"], "left_anti")
-    rest = cut_lineage(sliced_join(rest, aside_lists, "src", by=["dst"]))
-
-    counts = rest.groupBy("dst").agg(F.count(F.lit(1)).alias("n"))
-    hot = hot_slices(counts, "dst", rows_per_slice=rows_per_slice)
-    left = spread_rows(rest, hot, "dst", ["src"]).withColumnsRenamed(
-        {"src": "a", "aside": "aside_a"}
-    )
-    right = copy_to_slices(rest, hot, "dst").withColumnsRenamed({"src": "b", "aside": "aside_b"})
-    pairs = (
-        left.join(right, ["dst", SLICE])
-        .filter(F.col("a") < F.col("b"))
-        # The lists belong to a and b, so they do not split the groups.
-        .groupBy("a", "b", "aside_a", "aside_b")
-        .agg(F.count(F.lit(1)).alias("found"))
-    )
-    # Matches that involve a target set aside by one of the two.
-    in_b = F.transform("aside_a", lambda t: F.struct(F.col("b").alias("src"), t.alias("dst")))
-    in_a = F.transform(
-        F.array_except("aside_b", "aside_a"),
-        lambda t: F.struct(F.col("a").alias("src"), t.alias("dst")),
-    )
-    probes = pairs.select(
-        "a", "b", F.lit(0).cast("bigint").alias("found"), F.explode(F.concat(in_b, in_a)).alias("p")
-    ).select("a", "b", "found", "p.src", "p.dst")
-    hits = probes.join(links, ["src", "dst"], "left_semi").select(
-        "a", "b", F.lit(1).cast("bigint").alias("found")
-    )
-    return (
-        pairs.select("a", "b", "found")
-        .union(hits)
-        .groupBy(F.col("a").alias("video_a"), F.col("b").alias("video_b"))
-        .agg(F.sum("found").alias("num_common"))
-        .filter(F.col("num_common") >= min_common)
-    )
+    shared = links.groupBy("dst").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    links = write_through(links.join(shared, "dst", "left_semi").select("src", "dst"), "shared-links")
+    sources = write_through(numbered(links.select("src").distinct(), [], ["src"], "place"), "sources")
+    total, done, batch = sources.count(), 0, SOURCES_AT_FIRST
+    found: DataFrame | None = None
+    while found is None or (done < total and found.count() < limit):
+        some = sources.filter(F.col("place").between(done + 1, done + batch)).select("src")
+        left = links.join(some, "src", "left_semi").select(F.col("src").alias("video_a"), "dst")
+        right = links.select(F.col("src").alias("video_b"), "dst")
+        pairs = (
+            meeting_rows(left, right, "dst", ["video_a"], rows_per_slice)
+            .filter("video_a < video_b")
+            .groupBy("video_a", "video_b")
+            .agg(F.count(F.lit(1)).alias("num_common"))
+            .filter(F.col("num_common") >= min_common)
+            .orderBy("video_a", "video_b")
+            .limit(limit)
+        )
+        pairs = write_through(pairs, "pairs")
+        found = pairs if found is None else found.union(pairs)
+        done, batch = done + batch, 2 * batch
+    return found.orderBy("video_a", "video_b").limit(limit)
 
 
 def top_counts(counts: DataFrame, column: str, k: int = 10) -> DataFrame:
@@ -364,6 +388,47 @@ def motif(
     return path_matches(edges, hops, max_results, allowed)
 
 
+def motif_links(
+    edges: DataFrame,
+    links: list[tuple[str, str]],
+    vertices: DataFrame | None = None,
+    where: dict[str, Column] | None = None,
+    edge_where: dict[int, Column] | None = None,
+    max_results: int = 100,
+) -> DataFrame:
+    """Matches of several links between named vertices, e.g. [("a", "b"), ("c", "b"), ("b", "a")].
+
+    `where` maps a name to a condition on the vertex table, `edge_where` the place
+    of a link to a condition on its edge. Each link but the first shares a name
+    with earlier ones. Returns the ids by name, in order, parallel edges repeated.
+    """
+    limit = check_limit(max_results)
+    where, edge_where = where or {}, edge_where or {}
+    rows: DataFrame | None = None
+    for place, (source, target) in enumerate(links):
+        step = edges.filter(edge_where[place]) if place in edge_where else edges
+        if source == target:
+            step = step.filter("src = dst").select(F.col("src").alias(source))
+        else:
+            step = step.select(F.col("src").alias(source), F.col("dst").alias(target))
+        known = set() if rows is None else set(rows.columns)
+        for name in dict.fromkeys((source, target)):
+            if vertices is not None and name not in known:
+                ids = vertices.filter(where[name]) if name in where else vertices
+                step = step.join(ids.select(F.col("id").alias(name)), name, "left_semi")
+        both = [name for name in dict.fromkeys((source, target)) if name in known]
+        if rows is None:
+            rows = step
+        elif not both:
+            raise ValueError(f"link {place} shares no vertex with the links before it")
+        elif len(both) == 1 and source != target:
+            rows = meeting_rows(rows, step, both[0], [c for c in rows.columns if c != both[0]])
+        else:
+            rows = rows.join(step, both)
+    names = list(dict.fromkeys(name for link in links for name in link))
+    return rows.select(*names).orderBy(*names).limit(limit)
+
+
 def typed_edges(edges: DataFrame, videos: DataFrame) -> DataFrame:
     """user -> video (uploaded) and video -> video (related) as one edge list."""
     uploads = videos.filter(F.col("uploader").isNotNull()).select(

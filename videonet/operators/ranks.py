@@ -9,6 +9,35 @@ from pyspark.sql.window import Window
 from videonet.session import cut_lineage
 
 
+def running_sum(df: DataFrame, by: list[str], order: list, value: str, name: str) -> DataFrame:
+    """The rows with the sum of `value` over the earlier rows of their group (keys without nulls).
+
+    Rows are range-partitioned and summed per range; only range totals, one row
+    per range and group, are accumulated over a whole group.
+    """
+    ranges = cut_lineage(
+        df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id())
+    )
+    totals = ranges.groupBy(*by, "_range").agg(F.sum(value).alias("_sum"))
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(*by, "_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(*by, "_range").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    earlier = (F.col("_start") + F.col("_inside")).alias(name)
+    return (
+        ranges.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+        .join(starts, [*by, "_range"])
+        .select(*[c for c in df.columns if c != "_one"], earlier)
+    )
+
+
+def numbered(df: DataFrame, by: list[str], order: list, name: str) -> DataFrame:
+    """The rows with their 1-based place in their group."""
+    one = df.withColumn("_one", F.lit(1).cast("bigint"))
+    return running_sum(one, by, order, "_one", name).withColumn(name, F.col(name) + 1)
+
+
 def cumulative_counts(df: DataFrame, value: str, by: str | None = None) -> DataFrame:
     """(by, value, num_rows, below): rows of the group that have a smaller value.
 

@@ -49,24 +49,41 @@ def sample_n(df: DataFrame, n: int, key: list[str], seed: int) -> DataFrame:
     return sample_limit(df, n, key, seed)
 
 
-def hub_subgraph(edges: DataFrame, n: int = 100) -> DataFrame:
+def hub_subgraph(edges: DataFrame, n: int = 100, seed: int = 0) -> DataFrame:
     """Edges among n videos around the n / 2 largest senders.
 
-    Takes up to 5 n edges that touch a hub and of their ends the first n ids.
-    Returns no rows when there are no edges; `fallback_videos` then samples.
+    Takes up to 5 n random edges that touch a hub; where no edge has a sender,
+    2 n random edges. Of their ends the hubs are kept first, then those with most
+    of these edges. Returns no rows when there are no edges; see `hub_videos`.
     """
     check_limit(n)
     hubs = out_degree(edges).filter(F.col("id").isNotNull())
     hubs = hubs.orderBy(F.desc("outDegree"), "id").limit(max(n // 2, 1)).select("id")
     # Few rows, read several times: stored once.
     hubs = cut_lineage(hubs)
-    near = cut_lineage(incident_edges(edges, hubs).orderBy(*EDGE_KEY).limit(5 * n))
-    members = vertex_set(near).filter(F.col("id").isNotNull()).orderBy("id").limit(n)
-    return induced_edges(near, members)
+    if hubs.isEmpty():
+        near = sample_n(edges, 2 * n, EDGE_KEY, seed)
+    else:
+        near = sample_n(incident_edges(edges, hubs), 5 * n, EDGE_KEY, seed)
+    near = cut_lineage(near)
+    ends = near.select(F.explode(F.array("src", "dst")).alias("id")).filter(F.col("id").isNotNull())
+    members = (
+        ends.groupBy("id").agg(F.count(F.lit(1)).alias("links"))
+        .join(hubs.withColumn("hub", F.lit(1)), "id", "left")
+        .orderBy(F.coalesce("hub", F.lit(0)).desc(), F.desc("links"), "id")
+        .limit(n)
+    )
+    return induced_edges(near, members.select("id"))
+
+
+def hub_videos(edges: DataFrame, videos: DataFrame, n: int = 100, seed: int = 0) -> DataFrame:
+    """(id): the ends of the hub subgraph; where it has no edge, random videos, shown as isolated vertices."""
+    ends = cut_lineage(vertex_set(hub_subgraph(edges, n, seed)).filter(F.col("id").isNotNull()))
+    return fallback_videos(videos, n, seed).select("id") if ends.isEmpty() else ends
 
 
 def fallback_videos(videos: DataFrame, n: int = 100, seed: int = 0) -> DataFrame:
-    """Random videos, shown as isolated vertices where the graph has no edges."""
+    """Random videos."""
     return sample_n(videos, n, ["id"], seed)
 
 

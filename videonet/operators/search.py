@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from videonet.functions import cleaning, labels
+from videonet.operators.ranks import numbered
 
 ALL_CATEGORIES = "All Categories"
-MAX_RESULTS = 1000
 
 
 def check_limit(k: int) -> int:
-    if not 1 <= k <= MAX_RESULTS:
-        raise ValueError(f"result limit must be between 1 and {MAX_RESULTS}, got {k}")
+    if k < 1:
+        raise ValueError(f"result limit must be at least 1, got {k}")
     return k
 
 
@@ -124,11 +124,9 @@ def latest_snapshot(snapshots: DataFrame) -> DataFrame:
 
 
 def rank_output(df: DataFrame, order: list, k: int) -> DataFrame:
-    """Top k rows with a 1-based rank. The window sees only the k rows."""
-    window = Window.partitionBy().orderBy(*order)
-    return df.orderBy(*order).limit(check_limit(k)).withColumn(
-        "rank", F.row_number().over(window).cast("bigint")
-    )
+    """Top k rows with a 1-based rank, numbered range by range."""
+    top = df.orderBy(*order).limit(check_limit(k))
+    return numbered(top, [], order, "rank")
 
 
 def crawl_deltas(snapshots: DataFrame) -> DataFrame:

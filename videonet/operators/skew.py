@@ -1,9 +1,9 @@
 """Joins of a large table with a table that is unique per key, safe for hot keys.
 
-The hottest keys are cut into slices: each row of the large side goes to one
-slice, and the matching row of the other side is copied to all slices of its
-key. At most HOT_KEYS keys are listed, so the list is safe to broadcast, and
-any key left out holds less than 1 / HOT_KEYS of all rows.
+Every hot key is cut into slices: each row of the large side goes to one slice,
+and the matching row of the other side is copied to all slices of its key. The
+list of hot keys is stored as a table, so Spark knows its size: it broadcasts a
+short list and joins a long one by a shuffle that adaptive execution can split.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 1000
+from videonet.session import write_through
+
 ROWS_PER_SLICE = 1_000_000
 NULL_SLICES = 1024
 SLICE = "_slice"
@@ -20,20 +21,18 @@ SLICE = "_slice"
 def hot_slices(
     counts: DataFrame, key: str, n: str = "n", rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
-    """(key, _slices) for the hottest keys of a (key, n) table."""
-    return (
-        counts.filter(F.col(key).isNotNull() & (F.col(n) > rows_per_slice))
-        .orderBy(F.desc(n), key)
-        .limit(HOT_KEYS)
-        .select(key, F.ceil(F.col(n) / rows_per_slice).cast("int").alias("_slices"))
+    """(key, _slices) for all keys of a (key, n) table with more rows than a slice holds."""
+    hot = counts.filter(F.col(key).isNotNull() & (F.col(n) > rows_per_slice)).select(
+        key, F.ceil(F.col(n) / rows_per_slice).cast("int").alias("_slices")
     )
+    return write_through(hot, "hot-keys")
 
 
 def spread_rows(fact: DataFrame, hot: DataFrame, key: str, by: list[str]) -> DataFrame:
     """Give each row of a hot key one of its slices, chosen by the columns `by`."""
     spread = F.xxhash64(*by)
     return (
-        fact.join(F.broadcast(hot), key, "left")
+        fact.join(hot, key, "left")
         .withColumn(
             SLICE,
             F.when(F.col(key).isNull(), F.pmod(spread, F.lit(NULL_SLICES)))
@@ -49,7 +48,7 @@ def copy_to_slices(dim: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     """Copy the rows of a hot key to each of its slices."""
     last: Column = F.coalesce(F.col("_slices"), F.lit(1)) - 1
     return (
-        dim.join(F.broadcast(hot), key, "left")
+        dim.join(hot, key, "left")
         .withColumn(SLICE, F.explode(F.sequence(F.lit(0), last)))
         .drop("_slices")
     )

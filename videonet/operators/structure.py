@@ -14,8 +14,7 @@ from videonet.session import cut_lineage
 def _rewire(neighbours: DataFrame, rows_per_slice: int, emit) -> DataFrame:
     """Distinct links emitted from the rows (u, v, m), m the smallest of u and its neighbours.
 
-    The centres are counted once; only if some vertex has very many neighbours
-    does the join cut it into slices.
+    The centres are counted once; those with very many neighbours are cut into slices.
     """
     centres = (
         neighbours.groupBy("u")
@@ -23,11 +22,9 @@ def _rewire(neighbours: DataFrame, rows_per_slice: int, emit) -> DataFrame:
         .persist()
     )
     lows = centres.select("u", F.least("u", "low").alias("m"))
-    if (centres.agg(F.max("n")).first()[0] or 0) > rows_per_slice:
-        counts = centres.select("u", "n")
-        rows = sliced_join(neighbours, lows, "u", ["v"], counts, rows_per_slice=rows_per_slice)
-    else:
-        rows = neighbours.join(lows, "u")
+    rows = sliced_join(
+        neighbours, lows, "u", ["v"], centres.select("u", "n"), rows_per_slice=rows_per_slice
+    )
     links = cut_lineage(emit(rows).distinct())
     centres.unpersist()
     return links
@@ -83,20 +80,23 @@ def component_count(components: DataFrame) -> DataFrame:
 
 
 def _reached(edges: DataFrame, start: str, rows_per_slice: int) -> int:
-    """Number of vertices reachable from `start`; edges are (sender, receiver)."""
-    spark = edges.sparkSession
-    frontier = spark.range(1).select(F.lit(start).alias("id"))
-    seen = frontier
-    count = 1
+    """Number of vertices reachable from `start`; edges are (sender, receiver).
+
+    One state (id, level) is replaced in each round, so a round reads each vertex
+    once; rounds grow with the distance of the farthest vertex.
+    """
+    state = edges.sparkSession.range(1).select(F.lit(start).alias("id"), F.lit(0).alias("level"))
+    level = 0
     with MessageRoutes(edges, rows_per_slice) as routes:
         while True:
-            nexts = routes.send(frontier).select(F.col("receiver").alias("id")).distinct()
-            frontier = cut_lineage(nexts.join(seen, "id", "left_anti"))
-            new = frontier.count()
-            if new == 0:
-                return count
-            count += new
-            seen = seen.union(frontier)
+            level += 1
+            sent = routes.send(state.filter(F.col("level") == level - 1).select("id"))
+            state = cut_lineage(
+                state.union(sent.select("receiver", F.lit(level)))
+                .groupBy("id").agg(F.min("level").alias("level"))
+            )
+            if state.filter(F.col("level") == level).isEmpty():
+                return state.count()
 
 
 def strongly_connected(edges: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> bool:

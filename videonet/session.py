@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,27 +28,22 @@ def build_session(app_name: str = "videonet", conf: dict[str, str] | None = None
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir.
+    """This session's folder below the shared one named in spark.checkpoint.dir; deleted when its JVM ends.
 
-    Where that is unset, a folder below the warehouse, which executors share as
-    well; it is deleted when the session's JVM ends.
+    Where that is unset, the shared folder is one below the warehouse, which executors share as well.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
+    if not sc.getCheckpointDir():
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        configured = f"{warehouse}/_scratch-{uuid.uuid4().hex}"
-        path = sc._jvm.org.apache.hadoop.fs.Path(configured)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_scratch")
+    root = sc.getCheckpointDir()
+    path = sc._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder."""
+    """A fresh path below this session's shared folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
@@ -64,24 +58,3 @@ def write_through(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-@contextmanager
-def fixed_layout(spark: SparkSession, partitions: int):
-    """Run the rounds of a loop with one number of partitions and no re-planning.
-
-    The loops lay their edges out once, by size, and cut hot vertices
-    themselves, so planning every small stage anew only adds time to each round.
-    """
-    settings = {
-        "spark.sql.adaptive.enabled": "false",
-        "spark.sql.shuffle.partitions": str(partitions),
-    }
-    before = {key: spark.conf.get(key) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
