@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import re
+from array import array
 from functools import lru_cache
 
-import numpy as np
 from tokenizers import Tokenizer
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 600_000
+
+_LOWER = bytes(ord(chr(byte).lower()) for byte in range(256))
+# A full stop or comma between a letter and a blank is a word of its own for the tokenizer.
+_STOPS = re.compile(rb"(?<=[a-z\xdf-\xf6\xf8-\xff])([.,])(?=[ \n]|\Z)")
 
 
 class WordEncoder:
-    """Ids of a text by a tokenizer that drops white space and never joins characters across it.
+    """Ids of a text by a lower-casing tokenizer that drops white space and never joins characters across it.
 
     Such a tokenizer gives a text the ids of its parts between blanks, one after the other, so each part is
     encoded by the library once and looked up afterwards. Ids are bytes of little-endian unsigned 32-bit numbers.
@@ -19,41 +24,42 @@ class WordEncoder:
 
     def __init__(self, path: str):
         self._tokenizer = Tokenizer.from_file(path)
-        self._parts: dict[str, bytes] = {"": b""}
-        self._stems: dict[str, bytes] = {}
-
-    def _learn(self, parts: set[str]) -> None:
-        split = {}
-        for part in parts:
-            stem = part.rstrip(".,")
-            # Letters up to U+00FF have one lower case, and the tokenizer parts letters from full stops and commas.
-            if stem.isalpha() and max(stem) < "Ā":
-                split[part] = (stem.lower(), part[len(stem):])
+        self._known: dict[str | bytes, bytes] = {"": b""}
+
+    def _parts(self, text: str) -> list:
+        """Parts of one text: bytes in lower case where Latin-1 can write it, else as they are."""
+        if "<|" not in text:  # may begin a special token, which is found before letters become lower case
+            try:
+                data = text.encode("latin-1").translate(_LOWER)
+            except UnicodeEncodeError:
+                pass
             else:
-                split[part] = (part, "")
-        if len(self._stems) > CACHE_ENTRIES:
-            self._stems.clear()
-        new = list({s for pair in split.values() for s in pair if s and s not in self._stems})
-        for first in range(0, len(new), 1024):
-            names = new[first:first + 1024]
-            for name, found in zip(names, self._tokenizer.encode_batch_fast(names, add_special_tokens=False)):
-                self._stems[name] = np.array(found.ids, "<u4").tobytes()
-        if len(self._parts) > CACHE_ENTRIES:
-            self._parts.clear()
-            self._parts[""] = b""
-        known = self._stems
-        for part, (stem, tail) in split.items():
-            self._parts[part] = known[stem] + known[tail] if tail else known[stem]
+                return _STOPS.sub(rb" \1", data).split()
+        return text.replace("\n", " ").split(" ")
+
+    def _learn(self, parts: list) -> dict:
+        """The ids of parts; kept for later texts as long as there is room."""
+        found = {}
+        names = [part if isinstance(part, str) else part.decode("latin-1") for part in parts]
+        for first in range(0, len(names), 1024):
+            encoded = self._tokenizer.encode_batch_fast(names[first:first + 1024], add_special_tokens=False)
+            for part, ids in zip(parts[first:first + 1024], encoded):
+                found[part] = array("I", ids.ids).tobytes()
+        if len(self._known) + len(found) > CACHE_ENTRIES:
+            self._known = {"": b""}
+        if len(found) < CACHE_ENTRIES:
+            self._known.update(found)
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        lists = [text.replace("\n", " ").split(" ") for text in texts]
-        missing = set().union(*lists) - self._parts.keys()
+        lists = [self._parts(text) for text in texts]
+        known = self._known
+        missing = list(set().union(*lists).difference(known))
         if missing:
-            before = len(self._parts)
-            self._learn(missing)
-            if len(self._parts) < before + len(missing):  # the cache was emptied: all parts of these texts once more
-                self._learn(set().union(*lists) - self._parts.keys())
-        find = self._parts.__getitem__
+            found = self._learn(missing)
+            if self._known is not known:  # begun anew: both what was known and what was not is needed here
+                known = {**known, **found}
+        find = known.__getitem__
         return [b"".join(map(find, parts)) for parts in lists]
 
 
