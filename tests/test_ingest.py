@@ -7,7 +7,7 @@ import pytest
 
 from videonet.operators import ingest
 from videonet.plans.jobs import ingest_crawls
-from videonet.sources import crawl_files
+from videonet.sources import crawl_files, sinks
 from videonet.sources.catalog import Catalog
 from videonet.streaming.incremental import stream_ingest
 
@@ -166,9 +166,10 @@ def test_only_data_files_are_read(spark, tmp_path):
     write(root, "c", "ReadMe.txt", "no")
     write(root, "c", "a.txt", "a1", "a2")
     write(root, "c", "7.txt", raw=b"ok\xff\xfe!\n")
+    write(root, "c", "8.txt", raw="a\ufffdb\nc\ufffdd".encode() + b"\xff\n")
     lines = crawl_files.read_raw_crawl(spark, root).collect()
     assert sorted((r.file_name, r.value) for r in lines) == [
-        ("7.txt", "ok!"), ("a.txt", "a1"), ("a.txt", "a2"),
+        ("7.txt", "ok!"), ("8.txt", "a\ufffdb"), ("8.txt", "c\ufffdd"), ("a.txt", "a1"), ("a.txt", "a2"),
     ]
 
 
@@ -213,6 +214,61 @@ def test_new_crawl_is_merged_and_force_replaces(spark, raw, tmp_path):
     assert tables(spark, base) == incremental
 
 
+@pytest.mark.parametrize("step", ["video_snapshots", "videos", "crawls"])
+def test_failed_run_changes_nothing_that_is_visible(spark, raw, tmp_path, monkeypatch, step):
+    """A run that dies before writing a table, or before registering, is repeated by the next one."""
+    base = str(tmp_path / "tables")
+    ingest_crawls(spark, raw, base)
+    before = tables(spark, base)
+    write(raw, "0303", "0.txt", line(category="Sport"), line(id="ccccccccccc"))
+    entities, version = sinks.write_entities, Catalog.write_version
+
+    def failing_entities(df, path, replace_all=False):
+        if path.endswith(step):
+            raise RuntimeError("lost")
+        entities(df, path, replace_all)
+
+    def failing_version(self, name, rows):
+        if name == step:
+            # Files of a write that was broken off, without the mark of a complete one.
+            rows.write.mode("overwrite").parquet(f"{self.path(name)}/version=99")
+            os.remove(f"{self.path(name)}/version=99/_SUCCESS")
+            raise RuntimeError("lost")
+        return version(self, name, rows)
+
+    monkeypatch.setattr(sinks, "write_entities", failing_entities)
+    monkeypatch.setattr(Catalog, "write_version", failing_version)
+    with pytest.raises(RuntimeError):
+        ingest_crawls(spark, raw, base)
+    monkeypatch.undo()
+    assert tables(spark, base) == before
+    ingest_crawls(spark, raw, base)
+    whole = str(tmp_path / "whole")
+    ingest_crawls(spark, raw, whole)
+    assert tables(spark, base) == tables(spark, whole)
+
+
+def test_first_run_that_fails_shows_nothing(spark, raw, tmp_path, monkeypatch):
+    base = str(tmp_path / "tables")
+
+    def failing(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(ingest, "crawl_registry", failing)
+    with pytest.raises(RuntimeError):
+        ingest_crawls(spark, raw, base)
+    monkeypatch.undo()
+    assert tables(spark, base) == {"videos": [], "video_snapshots": [], "edges": [], "crawls": []}
+
+
+def test_old_versions_are_dropped(spark, raw, tmp_path):
+    base = str(tmp_path / "tables")
+    for i in range(4):
+        write(raw, f"05{i:02d}", "0.txt", line(category="Sport"))
+        ingest_crawls(spark, raw, base)
+    assert len(os.listdir(f"{base}/videos")) <= 3
+
+
 def test_stream_equals_batch_and_takes_late_files(spark, raw, tmp_path):
     base, batch_base = str(tmp_path / "stream"), str(tmp_path / "batch")
     checkpoint = str(tmp_path / "checkpoint")

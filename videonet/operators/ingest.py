@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from videonet.functions import cleaning
+from videonet.session import write_through
 
 LINE_ORDER = ["file_name", "block_start", "line_no"]
 CRAWL_UNKNOWN = "unknown"
@@ -32,17 +33,23 @@ def classify_malformed(lines: DataFrame) -> DataFrame:
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """Malformed lines with the first rule they break."""
-    return (
-        classify_malformed(lines)
-        .filter(F.col("reason").isNotNull())
-        .select("crawl_id", *LINE_ORDER, "value", "reason")
+    return rejects_of(classify_malformed(lines))
+
+
+def rejects_of(classified: DataFrame) -> DataFrame:
+    return classified.filter(F.col("reason").isNotNull()).select(
+        "crawl_id", *LINE_ORDER, "value", "reason"
     )
 
 
 def typed_records(lines: DataFrame) -> DataFrame:
     """Good lines as typed records, duplicates included."""
+    return records_of(classify_malformed(lines))
+
+
+def records_of(classified: DataFrame) -> DataFrame:
     field = F.col("fields").getItem
-    good = classify_malformed(lines).filter(F.col("reason").isNull())
+    good = classified.filter(F.col("reason").isNull())
     return good.select(
         "crawl_id",
         *LINE_ORDER,
@@ -59,6 +66,16 @@ def typed_records(lines: DataFrame) -> DataFrame:
     )
 
 
+def classified_once(lines: DataFrame) -> DataFrame:
+    """Classified lines stored once, for records and rejects; a good line keeps its fields only."""
+    bad = F.col("reason").isNotNull()
+    rows = classify_malformed(lines).withColumns({
+        "value": F.when(bad, F.col("value")),
+        "fields": F.when(~bad, F.col("fields")),
+    })
+    return write_through(rows, "classified")
+
+
 def dedupe_in_crawl(records: DataFrame) -> DataFrame:
     """First record per (crawl, video), with the number of its copies.
 

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from videonet.operators import categories, degree, ingest, sampling, search
 from videonet.operators.graph import build_graph
 from videonet.operators.influence import influence_report, pagerank
+from videonet.operators.metrics import run_measured
 from videonet.operators.patterns import motif_edge
 from videonet.session import build_session, cut_lineage, write_through
+from videonet.schemas import STORED
 from videonet.sources import crawl_files, sinks
 from videonet.sources.catalog import Catalog
 
@@ -59,14 +61,30 @@ def category_analysis(
 
 
 def degree_job(catalog: Catalog, save: bool = True) -> dict[str, DataFrame]:
-    """Degree and category statistics of the stored tables, written unless told otherwise."""
+    """Degree and category statistics of the stored tables, written unless told otherwise.
+
+    What is written is measured while it is written: the run log gains a row per table.
+    """
+    edges = catalog.load_table("edges")
     videos, snapshots = catalog.load_table("videos"), catalog.load_table("video_snapshots")
-    results = degree_analysis(catalog.load_table("edges"))
     by_category = category_analysis(videos, snapshots)
-    if save:
-        sinks.save_degree_stats(results["degrees"], catalog.path("degree_statistics"))
-        sinks.save_categorized(by_category, catalog.path("categorized_statistics"))
-    return {**results, **by_category}
+    if not save:
+        return {**degree_analysis(edges), **by_category}
+    path = catalog.path("degree_statistics")
+    runs = [run_measured("degree_statistics", edges, degree.degree_table,
+                         lambda rows: sinks.save_degree_stats(rows, path))]
+    sources = {"category_counts": videos, "length_distribution": videos, "view_distribution": snapshots}
+    makers = {"category_counts": categories.category_counts, "length_distribution": categories.length_buckets,
+              "view_distribution": categories.view_buckets}
+    for name in by_category:
+        runs.append(run_measured(
+            name, sources[name], makers[name],
+            lambda rows, to=f"{catalog.path('categorized_statistics')}_{name}": (
+                rows.write.mode("overwrite").parquet(to)),
+        ))
+    sinks.append_runs(runs, catalog.path("run_log"))
+    degrees = catalog.spark.read.parquet(path)
+    return {"degrees": degrees, **degree_results(degrees), **by_category}
 
 
 def store_records(
@@ -74,18 +92,24 @@ def store_records(
 ) -> None:
     """Write deduplicated records and register their crawls, which makes them visible.
 
-    Registered crawls keep their stored records and gain the new ones. Edges
-    are written before snapshots and the registry comes last, so running again
-    after a failure writes the same rows.
+    Registered crawls keep their stored records and gain the new ones. Only the
+    registry makes crawls and a version of `videos` visible, and it is written
+    last, as a new version: a run that fails before, or while, registering leaves
+    readers with what they had, and running again writes the same rows. `force`
+    empties the registry first.
     """
     crawls = None if force else _load(catalog, "crawls")
-    old_videos = None
-    version = catalog.videos_version()
-    edges = None
-    if crawls is not None:
-        # Ids of this run's crawls only; as literals they select the partitions to read.
-        again = crawls.filter(F.col("id").isin(crawl_ids)).select("id").collect()
-        touched = F.col("crawl_id").isin([row.id for row in again])
+    if crawls is None:
+        empty = catalog.spark.createDataFrame([], STORED["crawls"])
+        catalog.write_version("crawls", empty)
+    old_videos = None if force else _load(catalog, "videos")
+    edges, snapshots = ingest.explode_edges(records), ingest.project_snapshots(records)
+    # Ids of this run's crawls only; as literals they select the partitions to read.
+    again = [] if crawls is None else [
+        row.id for row in crawls.filter(F.col("id").isin(crawl_ids)).select("id").collect()
+    ]
+    if again:
+        touched = F.col("crawl_id").isin(again)
         old_snapshots = catalog.load_table("video_snapshots").filter(touched)
         old_edges = catalog.load_table("edges").filter(touched)
         known = old_snapshots.select("crawl_id", "video_id")
@@ -100,24 +124,16 @@ def store_records(
         snapshots = write_through(
             old_snapshots.unionByName(ingest.project_snapshots(records)), "snapshots"
         )
-        old_videos = catalog.load_table("videos")
-    else:
-        edges = ingest.explode_edges(records)
-        snapshots = ingest.project_snapshots(records)
 
     sinks.write_entities(edges, catalog.path("edges"), replace_all=force)
     sinks.write_entities(snapshots, catalog.path("video_snapshots"), replace_all=force)
     videos = ingest.upsert_videos(old_videos, ingest.project_videos(records))
-    videos.write.mode("overwrite").parquet(f"{catalog.path('videos')}/version={version + 1}")
+    version = catalog.write_version("videos", videos)
 
-    rows = ingest.crawl_registry(logs).withColumn(
-        "videos_version", F.lit(version + 1).cast("bigint")
-    )
+    rows = ingest.crawl_registry(logs).withColumn("videos_version", F.lit(version).cast("bigint"))
     if crawls is not None:
-        rows = cut_lineage(
-            crawls.join(rows.select("id"), "id", "left_anti").unionByName(rows)
-        )
-    rows.coalesce(1).write.mode("overwrite").parquet(catalog.path("crawls"))
+        rows = crawls.join(rows.select("id"), "id", "left_anti").unionByName(rows)
+    catalog.write_version("crawls", rows)
 
 
 def _load(catalog: Catalog, name: str) -> DataFrame | None:
@@ -144,8 +160,9 @@ def ingest_crawls(
     if not crawl_ids:
         return None
     lines = crawl_files.read_raw_crawl(spark, raw_dir, crawl_ids)
-    records = write_through(ingest.dedupe_in_crawl(ingest.typed_records(lines)), "records")
-    rejects = ingest.rejected_lines(lines)
+    classified = ingest.classified_once(lines)
+    records = write_through(ingest.dedupe_in_crawl(ingest.records_of(classified)), "records")
+    rejects = ingest.rejects_of(classified)
     sinks.write_entities(rejects, catalog.path("rejected_lines"), replace_all=force)
     logs = cut_lineage(crawl_files.read_crawl_log(spark, raw_dir, crawl_ids))
     store_records(catalog, records, logs, crawl_ids, force)

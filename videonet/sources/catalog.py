@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from videonet.schemas import STORED, TABLES
 
 
+#: Tables that an ingest makes visible by registering crawls.
+REGISTERED = ("crawls", "videos", "video_snapshots", "edges")
+
+
 class Catalog:
     """Reads and writes the tables as files of one format."""
 
@@ -30,29 +34,66 @@ class Catalog:
             return False
 
     def load_table(self, name: str, path: str | None = None) -> DataFrame:
-        """Lazy frame with the fixed schema; runs no job for known tables.
+        """Lazy frame with the fixed schema; runs no job over the data of known tables.
 
-        `videos` is stored in versions; the registry names the current one.
+        `crawls` and `videos` are stored in versions: the newest complete one of
+        the registry counts, and it names that of `videos`. Where there is a
+        registry, only rows of registered crawls are visible in the other tables.
         """
-        if path is None and name == "videos":
-            path = self._videos_path()
+        if path is not None or name not in REGISTERED:
+            return self._read(name, path or self.path(name))
+        version = self._newest("crawls")
+        if version is None:
+            return self._read(name, self.path(name))
+        crawls = self._read("crawls", f"{self.path('crawls')}/version={version}")
+        if name == "crawls":
+            return crawls
+        if name == "videos":
+            current = self.videos_version()
+            if not current:
+                return self.spark.createDataFrame([], STORED[name])
+            return self._read(name, f"{self.path('videos')}/version={current}")
+        known = crawls.select(F.col("id").alias("crawl_id"))
+        return self._read(name, self.path(name)).join(known, "crawl_id", "left_semi")
+
+    def _read(self, name: str, path: str) -> DataFrame:
         reader = self.spark.read.format(self.file_format)
         if name in STORED:
             reader = reader.schema(STORED[name])
-        return reader.load(path or self.path(name))
+        return reader.load(path)
+
+    def _versions(self, name: str, marker: str) -> list[int]:
+        """Versions of a table that have a file or folder of the marker's name; lists names only."""
+        jvm = self.spark.sparkContext._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/version=*{marker}")
+        files = pattern.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        found = [str(status.getPath()) for status in files.globStatus(pattern) or []]
+        return sorted(int(path.split("/version=")[-1].split("/")[0]) for path in found)
+
+    def _newest(self, name: str) -> int | None:
+        """The newest complete version; one whose write was broken off is never read."""
+        versions = self._versions(name, "/_SUCCESS")
+        return versions[-1] if versions else None
+
+    def write_version(self, name: str, rows: DataFrame) -> int:
+        """Write the next version of a table and drop all but the two newest complete ones before it."""
+        version = max(self._versions(name, ""), default=0) + 1
+        complete = self._versions(name, "/_SUCCESS")
+        rows.write.mode("overwrite").parquet(f"{self.path(name)}/version={version}")
+        jvm = self.spark.sparkContext._jvm
+        for old in complete[:-2]:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/version={old}")
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        return version
 
     def videos_version(self) -> int:
         """Number of the current version of `videos`, 0 before the first ingest."""
-        try:
-            crawls = self.load_table("crawls")
-        except AnalysisException:
+        version = self._newest("crawls")
+        if version is None:
             return 0
+        crawls = self._read("crawls", f"{self.path('crawls')}/version={version}")
         return crawls.agg(F.max("videos_version")).first()[0] or 0
 
-    def _videos_path(self) -> str:
-        version = self.videos_version()
-        return f"{self.path('videos')}/version={version}" if version else self.path("videos")
-
     def load_all(self, keep: tuple[str, ...] = ()) -> dict[str, DataFrame]:
         """All tables that exist; those named in `keep` are cached for reuse."""
         tables = {}

@@ -47,6 +47,17 @@ def choose_logs(files: DataFrame) -> DataFrame:
     )
 
 
+def valid_text(value: Column) -> Column:
+    """The text without bytes that are not UTF-8; replacement characters that it holds itself stay.
+
+    They are written as a private mark while the invalid bytes are turned into
+    replacement characters and removed.
+    """
+    own, mark = F.lit("\ufffd"), F.lit("\U0010fffd\U0010fffc")
+    cleaned = F.replace(F.make_valid_utf8(F.replace(value, own, mark)), own, F.lit(""))
+    return F.when(F.is_valid_utf8(value), value).otherwise(F.replace(cleaned, mark, own))
+
+
 def with_line_order(text: DataFrame) -> DataFrame:
     """Add crawl_id, file name and line position to rows of a text source."""
     return text.select(
@@ -54,8 +65,7 @@ def with_line_order(text: DataFrame) -> DataFrame:
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_block_start").alias("block_start"),
-        # Bytes that are not UTF-8 are ignored.
-        F.replace(F.make_valid_utf8("value"), F.lit("\ufffd"), F.lit("")).alias("value"),
+        valid_text(F.col("value")).alias("value"),
     )
 
 

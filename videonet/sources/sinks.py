@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,6 +67,11 @@ def archive_result(
     rows.write.mode("append").partitionBy("kind", "run_ts").parquet(path)
 
 
+def append_runs(runs: list[DataFrame], path: str) -> None:
+    """Append the rows of measured runs to the stored run log."""
+    reduce(DataFrame.unionByName, runs).coalesce(1).write.mode("append").parquet(path)
+
+
 def export_result(df: DataFrame, path: str, file_format: str = "csv") -> None:
     writer = df.write.mode("overwrite")
     if file_format == "csv":

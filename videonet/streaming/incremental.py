@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from videonet.operators import ingest
 from videonet.plans.jobs import store_records
 from videonet.session import cut_lineage, write_through
-from videonet.sources import crawl_files
+from videonet.sources import crawl_files, sinks
 from videonet.sources.catalog import Catalog
 
 
@@ -48,13 +49,22 @@ def store_batch(batch: DataFrame, raw_dir: str, base: str) -> None:
         return
     logs = cut_lineage(crawl_files.read_crawl_log(spark, raw_dir, crawl_ids))
     data = crawl_files.only_data_files(lines, logs.select("crawl_id", "log_file"))
-    records = write_through(ingest.dedupe_in_crawl(ingest.typed_records(data)), "records")
-    rejects = ingest.rejected_lines(data)
-    # One directory per crawl and file, so files of a later batch are kept.
-    (
-        rejects.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("crawl_id", "file_name")
-        .parquet(catalog.path("rejected_lines_by_file"))
-    )
+    classified = ingest.classified_once(data)
+    records = write_through(ingest.dedupe_in_crawl(ingest.records_of(classified)), "records")
+    store_rejects(catalog, ingest.rejects_of(classified), classified.select("crawl_id", "file_name").distinct())
     store_records(catalog, records, logs, crawl_ids, force=False)
+
+
+def store_rejects(catalog: Catalog, rejects: DataFrame, files: DataFrame) -> None:
+    """Replace what the files of a batch had left; rejects of the crawls' other files stay."""
+    path = catalog.path("rejected_lines")
+    try:
+        old = catalog.spark.read.schema(rejects.schema).parquet(path)
+    except AnalysisException:
+        merged = rejects
+    else:
+        touched = files.select("crawl_id").distinct()
+        others = old.join(touched, "crawl_id", "left_semi").join(files, ["crawl_id", "file_name"], "left_anti")
+        # Read before the partitions are replaced.
+        merged = write_through(others.unionByName(rejects), "rejects")
+    sinks.write_entities(merged, path)
