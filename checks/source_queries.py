@@ -128,13 +128,24 @@ def order_logs(d: Data) -> DataFrame:
     return crawl_files.parse_log_lines(lines, logs)
 
 
-@query("read_crawl_log", LOG_SQL + """
+@query("parse_log_lines", LOG_SQL + """
 SELECT path AS crawl_id, 'log.txt' AS log_file, raw_log, start_time, finish_time,
        total_videos, total_time FROM parsed""")
-def read_crawl_log(d):
+def parse_log_lines(d):
     return order_logs(d).drop("parsed_at", "error")
 
 
+@query("read_crawl_log", """
+SELECT 'crawl_id=' || crawl_id AS crawl_id, 'day ' || crawl_id AS start_time, 'later' AS finish_time,
+       count(*) AS total_videos, CAST(7 AS BIGINT) AS total_time,
+       'Start: day ' || crawl_id || chr(10) || 'Total ' || count(*) || ' 7' || chr(10)
+         || 'Finish: later' || chr(10) AS raw_log
+FROM raw_lines GROUP BY crawl_id""")
+def read_crawl_log(d):
+    logs = crawl_files.read_crawl_log(d.spark, raw_files(d))
+    return logs.drop("parsed_at", "error", "log_file")
+
+
 @query("crawl_registry", LOG_SQL + """
 SELECT path AS id, 'Crawl processing from ' || coalesce(start_time, 'unknown') || ' to '
        || coalesce(finish_time, 'unknown') AS notes, total_videos, total_time AS duration_sec
