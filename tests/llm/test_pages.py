@@ -82,6 +82,10 @@ CASES = [
      "keep\nthis\ntoo"),
     ("<article><p>&lt;b&gt; &#233; &copy &#x1F600;</p></article>", "<b> é © 😀"),
     ("<div class=cookie-notice>We use cookies</div><article><p>x</p></article><article class=comment><p>y</p></article>", "x"),
+    ("<div class=top>Some words of the site itself, rather long ones.</div><div class='page content'><div><h1>T</h1></div>"
+     "<div><p>The text of the page, which is longer.</div><div class=sidebar>more</div></div><div>Bottom line</div>",
+     "T\nThe text of the page, which is longer."),
+    ("</div></section><p>stray ends</p></article>", "stray ends"),
     ("<article><div class='ad'><div>a</div><div>b</div></div><p>rest", "rest"),
 ]
 

@@ -4,8 +4,8 @@ Markup is stripped so that every block element is a line of its own, and places
 are runs of empty lines; what menus, forms, scripts and the like contain leaves no line. Text lengths outside
 links are summed over sliding windows of lines: a surge is where a window comes above zero, the dive where one
 falls back to zero. The text between a surge and its dive is kept if its largest window reaches a quarter of the
-page's largest. Where the page marks an article (or else its main part), only lines in it have a length; there a
-line of nothing but links counts as one character, elsewhere as none.
+page's largest. Where the page marks an article (or else its main part, by element or by a name like "content"),
+only lines in it have a length; there a line of nothing but links counts as one character, elsewhere as none.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by line ends.
 A line break element counts as white space. Null html counts as empty; a page without main text gives the empty
@@ -46,7 +46,7 @@ PARAGRAPHS = frozenset(
     " address summary legend hr".split()
 )
 CONTAINERS = frozenset(
-    "html head body div section article main figure details center header".split()
+    "html head body figure details center header".split()
 )
 DROPPED = frozenset("nav footer aside form button dialog menu".split())
 #: Ends at the next element of the same name, as these cannot be nested.
@@ -57,9 +57,12 @@ OTHER_PARTS = frozenset(
     "ad ads adv advert advertisement advertisements adverts sponsor sponsored promo promotion banner cookie cookies"
     " consent gdpr notice popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs comment"
     " comments disqus replies reply related recommended share sharing social newsletter subscribe subscription login"
-    " signup search footer copyright pagination pager complementary contentinfo skip widget".split()
+    " signup search footer copyright pagination pager complementary contentinfo skip widget alert disclaimer feedback"
+    " adbox adslot adsbygoogle sidenav topnav".split()
 )
 OTHER_OUTSIDE_ARTICLE = frozenset("header masthead topbar".split())
+#: Words in class, id or role names of a container that holds the page's main part.
+MAIN_PARTS = frozenset("article content entry main post story".split())
 
 
 class _Page:
@@ -72,6 +75,7 @@ class _Page:
         self._texts: list[str] = []
         self._linked = 0
         self.article = self.main = self.link = 0
+        self.boxes: list[bool] = []  # open containers without a meaning of their own: do they hold the main part
 
     def text(self, text: str) -> None:
         self._texts.append(text)
@@ -97,6 +101,22 @@ class _Page:
             self.parts += [0] * WINDOW_LINES
 
 
+    def box(self, closing: bool, holds_main: bool) -> None:
+        """Open or close a container."""
+        self.gap()
+        if not closing:
+            self.boxes.append(holds_main)
+            self.main += holds_main
+        elif self.boxes:
+            self.main -= self.boxes.pop()
+        self.gap()
+
+
+def _names(rest: str) -> set[str]:
+    """Words in the class, id and role names of an element."""
+    return {w for found in _NAMES.findall(rest) for value in found for w in _WORDS.findall(value.lower())}
+
+
 def _is_other(name: str, rest: str, inside: bool) -> bool:
     if name in DROPPED or (name == "header" and not inside):
         return True
@@ -104,7 +124,7 @@ def _is_other(name: str, rest: str, inside: bool) -> bool:
         return False
     if _HIDDEN.search(rest):
         return True
-    words = {w for found in _NAMES.findall(rest) for value in found for w in _WORDS.findall(value.lower())}
+    words = _names(rest)
     return bool(words & OTHER_PARTS) or (not inside and bool(words & OTHER_OUTSIDE_ARTICLE))
 
 
@@ -138,6 +158,8 @@ def stripped(page: str) -> _Page:
             out.gap()
             setattr(out, name, max(0, getattr(out, name) + (-1 if closing else 1)))
             out.gap()
+        elif name in ("div", "section"):
+            out.box(closing, not closing and bool(_names(token["rest"]) & MAIN_PARTS))
         elif name in PARAGRAPHS:
             out.end_line()
         elif name in CONTAINERS:
