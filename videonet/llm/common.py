@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute
@@ -53,8 +56,26 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> I
         yield batch.slice(first)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to all executors once per application, wherever it was imported from.
+
+    Spark's file server hands the archive out; the driver's temporary file is only what it is given.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_videonet_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="videonet-ship-")) / "videonet.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._videonet_shipped = True
+
+
 def arrow_map(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str | StructType) -> DataFrame:
+    ship_package(df.sparkSession)
     return df.mapInArrow(work, schema)
 
 

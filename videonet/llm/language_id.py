@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from videonet.llm.common import schema_with, slices, table
+from videonet.llm.common import arrow_map, schema_with, slices, table
 from videonet.llm.registry import query
 
 WINDOW = 256
@@ -206,7 +206,7 @@ def predict(docs: DataFrame, net: ByteNet | None, text: str = "text",
                 names=[*batch.schema.names[:-1], *names],
             )
 
-    return lettered.mapInArrow(work, schema)
+    return arrow_map(lettered, work, schema)
 
 
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
