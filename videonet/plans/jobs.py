@@ -14,7 +14,6 @@ from videonet.operators.influence import influence_report, pagerank
 from videonet.operators.metrics import run_measured
 from videonet.operators.patterns import motif_edge
 from videonet.session import build_session, cut_lineage, write_through
-from videonet.schemas import STORED
 from videonet.sources import crawl_files, sinks
 from videonet.sources.catalog import Catalog
 
@@ -100,8 +99,7 @@ def store_records(
     """
     crawls = None if force else _load(catalog, "crawls")
     if crawls is None:
-        empty = catalog.spark.createDataFrame([], STORED["crawls"])
-        catalog.write_version("crawls", empty)
+        catalog.write_version("crawls", catalog.empty("crawls"))
     old_videos = None if force else _load(catalog, "videos")
     edges, snapshots = ingest.explode_edges(records), ingest.project_snapshots(records)
     # Ids of this run's crawls only; as literals they select the partitions to read.

@@ -51,11 +51,18 @@ class Catalog:
         if name == "videos":
             current = self.videos_version()
             if not current:
-                return self.spark.createDataFrame([], STORED[name])
+                return self.empty(name)
             return self._read(name, f"{self.path('videos')}/version={current}")
         known = crawls.select(F.col("id").alias("crawl_id"))
         return self._read(name, self.path(name)).join(known, "crawl_id", "left_semi")
 
+    def empty(self, name: str) -> DataFrame:
+        """A known table without rows, made without Python workers."""
+        fields = self.spark.createDataFrame([], STORED[name]).schema.fields
+        return self.spark.range(0).select(
+            *[F.lit(None).cast(field.dataType).alias(field.name) for field in fields]
+        )
+
     def _read(self, name: str, path: str) -> DataFrame:
         reader = self.spark.read.format(self.file_format)
         if name in STORED:
