@@ -188,6 +188,20 @@ def test_chat_round_trip(spark, monkeypatch):
     assert chat.format_conversations(spark.createDataFrame([], TURNS), *CHAT).count() == 0
 
 
+def test_white_space_runs_of_any_length_are_encoded():
+    codec = chat.encoding(*CHAT)
+    for run in (" " * 2_000_000, "\n" * 2_000_000, "\t \r\n" * 500_000):
+        for text in (run, f"a{run}b c", f"a {run[:chat.SPACE_RUN]}{run[:chat.SPACE_RUN]}"):
+            assert codec.decode_bytes(chat.encode(codec, text)).decode() == text
+
+
+def test_chat_of_a_long_white_space_run(spark):
+    text = "before" + " " * 2_000_000 + "after"
+    turns = spark.createDataFrame([(1, 0, "assistant", text, 0, 0)], TURNS)
+    row = chat.read_formatted(chat.format_conversations(turns, *CHAT), *CHAT).first()
+    assert (row["loss_chars"], row["loss_sha256"]) == (len(text), hashlib.sha256(text.encode()).hexdigest())
+
+
 def test_parts_and_masks(spark):
     turns = spark.createDataFrame(_conversations(), TURNS)
     rows = chat.format_conversations(turns, *CHAT).filter("conv_id = 4").orderBy("part").collect()

@@ -34,9 +34,12 @@ TURN, ROLE_END, TURN_END = 50_257, 50_258, 50_259
 LOSS_ROLE = "assistant"
 PART_TOKENS = 1 << 16
 BATCH_BYTES = 2 << 20
+#: The library's pattern fails on white-space runs of about a million characters, so longer ones than this are cut.
+SPACE_RUN = 100_000
 _ESCAPED = re.compile(r"\\|###|</turn>|:")
 _IN_TEXT = re.compile(r"\\|###|</turn>")
 _UNESCAPED = re.compile(r"\\(\\|###|</turn>|:)")
+_SPACES = re.compile(r"\s+")
 PARTS = "conv_id long, part long, first_token long, ids binary, loss_mask binary"
 READ_BACK = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string,"
              " formatted_chars long")
@@ -59,6 +62,18 @@ def encoding(path: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def encode(codec: tiktoken.Encoding, text: str) -> list[int]:
+    """Ids of a text in pieces cut inside long white-space runs; decoded one after the other they are the text."""
+    if len(text) <= SPACE_RUN:
+        return codec.encode_ordinary(text)
+    ids, at = [], 0
+    for run in _SPACES.finditer(text):
+        for cut in range(run.start() + SPACE_RUN, run.end(), SPACE_RUN):
+            ids += codec.encode_ordinary(text[at:cut])
+            at = cut
+    return ids + codec.encode_ordinary(text[at:])
+
+
 def _encode_turns(path: str, pattern: str):
     def work(batches):
         codec = encoding(path, pattern)
@@ -66,8 +81,8 @@ def _encode_turns(path: str, pattern: str):
             ids, lengths = [], []
             for role, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 role = role or ""
-                head = [TURN, *codec.encode_ordinary(escape(role, in_role=True)), ROLE_END]
-                body = codec.encode_ordinary(escape(text or ""))
+                head = [TURN, *encode(codec, escape(role, in_role=True)), ROLE_END]
+                body = encode(codec, escape(text or ""))
                 ids.append(np.array([*head, *body, TURN_END], "<u4").tobytes())
                 # Lengths of what is outside, inside and again outside the loss.
                 lengths.append([len(head), len(body), 1] if role == LOSS_ROLE else [len(head) + len(body) + 1])
