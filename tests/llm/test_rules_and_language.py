@@ -174,3 +174,26 @@ def test_without_labels_nothing_is_identified(spark):
     assert language_id.fit(docs) is None
     unlabelled = awkward(spark).withColumn("lang", F.lit(None).cast("string"))
     assert {r["lang_pred"] for r in language_id.predict(unlabelled, language_id.fit(unlabelled)).collect()} == {"und"}
+
+
+STRANGE = [
+    "Это предложение написано на русском языке, и его никто не учил раньше в этой сети. " * 12,
+    "この文章は日本語で書かれており、ネットワークはこの言語を学習したことがありません。" * 12,
+    "To zdanie jest napisane po polsku i nikt nie uczył tej sieci takiego języka. Pies biega po lesie. " * 10,
+    "Tämä lause on kirjoitettu suomeksi, eikä verkko ole koskaan nähnyt tätä kieltä ennen tätä päivää. " * 10,
+    "".join(np.random.default_rng(3).choice(list("abcdefghijklmnopqrstuvwxyz     "), 2000)),
+    "".join(np.random.default_rng(4).choice(list("abcdefghijKLMNOPQRSTUVWXYZ0123456789+/"), 2000)),
+]
+
+
+@pytest.mark.parametrize("languages", [["en"], ["en", "fr"], ["de", "en", "fr"], ["de", "en", "es", "fr"]])
+def test_strange_text_is_not_identified(spark, languages):
+    """However many labels there are, unknown languages and noise go, and known or mixed texts stay."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").filter(F.col("lang").isin(languages)).select(
+        "doc_id", "text", "lang").filter(F.length("text") > 300)
+    some = [r["text"][:2048] for lang in languages for r in docs.filter(F.col("lang") == lang).orderBy("doc_id").limit(3).collect()]
+    more = [(-1 - i, text, None) for i, text in enumerate([*STRANGE, " ".join(some)])]
+    known = docs.count()
+    kept = {r["doc_id"] for r in language_id.keep_identified(docs.union(spark.createDataFrame(more, docs.schema))).collect()}
+    assert {i for i in kept if i < 0} == {-1 - len(STRANGE)}
+    assert len(kept) - 1 > 0.98 * known

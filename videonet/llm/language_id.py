@@ -10,6 +10,11 @@ WINDOWS_PER_DOC windows of each. The sample is chosen by a hash of doc_id, so a
 Null text and text without a letter get `und` with score 0. Rows with null language or doc_id are not learned
 from. Repeated rows are predicted each. Without any labelled text every row is `und`. An empty table gives an
 empty result. Equal probabilities go to the language that is first in alphabetical order.
+
+The network spreads its probabilities over the labels it knows, whatever it reads, so its score cannot tell a text
+in none of them. keep_identified therefore asks of each window for a lead of the best label, and that its three-byte
+sequences are those of the labelled sample; how many must be follows from the sample itself. Neither depends on the
+number of labels.
 """
 
 from __future__ import annotations
@@ -34,8 +39,13 @@ MAX_LANGUAGES = 256
 EPOCHS = 5
 BATCH_BYTES = 4 << 20
 WINDOWS_AT_ONCE = 128
-#: A text in two or three languages, each told with certainty, still reaches this share for one of them.
-MIN_SCORE = 0.3
+#: A window is told if its language leads all others together by a fifth (0.6 to 0.4), and if it looks like the sample.
+LEAST_SURE = 0.6
+#: A window looks like the sample if it has this part of what all but LEAST_ALIKE of the sample's own windows have.
+LEAST_ALIKE = 0.01
+PART_ALIKE = 0.85
+#: Share of a text's bytes in windows that are told.
+MIN_TOLD = 0.5
 _REACH = max(WIDTHS)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -49,6 +59,18 @@ class ByteNet:
     bias: np.ndarray
     out: np.ndarray  # filters x languages
     out_bias: np.ndarray
+    sequences: np.ndarray  # three-byte sequences of the sample, sorted
+    least_known: float  # share of them that a window like the sample's has
+
+    def known_shares(self, windows: np.ndarray) -> np.ndarray:
+        """Share of each window's three-byte sequences that the sample has; zero for a window without any."""
+        codes, used = _sequences(windows)
+        places = np.minimum(np.searchsorted(self.sequences, codes), len(self.sequences) - 1)
+        return ((self.sequences[places] == codes) & used).sum(axis=1) / np.maximum(1, used.sum(axis=1))
+
+    def told(self, windows: np.ndarray, probabilities: np.ndarray) -> np.ndarray:
+        """Whether the language of each window can be told."""
+        return (probabilities.max(axis=1) >= LEAST_SURE) & (self.known_shares(windows) >= self.least_known)
 
     def pooled(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Largest response of each filter in each window, and the patches of byte vectors."""
@@ -74,6 +96,37 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
     return powers / powers.sum(axis=1, keepdims=True)
 
 
+def _sequences(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Three-byte sequences of windows as numbers, and which of them have neither padding nor a digit."""
+    data = windows[:, :WINDOW].astype(np.int32)
+    plain = (data != 0) & ((data < 48) | (data > 57))
+    codes = (data[:, :-2] << 16) | (data[:, 1:-1] << 8) | data[:, 2:]
+    return codes, plain[:, :-2] & plain[:, 1:-1] & plain[:, 2:]
+
+
+def _look(windows: np.ndarray) -> tuple[np.ndarray, float]:
+    """Sequences that two windows have, and the share of them that windows like these have at least."""
+    parts = [windows[first:first + 4096] for first in range(0, len(windows), 4096)]
+    counts = np.zeros(1 << 24, np.int32)
+    for part in parts:
+        codes, used = _sequences(part)
+        owners = np.broadcast_to(np.arange(len(codes))[:, None], codes.shape)
+        pairs = np.unique(owners[used].astype(np.int64) << 24 | codes[used])
+        found, many = np.unique(pairs & 0xFFFFFF, return_counts=True)
+        counts[found] += many.astype(np.int32)
+    shares = []
+    for part in parts:
+        codes, used = _sequences(part)
+        # Each window is held against the others, as a new text is: two of them must have a sequence.
+        held, many = ((counts[codes] > 2) & used).sum(axis=1), used.sum(axis=1)
+        shares.append(held[many > 0] / many[many > 0])
+    shares = np.concatenate(shares)
+    if not len(shares):
+        return np.zeros(1, np.int32), 1.0
+    kept = np.flatnonzero(counts > 1) if (counts > 1).any() else np.flatnonzero(counts)
+    return kept.astype(np.int32), PART_ALIKE * float(np.quantile(shares, LEAST_ALIKE))
+
+
 def as_windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All windows of the texts, zero bytes after each, and the number of windows of each text."""
     counts = np.array([-(-len(text) // WINDOW) for text in texts], np.int64)
@@ -105,6 +158,7 @@ def train(samples: list[bytes], labels: list[str], epochs: int = EPOCHS, seed: i
         np.zeros(many, np.float32),
         rng.normal(0, 0.1, (many, len(languages))).astype(np.float32),
         np.zeros(len(languages), np.float32),
+        *_look(as_windows([s[:WINDOW] or b" " for s in samples])[0]),
     )
     weights = [net.bytes_, net.filters, net.bias, net.out, net.out_bias]
     means = [np.zeros_like(w) for w in weights]
@@ -178,42 +232,52 @@ def held_out():
 
 
 def predict(docs: DataFrame, net: ByteNet | None, text: str = "text",
-            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """The rows of `docs` with the predicted language and its probability; columns of these names are replaced."""
+            names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
+    """The rows of `docs` with the predicted language and its probability; columns of these names are replaced.
+
+    A third name adds the share of the text's bytes that lie in windows whose language can be told.
+    """
     rest = docs.drop(*names)
     lettered = rest.withColumn("__lettered", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
-    schema = schema_with(rest, (names[0], "string"), (names[1], "double"))
+    schema = schema_with(rest, (names[0], "string"), *((name, "double") for name in names[1:]))
 
     def work(batches):
         for batch in slices(batches, text, BATCH_BYTES):
             at = batch.schema.get_field_index(text)
             use = batch.column(batch.num_columns - 1).to_pylist()
             texts = [t.encode() if ok else b"" for t, ok in zip(batch.column(at).to_pylist(), use)]
-            langs, scores = ["und"] * len(texts), [0.0] * len(texts)
+            langs, scores, told = ["und"] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
             windows, counts = as_windows(texts)
             if net is not None and len(windows):
                 sizes = np.full(len(windows), WINDOW, np.float64)
                 ends = np.cumsum(counts)
                 rows = np.flatnonzero(counts)
                 sizes[ends[rows] - 1] = [(len(texts[r]) - 1) % WINDOW + 1 for r in rows]
-                shares = net.probabilities(windows).astype(np.float64) * sizes[:, None]
-                sums = np.add.reduceat(shares, (ends - counts)[rows], axis=0)
+                found = net.probabilities(windows).astype(np.float64)
+                sums = np.add.reduceat(found * sizes[:, None], (ends - counts)[rows], axis=0)
+                if len(names) > 2:
+                    for first in range(0, len(windows), WINDOWS_AT_ONCE):
+                        part = slice(first, first + WINDOWS_AT_ONCE)
+                        sizes[part] *= net.told(windows[part], found[part])
+                    for row, total in zip(rows.tolist(), np.add.reduceat(sizes, (ends - counts)[rows])):
+                        told[row] = float(total / len(texts[row]))
                 for row, total in zip(rows.tolist(), sums):
                     best = int(total.argmax())
                     langs[row] = net.languages[best]
                     scores[row] = float(min(1.0, total[best] / len(texts[row])))
+            more = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(told, pa.float64())]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                [*batch.columns[:-1], *more[:len(names)]],
                 names=[*batch.schema.names[:-1], *names],
             )
 
     return arrow_map(lettered, work, schema)
 
 
-def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The documents whose language the network, trained on their own labels, tells with `min_score` or more."""
-    found = predict(docs, fit(docs), names=("__lang_pred", "__score"))
-    return found.filter((F.col("__lang_pred") != "und") & (F.col("__score") >= min_score)).select(
+def keep_identified(docs: DataFrame, min_told: float = MIN_TOLD) -> DataFrame:
+    """The documents of which the network, trained on their own labels, can tell the language of `min_told` or more."""
+    found = predict(docs, fit(docs), names=("__lang_pred", "__score", "__told"))
+    return found.filter((F.col("__lang_pred") != "und") & (F.col("__told") >= min_told)).select(
         *[F.col(f"`{name}`") for name in docs.columns]
     )
 
