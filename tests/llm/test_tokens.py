@@ -75,6 +75,19 @@ def test_word_encoder_has_the_ids_of_the_library(monkeypatch, entries):
             assert list(array("I", ids)) == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_word_encoder_keeps_no_long_parts(monkeypatch):
+    library = Tokenizer.from_file(WORD_BPE)
+    texts = ["\u4e2d\u6587" * 1000 + " short", "a" * 65 + " short", "\u65e5\u672c " * 40 + "b" * 5000]
+    for most in (tokens.CACHE_BYTES, 500):
+        monkeypatch.setattr(tokens, "CACHE_BYTES", most)
+        encoder = tokens.WordEncoder(WORD_BPE)
+        for part in (texts, texts[::-1], [f"new{i} words{i}" for i in range(50)], texts):
+            for text, ids in zip(part, encoder.encode(part)):
+                assert list(array("I", ids)) == library.encode(text, add_special_tokens=False).ids
+            assert max(map(len, encoder._known)) <= tokens.LONGEST_KEPT
+            assert encoder._held <= most and not encoder._known.others
+
+
 def test_closest_fill_is_the_best_subset_sum():
     rng = random.Random(5)
     for _ in range(200):

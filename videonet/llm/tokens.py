@@ -3,18 +3,32 @@
 from __future__ import annotations
 
 import re
+import sys
 from array import array
 from functools import lru_cache
 
 from tokenizers import Tokenizer
 
+#: The cache begins anew beyond this many parts or bytes; longer parts, as in text without blanks, are not kept.
 CACHE_ENTRIES = 600_000
+CACHE_BYTES = 160 << 20
+LONGEST_KEPT = 64
+_ENTRY_BYTES = 100  # a place in the dictionary
 
 _LOWER = bytes(ord(chr(byte).lower()) for byte in range(256))
 # A full stop or comma between a letter and a blank is a word of its own for the tokenizer.
 _STOPS = re.compile(rb"(?<=[a-z\xdf-\xf6\xf8-\xff])([.,])(?=[ \n]|\Z)")
 
 
+class _Known(dict):
+    """Kept ids of parts; `others` has those of the parts of the present texts that are not kept."""
+
+    others: dict = {}
+
+    def __missing__(self, part):
+        return self.others[part]
+
+
 class WordEncoder:
     """Ids of a text by a lower-casing tokenizer that drops white space and never joins characters across it.
 
@@ -24,7 +38,10 @@ class WordEncoder:
 
     def __init__(self, path: str):
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[str | bytes, bytes] = {"": b""}
+        self._begin()
+
+    def _begin(self) -> None:
+        self._known, self._held = _Known({"": b""}), 0
 
     def _parts(self, text: str) -> list:
         """Parts of one text: bytes in lower case where Latin-1 can write it, else as they are."""
@@ -38,29 +55,31 @@ class WordEncoder:
         return text.replace("\n", " ").split(" ")
 
     def _learn(self, parts: list) -> dict:
-        """The ids of parts; kept for later texts as long as there is room."""
+        """The ids of parts; short ones are kept for later texts as long as there is room."""
         found = {}
         names = [part if isinstance(part, str) else part.decode("latin-1") for part in parts]
         for first in range(0, len(names), 1024):
             encoded = self._tokenizer.encode_batch_fast(names[first:first + 1024], add_special_tokens=False)
             for part, ids in zip(parts[first:first + 1024], encoded):
                 found[part] = array("I", ids.ids).tobytes()
-        if len(self._known) + len(found) > CACHE_ENTRIES:
-            self._known = {"": b""}
-        if len(found) < CACHE_ENTRIES:
-            self._known.update(found)
+        kept = {part: ids for part, ids in found.items() if len(part) <= LONGEST_KEPT}
+        size = sum(map(sys.getsizeof, kept)) + sum(map(sys.getsizeof, kept.values())) + _ENTRY_BYTES * len(kept)
+        if len(self._known) + len(kept) > CACHE_ENTRIES or self._held + size > CACHE_BYTES:
+            self._begin()
+        if len(kept) < CACHE_ENTRIES and size <= CACHE_BYTES:
+            self._known.update(kept)
+            self._held += size
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         lists = [self._parts(text) for text in texts]
-        known = self._known
+        known = self._known  # stays as it is for these texts, even if the cache begins anew
         missing = list(set().union(*lists).difference(known))
-        if missing:
-            found = self._learn(missing)
-            if self._known is not known:  # begun anew: both what was known and what was not is needed here
-                known = {**known, **found}
+        known.others = self._learn(missing) if missing else {}
         find = known.__getitem__
-        return [b"".join(map(find, parts)) for parts in lists]
+        found = [b"".join(map(find, parts)) for parts in lists]
+        known.others = {}
+        return found
 
 
 @lru_cache(maxsize=4)
