@@ -101,3 +101,24 @@ def test_long_page_is_read_whole(spark):
     rows = main_text.extract_main_text(frame).collect()
     assert sorted(len(r["text"].split("\n")) for r in rows) == [1, 1, 40_000]
     assert main_text.extract_main_text(frame.limit(0)).count() == 0
+
+
+KEPT_CASES = [
+    ("<article><h2 id='related-work'>Related work</h2><section id='search'><p>about search</p></section></article>",
+     "Related work\nabout search"),
+    ("<article class='post comments-open'><p>kept</p></article>", "kept"),
+    ("<div class='layout no-sidebar'><article><p>kept</p></article></div>", "kept"),
+    ("<div class=sidebar><p>links</p></div><div class=menu><article><p>kept</p></article></div>", "kept"),
+    ("<article><h1 class=banner>Title</h1><div class='overflow-hidden'>one</div><p title='hidden gems'>two</p>"
+     "<div data-note='display:none'>three</div></article>", "Title\none\ntwo\nthree"),
+    ("<article><div hidden>a</div><div class=x hidden=''>b</div><p aria-hidden='true'>c</p><p style='display: none'>d</p>"
+     "<div class='cookie_banner'>e</div><div id=comments>f</div><p>kept</p></article>", "kept"),
+    ("<article><p>one <svg-icon></svg-icon> two</p><p>three</p><svg><text>no</text></svg><p>four</p></article>",
+     "one two\nthree\nfour"),
+    ("<p class=ad>buy<p>more<article><p>kept</p></article>", "kept"),
+]
+
+
+@pytest.mark.parametrize("page,text", KEPT_CASES)
+def test_main_text_is_kept(page, text):
+    assert main_text.main_text(page) == text

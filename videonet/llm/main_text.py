@@ -1,7 +1,8 @@
 """Main text of web pages by line-block distribution (operator 8).
 
-Markup is stripped so that every block element is a line of its own, and places where one part of the page ends
-are runs of empty lines; what menus, forms, scripts and the like contain leaves no line. Text lengths outside
+Markup is stripped so that every block element is a line of its own; what menus, forms, scripts and the like contain
+leaves no line. Places where one part of the page ends are runs of empty lines. Class, id
+and role names tell other parts only as whole names, and never headings, articles or what holds the main part. Text lengths outside
 links are summed over sliding windows of lines: a surge is where a window comes above zero, the dive where one
 falls back to zero. The text between a surge and its dive is kept if its largest window reaches a quarter of the
 page's largest. Where the page marks an article (or else its main part, by element or by a name like "content"),
@@ -31,15 +32,14 @@ BATCH_BYTES = 4 << 20
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|textarea|title|noscript|template|iframe|svg|object|select)\b[^>]*(?<!/)>"
+    r"|<(?P<raw>script|style|textarea|title|noscript|template|iframe|svg|object|select)(?=[\s/>])[^>]*(?<!/)>"
     r".*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?][^>]*>",
     re.S | re.I,
 )
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b|\baria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
-_WORDS = re.compile(r"[a-z0-9]+")
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 
 PARAGRAPHS = frozenset(
     "p h1 h2 h3 h4 h5 h6 ul ol dl li dt dd table tbody thead tfoot tr td th caption blockquote pre figcaption"
@@ -52,7 +52,7 @@ DROPPED = frozenset("nav footer aside form button dialog menu".split())
 #: Ends at the next element of the same name, as these cannot be nested.
 NOT_NESTED = frozenset("p li dt dd tr td th".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Words in class, id or role names that tell parts other than the article.
+#: Class, id or role names that tell parts other than the article, as whole names.
 OTHER_PARTS = frozenset(
     "ad ads adv advert advertisement advertisements adverts sponsor sponsored promo promotion banner cookie cookies"
     " consent gdpr notice popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs comment"
@@ -60,9 +60,27 @@ OTHER_PARTS = frozenset(
     " signup search footer copyright pagination pager complementary contentinfo skip widget alert disclaimer feedback"
     " adbox adslot adsbygoogle sidenav topnav".split()
 )
-OTHER_OUTSIDE_ARTICLE = frozenset("header masthead topbar".split())
-#: Words in class, id or role names of a container that holds the page's main part.
-MAIN_PARTS = frozenset("article content entry main post story".split())
+#: Names of two words that do so as well.
+OTHER_COMPOUNDS = frozenset(
+    f"{part}-{box}"
+    for part in "ad ads advert advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies footer"
+    " gdpr menu nav navigation newsletter pagination popup promo related reply share sharing social sponsored"
+    " subscribe subscription".split()
+    for box in "area articles banner bar block box buttons container form icons items links list notice popup posts"
+    " section signup slot unit widget wrap wrapper".split()
+) | frozenset(
+    f"{owner}-{part}" for owner in "main page primary secondary site user".split()
+    for part in "comments footer menu nav navigation".split()
+) | frozenset(("sidebar-widget", "skip-link", "disqus-thread"))
+OTHER_OUTSIDE_ARTICLE = frozenset("header masthead topbar site-header page-header".split())
+#: Elements that are never another part by their name, but for articles that hold a comment.
+NEVER_OTHER = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
+COMMENTS = frozenset("comment comments reply replies".split())
+#: Class, id or role names of a container that holds the page's main part.
+MAIN_PARTS = frozenset("article content entry main post story articlebody maincontent".split()) | frozenset(
+    f"{part}-{inner}" for part in "article blog entry main news page post site story".split()
+    for inner in "area body content main text".split()
+)
 
 
 class _Page:
@@ -100,7 +118,6 @@ class _Page:
             self.lengths += [0] * WINDOW_LINES
             self.parts += [0] * WINDOW_LINES
 
-
     def box(self, closing: bool, holds_main: bool) -> None:
         """Open or close a container."""
         self.gap()
@@ -112,20 +129,64 @@ class _Page:
         self.gap()
 
 
-def _names(rest: str) -> set[str]:
-    """Words in the class, id and role names of an element."""
-    return {w for found in _NAMES.findall(rest) for value in found for w in _WORDS.findall(value.lower())}
+def _attributes(rest: str) -> dict[str, str]:
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(rest):
+        found.setdefault(name.lower(), "".join(values))
+    return found
+
+
+def _names(attributes: dict[str, str], kinds: tuple[str, ...] = ("class", "id", "role")) -> set[str]:
+    """Whole class, id and role names, their words joined by single hyphens."""
+    return {
+        re.sub("[-_]+", "-", name) for kind in kinds for name in attributes.get(kind, "").lower().split()
+    }
+
+
+def _is_hidden(attributes: dict[str, str]) -> bool:
+    return ("hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true"
+            or _NO_DISPLAY.search(attributes.get("style", "")) is not None)
 
 
-def _is_other(name: str, rest: str, inside: bool) -> bool:
-    if name in DROPPED or (name == "header" and not inside):
-        return True
-    if not rest or name in ("html", "body", "main"):
+def _is_other(name: str, attributes: dict[str, str], inside: bool) -> bool:
+    """Whether class, id or role names tell another part; the id of a section is the place of a heading."""
+    if name == "article":
+        return bool(_names(attributes) & COMMENTS)
+    if name in NEVER_OTHER:
         return False
-    if _HIDDEN.search(rest):
-        return True
-    words = _names(rest)
-    return bool(words & OTHER_PARTS) or (not inside and bool(words & OTHER_OUTSIDE_ARTICLE))
+    names = _names(attributes, ("class", "role") if name == "section" else ("class", "id", "role"))
+    if name == "section":
+        names |= _names(attributes, ("id",)) & COMMENTS
+    return bool(names & OTHER_PARTS or names & OTHER_COMPOUNDS) or (not inside and bool(names & OTHER_OUTSIDE_ARTICLE))
+
+
+def _main_starts(page: str) -> list[int]:
+    """Where the main part begins: the page's main elements, or else its articles, or else containers so named."""
+    found: tuple[list[int], ...] = ([], [], [])
+    for token in _TOKEN.finditer(page):
+        if token["name"] is None or token["close"]:
+            continue
+        name = token["name"].lower()
+        if name == "main":
+            found[0].append(token.start())
+        elif name == "article" and not _is_other(name, _attributes(token["rest"]), False):
+            found[1].append(token.start())
+        elif name in ("div", "section") and _names(_attributes(token["rest"])) & MAIN_PARTS:
+            found[2].append(token.start())
+    return next((starts for starts in found if starts), [])
+
+
+def _holds(page: str, start: int, wanted: str, place: int) -> bool:
+    """Whether the element that begins at `start` ends after `place`."""
+    depth = 0
+    for token in _TOKEN.finditer(page, start):
+        if token.start() > place:
+            return True
+        if token["name"] and token["name"].lower() == wanted:
+            depth += -1 if token["close"] else not token["rest"].endswith("/")
+            if depth <= 0 or (depth > 1 and wanted in NOT_NESTED):
+                return False
+    return True
 
 
 def stripped(page: str) -> _Page:
@@ -133,6 +194,15 @@ def stripped(page: str) -> _Page:
     out = _Page()
     skipped, depth = "", 0
     at = 0
+    starts: list[int] | None = None
+
+    def holds_main(name: str, start: int) -> bool:
+        """Whether the element holds the whole main part."""
+        nonlocal starts
+        if starts is None:
+            starts = _main_starts(page)
+        return bool(starts) and start < starts[0] and _holds(page, start, name, starts[-1])
+
     for token in _TOKEN.finditer(page):
         if not depth and token.start() > at:
             out.text(page[at:token.start()])
@@ -151,7 +221,13 @@ def stripped(page: str) -> _Page:
                 continue
             if closing:
                 continue
-        if not closing and name not in VOID and _is_other(name, token["rest"], out.article > 0):
+        opening = not closing and name not in VOID
+        attributes = _attributes(token["rest"]) if opening and token["rest"] else {}
+        if opening and (
+            name in DROPPED or (name == "header" and not out.article)
+            or (attributes and name not in ("html", "body", "main") and _is_hidden(attributes))
+            or (attributes and _is_other(name, attributes, out.article > 0) and not holds_main(name, token.start()))
+        ):
             out.gap()
             skipped, depth = name, 1
         elif name in ("article", "main"):
@@ -159,7 +235,7 @@ def stripped(page: str) -> _Page:
             setattr(out, name, max(0, getattr(out, name) + (-1 if closing else 1)))
             out.gap()
         elif name in ("div", "section"):
-            out.box(closing, not closing and bool(_names(token["rest"]) & MAIN_PARTS))
+            out.box(closing, not closing and bool(_names(attributes) & MAIN_PARTS))
         elif name in PARAGRAPHS:
             out.end_line()
         elif name in CONTAINERS:
