@@ -103,6 +103,7 @@ def test_long_page_is_read_whole(spark):
     assert main_text.extract_main_text(frame.limit(0)).count() == 0
 
 
+LONG = "Long text that goes on and on, with words enough to be much the largest line of all. " * 4
 KEPT_CASES = [
     ("<article><h2 id='related-work'>Related work</h2><section id='search'><p>about search</p></section></article>",
      "Related work\nabout search"),
@@ -115,7 +116,12 @@ KEPT_CASES = [
      "<div class='cookie_banner'>e</div><div id=comments>f</div><p>kept</p></article>", "kept"),
     ("<article><p>one <svg-icon></svg-icon> two</p><p>three</p><svg><text>no</text></svg><p>four</p></article>",
      "one two\nthree\nfour"),
+    (f"<div><div><h2>Heading</h2></div><div><p>{LONG}</p></div><div><p>Short one.</p></div><section><p>The end.</p>"
+     "</section></div>", f"Heading\n{LONG.strip()}\nShort one.\nThe end."),
+    (f"<div><div><a href=a>Home</a> <a href=b>News</a></div><div><p>{LONG}</p></div><div>Bye.</div></div>",
+     f"{LONG.strip()}\nBye."),
     ("<p class=ad>buy<p>more<article><p>kept</p></article>", "kept"),
+    (f"<div class=post-meta>By me</div><div>{LONG}</div>", f"By me\n{LONG.strip()}"),
 ]
 
 

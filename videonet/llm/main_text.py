@@ -1,7 +1,7 @@
 """Main text of web pages by line-block distribution (operator 8).
 
 Markup is stripped so that every block element is a line of its own; what menus, forms, scripts and the like contain
-leaves no line. Places where one part of the page ends are runs of empty lines. Class, id
+leaves no line. Runs of empty lines are where such a part was and around containers of nothing but links. Class, id
 and role names tell other parts only as whole names, and never headings, articles or what holds the main part. Text lengths outside
 links are summed over sliding windows of lines: a surge is where a window comes above zero, the dive where one
 falls back to zero. The text between a surge and its dive is kept if its largest window reaches a quarter of the
@@ -93,7 +93,9 @@ class _Page:
         self._texts: list[str] = []
         self._linked = 0
         self.article = self.main = self.link = 0
-        self.boxes: list[bool] = []  # open containers without a meaning of their own: do they hold the main part
+        self.links = 0
+        # Open containers without a meaning of their own: do they hold the main part, lines and links before them.
+        self.boxes: list[tuple[bool, int, int]] = []
 
     def text(self, text: str) -> None:
         self._texts.append(text)
@@ -111,7 +113,7 @@ class _Page:
             self._texts, self._linked = [], 0
 
     def gap(self) -> None:
-        """Empty lines between parts of the page; an article is one part, whatever it contains."""
+        """Empty lines where a part was dropped; an article is one part, whatever it contains."""
         self.end_line()
         if not (self.article or self.main):
             self.lines += [""] * WINDOW_LINES
@@ -119,14 +121,19 @@ class _Page:
             self.parts += [0] * WINDOW_LINES
 
     def box(self, closing: bool, holds_main: bool) -> None:
-        """Open or close a container."""
-        self.gap()
+        """Open or close a container; one of nothing but several links is a part of its own."""
+        self.end_line()
         if not closing:
-            self.boxes.append(holds_main)
+            self.boxes.append((holds_main, len(self.lines), self.links))
             self.main += holds_main
         elif self.boxes:
-            self.main -= self.boxes.pop()
-        self.gap()
+            held_main, first, links = self.boxes.pop()
+            self.main -= held_main
+            if self.links > links + 1 and not any(self.lengths[first:]) and not (self.article or self.main):
+                self.lines[first:first] = [""] * WINDOW_LINES
+                self.lengths[first:first] = [0] * WINDOW_LINES
+                self.parts[first:first] = [0] * WINDOW_LINES
+                self.gap()
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -231,17 +238,17 @@ def stripped(page: str) -> _Page:
             out.gap()
             skipped, depth = name, 1
         elif name in ("article", "main"):
-            out.gap()
+            out.end_line()
             setattr(out, name, max(0, getattr(out, name) + (-1 if closing else 1)))
-            out.gap()
         elif name in ("div", "section"):
             out.box(closing, not closing and bool(_names(attributes) & MAIN_PARTS))
         elif name in PARAGRAPHS:
             out.end_line()
         elif name in CONTAINERS:
-            out.gap()
+            out.end_line()
         elif name == "a":
             out.link = max(0, out.link + (-1 if closing else 1))
+            out.links += not closing
         elif name == "br":
             out.text(" ")
     if not depth and at < len(page):
