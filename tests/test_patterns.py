@@ -134,6 +134,27 @@ def test_common_pairs_forms_no_pairs_at_a_hub(spark):
     assert [tuple(r) for r in got] == [("s000", "s001", 2)]
 
 
+def test_common_pairs_sets_hubs_aside(spark, monkeypatch):
+    edges = [(f"s{i:03d}", "hub") for i in range(300)] + [("s000", "x"), ("s001", "x")]
+    formed, write = [], patterns.write_through
+
+    def counted(frame, name):
+        frame = write(frame, name)
+        if name == "met-pairs":
+            formed.append(frame.count())
+        return frame
+
+    monkeypatch.setattr(patterns, "write_through", counted)
+    assert [tuple(r) for r in patterns.common_pairs(edge_frame(spark, edges), 2).collect()] == [("s000", "s001", 2)]
+    assert sum(formed) == 1
+
+
+@pytest.mark.parametrize("least", [1, 2, 3])
+def test_all_common_pairs(spark, least):
+    got = patterns.common_pairs(edge_frame(spark, HUBS), least, max_results=None).collect()
+    assert [((r[0], r[1]), r[2]) for r in got] == sorted(pairs_sharing(HUBS, least).items())
+
+
 def test_limits_are_checked(spark):
     edges = edge_frame(spark, HUBS)
     with pytest.raises(ValueError):

@@ -311,16 +311,18 @@ def common_pairs(
     min_common: int = 2,
     videos: DataFrame | None = None,
     category: str | None = None,
-    max_results: int = 1000,
+    max_results: int | None = 1000,
     rows_per_slice: int = PAIR_ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Pairs (a, b), a < b, that share at least `min_common` distinct targets; first by (a, b).
+    """Pairs (a, b), a < b, that share at least `min_common` distinct targets; first by (a, b), None for all pairs.
 
     Sources are taken in order, a few at first and twice as many each time, and
-    compared with all others until there are enough pairs. So a target that
-    everyone links to costs its size times the few sources taken, not its square.
+    compared with others until there are enough pairs. Each source's
+    `min_common` - 1 most popular targets are set aside: a pair that shares
+    enough meets at one of the rest, and lookups complete its count. So a hub
+    forms pairs only for sources that have `min_common` - 1 targets as popular.
     """
-    limit = check_limit(max_results)
+    limit = None if max_results is None else check_limit(max_results)
     if min_common < 1:
         raise ValueError(f"pairs share at least one target, got {min_common}")
     links = simple_edges(edges)
@@ -328,27 +330,41 @@ def common_pairs(
         targets = by_category(videos, category).select(F.col("id").alias("dst"))
         links = links.join(targets, "dst", "left_semi")
     shared = links.groupBy("dst").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    links = write_through(links.join(shared, "dst", "left_semi").select("src", "dst"), "shared-links")
+    links = write_through(links.join(shared, "dst").select("src", "dst", "n"), "shared-links")
     sources = write_through(numbered(links.select("src").distinct(), [], ["src"], "place"), "sources")
-    total, done, batch = sources.count(), 0, SOURCES_AT_FIRST
+    total, done = sources.count(), 0
+    batch = SOURCES_AT_FIRST if limit else max(1, total)
+    popular = Window.partitionBy("src").orderBy(F.desc("n"), "dst")
     found: DataFrame | None = None
-    while found is None or (done < total and found.count() < limit):
+    while found is None or (limit and done < total and found.count() < limit):
         some = sources.filter(F.col("place").between(done + 1, done + batch)).select("src")
-        left = links.join(some, "src", "left_semi").select(F.col("src").alias("video_a"), "dst")
+        own = links.join(some, "src", "left_semi")
+        rest = own
+        if min_common > 1:
+            aside = own.withColumn("rank", F.row_number().over(popular)).filter(F.col("rank") < min_common)
+            rest = own.join(aside.select("src", "dst"), ["src", "dst"], "left_anti")
+        left = rest.select(F.col("src").alias("video_a"), "dst")
         right = links.select(F.col("src").alias("video_b"), "dst")
-        pairs = (
+        met = (
             meeting_rows(left, right, "dst", ["video_a"], rows_per_slice)
-            .filter("video_a < video_b")
+            .filter("video_a < video_b").select("video_a", "video_b").distinct()
+        )
+        met = write_through(met, "met-pairs")
+        targets = own.select(F.col("src").alias("video_a"), "dst")
+        pairs = (
+            meeting_rows(met, targets, "video_a", ["video_b"], rows_per_slice)
+            .join(right, ["video_b", "dst"])
             .groupBy("video_a", "video_b")
             .agg(F.count(F.lit(1)).alias("num_common"))
             .filter(F.col("num_common") >= min_common)
-            .orderBy("video_a", "video_b")
-            .limit(limit)
         )
+        if limit:
+            pairs = pairs.orderBy("video_a", "video_b").limit(limit)
         pairs = write_through(pairs, "pairs")
         found = pairs if found is None else found.union(pairs)
         done, batch = done + batch, 2 * batch
-    return found.orderBy("video_a", "video_b").limit(limit)
+    found = found.orderBy("video_a", "video_b")
+    return found.limit(limit) if limit else found
 
 
 def top_counts(counts: DataFrame, column: str, k: int = 10) -> DataFrame:
