@@ -21,8 +21,8 @@ def test_query_equals_sql(spark, connection, name):
     assert wrong is None and rows > 0
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_all_thirteen_are_registered():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_stages_hand_on_documents(spark):

@@ -2,7 +2,9 @@
 
 from videonet.llm import (  # noqa: F401
     chat,
+    collocations,
     exact_dedup,
+    fill_in_middle,
     language_id,
     main_text,
     packing,
@@ -11,5 +13,6 @@ from videonet.llm import (  # noqa: F401
     simhash,
     token_counts,
     warc,
+    word_bpe,
 )
 from videonet.llm.registry import ORACLE, QUERIES  # noqa: F401
