@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import partial
 from itertools import count
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from videonet.llm.common import arrow_map, slices, store, table
 from videonet.llm.registry import query
 
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 #: A block is closed at the end of the stretch of text in which it reaches so many words; longest stretch in bytes.
 BLOCK_WORDS = 1 << 17
 STRETCH_BYTES = 1 << 20
@@ -48,7 +49,7 @@ SEEDS = 20
 
 # A piece ends at . , ; : ! ? and line ends, and words are separated by blanks and tabs.
 _FOLD = bytes.maketrans(b",;:!?\n\x0b\x0c\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b"......... abcdefghijklmnopqrstuvwxyz")
-_RELATION = ("block long, first_new int, places array<int>, items array<int>, names array<long>, langs array<string>,"
+_RELATION = ("block long, size int, first_new int, places binary, items binary, names array<long>, langs array<string>,"
              " words array<string>, counts array<long>")
 
 
@@ -64,23 +65,33 @@ def _stretches(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """32-bit numbers as they are stored, a quarter of their size or less: batches hold many blocks."""
+    return pa.compress(numbers.astype("<i4").tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(data: pa.Scalar, size: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data.as_buffer(), 4 * size, "zstd"), "<i4")
+
+
+def _numbers(counter) -> dict:
+    """Numbers of words in the order in which they are asked for; -1 for the end of a piece."""
+    own = defaultdict(counter.__next__)
+    own[b"."] = -1
+    return own
+
+
 class _Block:
     """Occurrences of words and the dictionary of one block."""
 
     def __init__(self, seed: int):
         self.seed = seed
-        counter = count()
-        self.items: dict[str, dict] = defaultdict(lambda: self._own(counter))
+        # Without a reference to the block, which would keep it until cycles are collected.
+        self.items: dict[str, dict] = defaultdict(partial(_numbers, count()))
         self.tokens: list[np.ndarray] = []
         self.size = 0
         self.context: list[tuple[str, bytes]] = []  # words of the block before that end it within a piece
 
-    @staticmethod
-    def _own(counter) -> dict:
-        own = defaultdict(counter.__next__)
-        own[b"."] = -1
-        return own
-
     def begin_with(self, context: list[tuple[str, bytes]]) -> None:
         self.context = context
         if context:
@@ -102,13 +113,13 @@ class _Block:
         known = sorted((item, lang, word) for lang, own in self.items.items() for word, item in own.items() if item >= 0)
         counts = np.bincount(items[len(self.context):], minlength=len(known))
         names = [name_of(lang, word, self.seed) for _, lang, word in known]
-        values = [number, len(self.context), places, items, names, [lang for _, lang, _ in known],
-                  [word.decode() for _, _, word in known], counts]
-        kinds = [pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()),
+        steps = np.diff(places, prepend=np.int32(0))
+        values = [number, len(places), len(self.context), _packed(steps), _packed(items), names,
+                  [lang for _, lang, _ in known], [word.decode() for _, _, word in known], counts]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()),
                  pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64())]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([value], kind) for value, kind in zip(values, kinds)], names=[f.split()[0] for f in _RELATION.split(", ")]
-        )
+        fields = [field.split()[0] for field in _RELATION.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array([value], kind) for value, kind in zip(values, kinds)], names=fields)
 
     def last_words(self, most: int) -> list[tuple[str, bytes]]:
         """The last words of the block, if it ends within a piece."""
@@ -140,9 +151,10 @@ def _occurrences(seed: int, longest: int, block_words: int, name_bits: int):
 
         def closed() -> pa.RecordBatch:
             row = block.row(next(numbers))
+            fields = row.schema.names
             if name_bits < 64:
                 names = [[name >> (64 - name_bits) for name in row.column("names")[0].as_py()]]
-                row = row.set_column(4, "names", pa.array(names, pa.list_(pa.int64())))
+                row = row.set_column(fields.index("names"), "names", pa.array(names, pa.list_(pa.int64())))
             return row
 
         for batch in slices(batches, "text", BATCH_BYTES):
@@ -164,8 +176,11 @@ def _occurrences(seed: int, longest: int, block_words: int, name_bits: int):
 
 def occurrences(docs: DataFrame, seed: int, longest: int = LONGEST_PHRASE, block_words: int = BLOCK_WORDS,
                 name_bits: int = 64) -> DataFrame:
-    """The sorted relation of word occurrences, one row a block: places, items (numbers of words in the block), and
-    the block's dictionary with names, languages, words and counts."""
+    """The sorted relation of word occurrences, one row a block.
+
+    places (as steps from one to the next) and items (numbers of words in the block) are compressed columns; names,
+    langs, words and counts are the block's dictionary.
+    """
     rows = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
     return arrow_map(rows, _occurrences(seed, longest, block_words, name_bits), _RELATION)
 
@@ -206,17 +221,18 @@ def _phrases(length: int, frequent: list, flat: bool):
         members = [_Member(data) for data in frequent]
         for batch in batches:
             for row in range(batch.num_rows):
-                block, first_new = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
-                places, items, own = (batch.column(i)[row].values.to_numpy() for i in (2, 3, 4))
-                if not len(places):
+                block, size, first_new = (batch.column(i)[row].as_py() for i in range(3))
+                if not size:
                     continue
+                steps, items = (_unpacked(batch.column(i)[row], size) for i in (3, 4))
+                places, own = np.cumsum(steps, dtype=np.int32), batch.column(5)[row].values.to_numpy()
                 new_from = int(places[first_new]) if first_new < len(places) else int(places[-1]) + 1
                 names = [own[items]]
-                for size in range(1, length + 1):
-                    if size > 1:
+                for words in range(1, length + 1):
+                    if words > 1:
                         places, names = merge_join(places, names)
-                    if size <= len(members):
-                        kept = members[size - 1](names)
+                    if words <= len(members):
+                        kept = members[words - 1](names)
                         places, names = places[kept], [column[kept] for column in names]
                 if flat:
                     size = len(places)
@@ -285,7 +301,7 @@ def phrase_counts(relation: DataFrame, words: DataFrame, longest: int, least_cou
     tables = [words.filter(F.col("f") >= least_count).select(F.col("name").alias("w1"), "f")]
     bitmaps: list = []
     flat: DataFrame | None = None  # occurrences of the phrases counted last, once a bitmap would not hold them
-    read = relation.select("block", "first_new", "places", "items", "names")
+    read = relation.select("block", "size", "first_new", "places", "items", "names")
     for length in range(2, longest + 1):
         before = [f"w{i}" for i in range(1, length)]
         if flat is None:
