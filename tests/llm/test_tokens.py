@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from array import array
 from itertools import product
@@ -15,7 +16,7 @@ from sentencepiece import sentencepiece_model_pb2
 from tokenizers import Tokenizer
 
 from tests.llm.helpers import awkward, empty, prose
-from videonet.llm import byte_bpe, chat, packing, sentencepiece_codec, token_counts, tokens
+from videonet.llm import byte_bpe, chat, packing, sentencepiece_codec, token_counts
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -64,30 +65,6 @@ def test_token_counts_of_awkward_rows(spark):
     assert token_counts.prefix_tokens(empty(spark), BYTE_BPE).count() == 0
 
 
-@pytest.mark.parametrize("entries", [600_000, 30])
-def test_word_encoder_has_the_ids_of_the_library(monkeypatch, entries):
-    monkeypatch.setattr(tokens, "CACHE_ENTRIES", entries)
-    encoder, library = tokens.WordEncoder(WORD_BPE), Tokenizer.from_file(WORD_BPE)
-    texts = _texts(300, 4) + [prose(5, 300).replace(" ", ". ", 40)]
-    for first in range(0, len(texts), 50):
-        part = texts[first:first + 50]
-        for text, ids in zip(part, encoder.encode(part)):
-            assert list(array("I", ids)) == library.encode(text, add_special_tokens=False).ids, text
-
-
-def test_word_encoder_keeps_no_long_parts(monkeypatch):
-    library = Tokenizer.from_file(WORD_BPE)
-    texts = ["\u4e2d\u6587" * 1000 + " short", "a" * 65 + " short", "\u65e5\u672c " * 40 + "b" * 5000]
-    for most in (tokens.CACHE_BYTES, 500):
-        monkeypatch.setattr(tokens, "CACHE_BYTES", most)
-        encoder = tokens.WordEncoder(WORD_BPE)
-        for part in (texts, texts[::-1], [f"new{i} words{i}" for i in range(50)], texts):
-            for text, ids in zip(part, encoder.encode(part)):
-                assert list(array("I", ids)) == library.encode(text, add_special_tokens=False).ids
-            assert max(map(len, encoder._known)) <= tokens.LONGEST_KEPT
-            assert encoder._held <= most and not encoder._known.others
-
-
 def test_closest_fill_is_the_best_subset_sum():
     rng = random.Random(5)
     for _ in range(200):
@@ -100,6 +77,17 @@ def test_closest_fill_is_the_best_subset_sum():
         assert all(0 < n <= counts[length] for length, n in taken.items())
 
 
+def test_a_document_of_millions_of_tokens_in_linear_time():
+    ids = np.arange(8_000_000, dtype=np.uint32).tobytes()
+    pool = packing.Pool(0, 2048)
+    start = time.monotonic()
+    pool.add(5, 0, ids, 8_000_000)
+    assert time.monotonic() - start < 1
+    assert pool.size == 1 and len(pool.rows) == 8_000_000 // 2048
+    assert b"".join(row[3] for row in pool.rows) + pool.pieces[8_000_000 % 2048][0][2] == ids
+    assert [row[1] for row in pool.rows[:3]] == [0, 2048, 4096]
+
+
 @pytest.mark.parametrize("pool", [4096, 8])
 def test_packing(spark, monkeypatch, pool):
     monkeypatch.setattr(packing, "POOL", pool)

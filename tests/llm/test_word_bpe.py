@@ -113,6 +113,17 @@ def test_cache_is_bounded(monkeypatch):
     assert len(small._known) <= 50 and len(small._pairs) <= 20
 
 
+def test_long_parts_are_not_kept(monkeypatch, library):
+    texts = ["\u4e2d\u6587" * 1000 + " short", "a" * 65 + " short", "\u65e5\u672c " * 40 + "b" * 5000]
+    for most in (word_bpe.CACHE_BYTES, 500):
+        monkeypatch.setattr(word_bpe, "CACHE_BYTES", most)
+        own = word_bpe.WordModel(PATH)
+        for text in [*texts, *texts[::-1], *(f"new{i} words{i}" for i in range(50)), *texts]:
+            assert _ids(own, text) == library.encode(text, add_special_tokens=False).ids
+            assert max(map(len, own._known), default=0) <= word_bpe.LONGEST_KEPT
+            assert own._held <= most + 1000
+
+
 def test_awkward_rows(spark, library):
     docs = awkward(spark).withColumn("ids", F.lit(1))
     rows = docs.select("doc_id", "text").collect()

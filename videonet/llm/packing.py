@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from videonet.llm.common import arrow_map, slices, store, table
 from videonet.llm.registry import query
-from videonet.llm.tokens import word_encoder
+from videonet.llm.word_bpe import word_model
 
 CAPACITY = 2048
 END_ID = 1
@@ -76,16 +76,16 @@ class Pool:
 
     def add(self, doc_id, start: int, ids: bytes, doc_tokens: int) -> None:
         """Give a document's tokens from `start` on; whole sequences are made at once."""
-        whole = 4 * self.capacity
-        while len(ids) >= whole:
-            self._close([(doc_id, start, ids[:whole], doc_tokens)], False)
-            ids, start = ids[whole:], start + self.capacity
-        if ids:
-            length = len(ids) // 4
+        whole, at = 4 * self.capacity, 0
+        while len(ids) - at >= whole:
+            self._close([(doc_id, start + at // 4, ids[at:at + whole], doc_tokens)], False)
+            at += whole
+        if at < len(ids):
+            length = (len(ids) - at) // 4
             if length not in self.pieces:
                 self.pieces[length] = []
                 insort(self.lengths, length)
-            self.pieces[length].append((doc_id, start, ids, doc_tokens))
+            self.pieces[length].append((doc_id, start + at // 4, ids[at:] if at else ids, doc_tokens))
             self.size += 1
 
     def _take(self, length: int) -> tuple:
@@ -135,10 +135,10 @@ def _pack_texts(path: str, end_id: int, capacity: int):
 
     def work(batches):
         pool = Pool(TaskContext.get().partitionId() << _SEQUENCE_BITS, capacity)
-        encoder = word_encoder(path)
+        model = word_model(path)
         for batch in slices(batches, "text", BATCH_BYTES):
             texts = [text or "" for text in batch.column(1).to_pylist()]
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), map(model.encode, texts)):
                 pool.add(doc_id, 0, ids + end, len(ids) // 4 + 1)
                 if pool.size >= POOL:
                     pool.pack(POOL // 2)
@@ -168,7 +168,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: i
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset): one row for each piece of a document.
 
     `ids` are the piece's tokens as little-endian unsigned 32-bit numbers; `start` counts the document's tokens
-    before it, `offset` those of its sequence. The tokenizer drops white space (see WordEncoder).
+    before it, `offset` those of its sequence. The tokenizer is one of word ends that drops white space (see word_bpe).
     """
     tokenizer_path = os.fspath(tokenizer_path)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -40,8 +40,8 @@ from videonet.llm.registry import query
 BATCH_BYTES = 1 << 20
 IDS_AT_ONCE = 1 << 18
 #: Memory of a worker: entries and bytes of remembered words, longest word kept, remembered pair tests.
-CACHE_ENTRIES = 600_000
-CACHE_BYTES = 96 << 20
+CACHE_ENTRIES = 800_000
+CACHE_BYTES = 128 << 20
 LONGEST_KEPT = 48
 PAIRS_KEPT = 1_000_000
 _ENTRY_BYTES = 160  # places in the dictionary, headers of key and value
@@ -50,15 +50,35 @@ WORD_END = "</w>"
 #: A letter at the end of a word is the letter this far on.
 _END_SHIFT = 0x1000
 
-_LOWER = bytes(ord(chr(byte).lower()) for byte in range(256))
-# The tokenizer's pattern for words, restricted to lower-case Latin-1; the last two kinds are white space
-# of Latin-1 beyond ASCII and all that is neither letter, digit nor white space.
-_LATIN_WORDS = re.compile(
-    rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+LOWER = bytes(ord(chr(byte).lower()) for byte in range(256))
+# The tokenizer's pattern for words, restricted to lower-case Latin-1. Letters come first, as no other
+# alternative begins with one.
+LATIN_WORDS = re.compile(
+    rb"[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9\xb2\xb3\xb9\xbc-\xbe]"
     rb"|[^\t-\r \x85\xa0a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+"
 )
 
 
+#: Bytes as kinds: letters and digits, full stops and commas, white space, all others.
+_KINDS = bytes(
+    ord(" ") if byte in b"\t\n\x0b\x0c\r " else ord(".") if byte in b".," else
+    ord("a") if re.fullmatch(rb"[a-z0-9\xaa\xb5\xba\xdf-\xf6\xf8-\xff]", bytes([byte])) else ord("p")
+    for byte in range(256)
+)
+
+
+def latin_stretches(data: bytes) -> list[bytes]:
+    """Stretches of whole words of a lower-case Latin-1 text, in order.
+
+    Where no full stop or comma touches another sign, each is a word of its own, and the text is cut at blanks after
+    blanks are set around them; else it is cut into its words.
+    """
+    kinds = data.translate(_KINDS)
+    if b".." in kinds or b".p" in kinds or b"p." in kinds:
+        return LATIN_WORDS.findall(data)
+    return data.replace(b".", b" . ").replace(b",", b" , ").split()
+
+
 class WordModel:
     """The tokens of one vocabulary file and the words encoded so far."""
 
@@ -71,7 +91,8 @@ class WordModel:
         library = Tokenizer.from_file(path)
         self._normalize = library.normalizer.normalize_str
         self._split = library.pre_tokenizer.pre_tokenize_str
-        self._letters = byte_letters()
+        letters = byte_letters()
+        self._latin = {byte: "".join(letters[part] for part in chr(byte).encode()) for byte in range(256)}
         self._ids = {self._symbols(token): number for token, number in model["vocab"].items()}
         #: For each pair of tokens that merges: the rank of the merge.
         self._ranks: dict[tuple[str, str], int] = {}
@@ -86,11 +107,13 @@ class WordModel:
         self._special = re.compile(f"({found})") if found else None
         self.written = {number: token for token, number in model["vocab"].items()}
         self.written |= {number: special for special, number in self._specials.items()}
-        self._pairs: dict[tuple[str, str], bool] = {}
+        self._pairs: dict[int, bool] = {}  # by both ids
         self._automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY)
+        # Of each token: its symbols, their number, its id, and the id as the left part of a key of _pairs.
         for token in self._ids:
             if len(token) == 1 or self._whole(token):
-                self._automaton.add_word(token, token)
+                number = self._ids[token]
+                self._automaton.add_word(token, (token, len(token), number, number << 32))
         self._automaton.make_automaton()
         self._known: dict[bytes | str, bytes] = {}
         self._held = 0
@@ -138,46 +161,67 @@ class WordModel:
 
     def compatible(self, left: str, right: str) -> bool:
         """Whether two tokens may stand side by side."""
-        known = self._pairs.get((left, right))
-        if known is None:
-            if len(self._pairs) >= PAIRS_KEPT:
-                self._pairs.clear()
-            known = self._pairs[left, right] = self._unmerged_before(left, right, len(self._ranks))
-        return known
+        return self._unmerged_before(left, right, len(self._ranks))
+
+    def _test(self, left: tuple, right: tuple) -> bool:
+        """The same for entries of the automaton, remembered."""
+        if len(self._pairs) >= PAIRS_KEPT:
+            self._pairs = {}
+        fits = self._pairs[left[3] | right[2]] = self.compatible(left[0], right[0])
+        return fits
 
     def word_ids(self, symbols: str) -> array:
         """The ids of one word, given as its symbols."""
         size = len(symbols)
-        number = array("I", bytes(4 * (size + 1)))  # the id of the last token of each prefix
-        length = array("I", bytes(4 * (size + 1)))  # and its symbols
-        compatible, ids = self.compatible, self._ids
+        last: list = [None] * (size + 1)  # the last token of each prefix
+        known = self._pairs.get
         done = 0
         for end, token in self._automaton.iter(symbols):  # of those with the same end the longer ones first
             end += 1
             if end == done:
                 continue
-            start = end - len(token)
-            if start == 0 or compatible(symbols[start - length[start]:start], token):
-                number[end], length[end] = ids[token], len(token)
-                done = end
+            start = end - token[1]
+            if start:
+                left = last[start]
+                fits = known(left[3] | token[2])
+                if fits is None:
+                    fits = self._test(left, token)
+                    known = self._pairs.get
+                if not fits:
+                    continue
+            last[end] = token
+            done = end
         if done != size:
             raise ValueError("a symbol is not in the vocabulary")
-        out, at = array("I"), size
+        ids, at = [], size
         while at:
-            out.append(number[at])
-            at -= length[at]
-        out.reverse()
-        return out
+            token = last[at]
+            ids.append(token[2])
+            at -= token[1]
+        ids.reverse()
+        return array("I", ids)
 
     def _word(self, letters: str) -> bytes:
         return self.word_ids(letters[:-1] + chr(ord(letters[-1]) + _END_SHIFT)).tobytes()
 
-    def _learn(self, stretch: bytes | str) -> bytes:
-        """Ids of one word in lower-case Latin-1, or of a stretch between blanks."""
+    def learn(self, stretch: bytes | str) -> bytes:
+        """Ids of a stretch of whole words in lower-case Latin-1, or of one between blanks that may hold special strings."""
         if isinstance(stretch, bytes):
-            ids = self._word("".join(map(self._letters.__getitem__, stretch.decode("latin-1").encode())))
-        else:
-            ids = b"".join(self._word(word) for word, _ in self._split(self._normalize(stretch)) if word)
+            words = (stretch,) if stretch.isalpha() else LATIN_WORDS.findall(stretch)
+            return b"".join(self._word(word.decode("latin-1").translate(self._latin)) for word in words)
+        if self._special is not None and self._special.search(stretch):
+            parts = self._special.split(stretch)
+            return b"".join(
+                array("I", [self._specials[part]]).tobytes() if i % 2 else self._words(part)
+                for i, part in enumerate(parts)
+            )
+        return self._words(stretch)
+
+    def _words(self, stretch: str) -> bytes:
+        return b"".join(self._word(word) for word, _ in self._split(self._normalize(stretch)) if word)
+
+    def _remember(self, stretch: bytes | str) -> bytes:
+        ids = self.learn(stretch)
         if len(stretch) <= LONGEST_KEPT:
             self._held += _ENTRY_BYTES + len(stretch) + len(ids)
             if len(self._known) >= CACHE_ENTRIES or self._held > CACHE_BYTES:
@@ -188,7 +232,7 @@ class WordModel:
     def _plain(self, text: str) -> bytes:
         """Ids of a text without special strings."""
         try:
-            words = _LATIN_WORDS.findall(text.encode("latin-1").translate(_LOWER))
+            words = latin_stretches(text.encode("latin-1").translate(LOWER))
         except UnicodeEncodeError:
             words = re.split(r"[\t-\r ]+", text)
         found = list(map(self._known.get, words))
@@ -197,7 +241,7 @@ class WordModel:
                 if ids is None:
                     word = words[i]
                     ids = self._known.get(word)
-                    found[i] = self._learn(word) if ids is None else ids
+                    found[i] = self._remember(word) if ids is None else ids
         return b"".join(found)
 
     def encode(self, text: str) -> bytes:
@@ -250,13 +294,16 @@ def _of_size(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
 
 def _decode(path: str):
     def work(batches):
-        model = word_model(path)
+        written = word_model(path).written
+        tokens = pa.array([written.get(number) for number in range(max(written) + 1)], pa.large_string())
         for batch in batches:
             for part in _of_size(batch, IDS_AT_ONCE):
-                texts = [model.decode(ids or []) for ids in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"]
-                )
+                lists = part.column(1)
+                ends = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy().cumsum()
+                each = pa.LargeListArray.from_arrays(
+                    pa.array([0, *ends.tolist()], pa.int64()), tokens.take(pa.compute.list_flatten(lists)))
+                texts = pa.compute.binary_join(each, pa.scalar(" ", pa.large_string())).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], names=["doc_id", "ids", "decoded"])
 
     return work
 
