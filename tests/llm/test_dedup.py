@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import DOC_SCHEMA, awkward, empty, prose
-from videonet.llm import exact_dedup, simhash
+from videonet.llm import exact_dedup, row_filter, simhash
 
 
 def _plain(text):
@@ -163,3 +163,18 @@ def test_drop_near_duplicates(spark):
 def test_schema_of_helper_is_that_of_documents(spark):
     columns = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").columns
     assert [field.split()[0] for field in DOC_SCHEMA.split(", ")] == columns
+
+
+def test_rows_are_dropped_where_they_lie(spark):
+    """Without a shuffle of the other rows, from any number of partitions, with columns of many types."""
+    docs = spark.range(5000, numPartitions=7).select(
+        "id", F.array("id").alias("row"), F.struct("id").alias("part"), F.lit(None).cast("date").alias("a b"))
+    rows = row_filter.numbered(docs)
+    for share in (0, 1, 50, 100):
+        gone = rows.filter(F.pmod(F.xxhash64("id"), F.lit(100)) < share).select(row_filter.ROW)
+        wanted = {r["id"] for r in rows.collect()} - {
+            r["id"] for r in rows.filter(F.pmod(F.xxhash64("id"), F.lit(100)) < share).collect()}
+        kept = row_filter.without_rows(rows, gone)
+        assert kept.columns == docs.columns
+        assert {r["id"] for r in kept.collect()} == wanted
+        assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()

@@ -5,6 +5,7 @@ import pytest
 import corpus_pipeline
 from checks.compare import check, duck
 from tests.llm.helpers import awkward, empty
+from videonet.llm.common import store
 from videonet.llm.queries import ORACLE, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -31,7 +32,7 @@ def test_stages_hand_on_documents(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF_DIR)
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
-        docs = corpus_pipeline.store(docs, name)
+        docs = store(docs, name)
         sizes.append(docs.count())
     assert sizes == sorted(sizes, reverse=True) and sizes[-1] > 0
     packed = corpus_pipeline.run(spark, SF_DIR)
@@ -42,7 +43,19 @@ def test_stages_hand_on_documents(spark):
 def test_stages_take_awkward_tables(spark, rows):
     docs = rows(spark)
     for name, stage in corpus_pipeline.STAGES:
-        out = corpus_pipeline.store(stage(spark, docs, SF_DIR), name)
+        out = store(stage(spark, docs, SF_DIR), name)
         assert out.count() >= 0
         if name != corpus_pipeline.STAGES[-1][0]:
             assert out.columns == docs.columns
+
+
+def test_pipeline_leaves_no_scratch_tables(spark):
+    import os
+
+    from videonet.session import checkpoint_root
+
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    corpus_pipeline.run(spark, SF_DIR).count()
+    made = {name.rsplit("-", 1)[0] for name in set(os.listdir(root)) - before if not name.startswith("rdd-")}
+    assert made <= {*(name for name, _ in corpus_pipeline.STAGES), "packed"}

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from videonet.llm.common import SPACE_BYTES, arrow_map, slices, store, table
 from videonet.llm.registry import query
+from videonet.llm.row_filter import ROW, numbered, without_rows
 
 MIN_CHUNK = 256
 MAX_CHUNK = 16_384
@@ -194,9 +195,8 @@ def exact_duplicates(docs: DataFrame, row_id: Column | None = None, hash_bits: i
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """One document of each group of equal texts, with all its columns."""
-    numbered = store(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    gone = exact_duplicates(numbered, F.col("__row")).filter("NOT kept").select(F.col("row_id").alias("__row"))
-    return numbered.join(gone, "__row", "left_anti").select(*[F.col(f"`{name}`") for name in docs.columns])
+    rows = numbered(docs)
+    return without_rows(rows, exact_duplicates(rows, F.col(ROW)).filter("NOT kept").select("row_id"))
 
 
 SQL = r"""

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from videonet.llm.common import arrow_map, slices, store, table
 from videonet.llm.registry import query
+from videonet.llm.row_filter import ROW, numbered, without_rows
 from videonet.operators.structure import weak_components
 
 SHINGLE_WORDS = 4
@@ -162,15 +163,15 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket_limit: int = BUC
     twos = buckets.filter("members = 2").select("src", "dst").filter(
         F.bit_count(F.col("src").bitwiseXOR(F.col("dst"))) <= max_bits
     )
+    # Stored by themselves, so that Spark sends these short lists to all tasks only where they are short.
+    few = store(buckets.filter(F.col("members").between(3, bucket_limit)).select("block", "key"), "small-buckets")
+    large = store(buckets.filter(F.col("members") > bucket_limit).select("block", "key"), "large-buckets")
     some = (
-        tagged.join(buckets.filter(F.col("members").between(3, bucket_limit)).select("block", "key"), ["block", "key"])
+        tagged.join(few, ["block", "key"])
         .groupBy("block", "key").agg(F.collect_list("fp").alias("fps")).select("fps")
     )
     within = arrow_map(some, _matrix_links(max_bits), "src long, dst long")
-    many = (
-        tagged.join(buckets.filter(F.col("members") > bucket_limit).select("block", "key"), ["block", "key"])
-        .select("fp").distinct()
-    )
+    many = tagged.join(large, ["block", "key"]).select("fp").distinct()
     # Each member sends over 2,000 values, so these few rows are spread over all partitions first.
     spread = many.repartition(int(many.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     met = arrow_map(spread, _near_values(max_bits // 2), "value long, fp long").repartition("value")
@@ -212,15 +213,13 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
 
     Of repeated rows of that document the first as stored stays; of a group without any doc_id, its first row.
     """
-    numbered = store(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    found = store(near_duplicates(numbered, F.col("__row")), "near-duplicates")
+    rows = numbered(docs)
+    found = store(near_duplicates(rows, F.col(ROW)), "near-duplicates")
     owners = (
         found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("root").agg(F.min("row_id").alias("__row"))
-    )
-    return numbered.join(owners.select("__row"), "__row", "left_semi").select(
-        *[F.col(f"`{name}`") for name in docs.columns]
+        .groupBy("root").agg(F.min("row_id").alias("row_id"))
     )
+    return without_rows(rows, found.select("row_id").join(owners, "row_id", "left_anti"))
 
 
 @query("op7_simhash")
