@@ -7,12 +7,13 @@ the columns of documents. ORACLE_SQL is None: SQL can express neither the networ
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from videonet.llm import exact_dedup, language_id, near_copies, packing, quality_rules
-from videonet.llm.common import store, table
+from videonet.llm import exact_dedup, language_id, packing, quality_rules, simhash
+from videonet.llm.common import settle, table
 
 ORACLE_SQL: str | None = None
 
@@ -33,8 +34,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, at a Jaccard similarity of 0.8 or more over five words."""
-    return near_copies.drop_near_copies(docs)
+    """One document of each group whose fingerprints over four words are linked by four or fewer differing bits."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +53,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written and read again by the next."""
+    """All stages over documents, each written and read again by the next; its scratch tables go once it is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), name)
+        docs = settle(spark, partial(stage, spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
