@@ -6,7 +6,7 @@ give the order in which the files would be read one after the other.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from videonet.functions import cleaning
@@ -142,6 +142,36 @@ def upsert_videos(existing: DataFrame | None, new: DataFrame) -> DataFrame:
     )
 
 
+def bucket_of(video_id: Column, buckets: int) -> Column:
+    """The bucket of a video in a table that is divided by a hash of ids."""
+    return F.pmod(F.xxhash64(video_id), F.lit(buckets)).cast("int")
+
+
+def merge_videos(existing: DataFrame | None, new: DataFrame) -> DataFrame:
+    """The same as upsert_videos for stored videos, by bucket, with the crawls of a video as a bitmap.
+
+    `existing` has (id, fields, seen, bucket), `new` one row per id and crawl: (id, fields, crawl, number, bucket).
+    All rows of a bucket meet in one partition, which is written as it is. A video has one row
+    for 64 crawls there, of any number of new ones.
+    """
+    fields = ["uploader", "category", "length_sec", "date_uploaded"]
+    rows = new.select(
+        "bucket", "id", F.struct(F.lit(1).alias("is_new"), "crawl", *fields).alias("last"),
+        F.floor(F.col("number") / 64).cast("int").alias("word"),
+        F.expr("shiftleft(1L, cast(number % 64 AS int))").alias("bits"),
+    )
+    if existing is not None:
+        old = F.struct(F.lit(0).alias("is_new"), F.lit("").alias("crawl"), *fields).alias("last")
+        rows = rows.unionByName(existing.select("bucket", "id", old, F.explode("seen").alias("word", "bits")))
+    words = rows.repartition("bucket").groupBy("bucket", "id", "word").agg(
+        F.max("last").alias("last"), F.bit_or("bits").alias("bits"))
+    return (
+        words.groupBy("bucket", "id")
+        .agg(F.max("last").alias("last"), F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("seen"))
+        .select("id", *[F.col(f"last.{c}").alias(c) for c in fields], "seen", "bucket")
+    )
+
+
 def unite_crawls(existing, added):
     """Set union of two crawl id arrays."""
     return F.array_sort(F.array_union(existing, added))

@@ -15,7 +15,7 @@ from videonet.operators.metrics import run_measured
 from videonet.operators.patterns import motif_edge
 from videonet.session import build_session, cut_lineage, write_through
 from videonet.sources import crawl_files, sinks
-from videonet.sources.catalog import Catalog
+from videonet.sources.catalog import VIDEO_BUCKET_COUNT, Catalog
 
 HISTOGRAM_BINS = 50
 SHOWN_CATEGORIES = 15
@@ -87,51 +87,91 @@ def degree_job(catalog: Catalog, save: bool = True) -> dict[str, DataFrame]:
 
 
 def store_records(
-    catalog: Catalog, records: DataFrame, logs: DataFrame, crawl_ids: list[str], force: bool
-) -> None:
-    """Write deduplicated records and register their crawls, which makes them visible.
-
-    Registered crawls keep their stored records and gain the new ones. Only the
-    registry makes crawls and a version of `videos` visible, and it is written
-    last, as a new version: a run that fails before, or while, registering leaves
-    readers with what they had, and running again writes the same rows. `force`
-    empties the registry first.
+    catalog: Catalog, records: DataFrame, rejects: DataFrame, logs: DataFrame, force: bool = False,
+    video_buckets: int = VIDEO_BUCKET_COUNT,
+) -> int:
+    """Write deduplicated records and register their crawls, which makes them visible; returns the number of the run.
+
+    Everything is written into partitions of this run, which no reader sees before
+    the registry names them; the registry is written last, as a new version. So a
+    run that fails anywhere, new, repeated or forced, leaves readers with what they
+    had. A registered crawl keeps its runs and gains this one, with its new records
+    only. `rejects` are all rejected lines of the crawls. With `force` the new
+    registry names nothing but this run.
+
+    Of `videos` the buckets are merged and written that hold ids of this run.
     """
-    crawls = None if force else _load(catalog, "crawls")
-    if crawls is None:
+    run = catalog.new_run()
+    registered = _load(catalog, "crawls")
+    if registered is None:
         catalog.write_version("crawls", catalog.empty("crawls"))
-    old_videos = None if force else _load(catalog, "videos")
-    edges, snapshots = ingest.explode_edges(records), ingest.project_snapshots(records)
-    # Ids of this run's crawls only; as literals they select the partitions to read.
-    again = [] if crawls is None else [
-        row.id for row in crawls.filter(F.col("id").isin(crawl_ids)).select("id").collect()
-    ]
-    if again:
-        touched = F.col("crawl_id").isin(again)
-        old_snapshots = catalog.load_table("video_snapshots").filter(touched)
-        old_edges = catalog.load_table("edges").filter(touched)
-        known = old_snapshots.select("crawl_id", "video_id")
-        records = write_through(
-            records.join(known, ["crawl_id", "video_id"], "left_anti"), "new-records"
-        )
-        kept = old_edges.join(
-            known.withColumnRenamed("video_id", "src"), ["crawl_id", "src"], "left_semi"
-        )
-        # Both tables are read before their partitions are replaced.
-        edges = write_through(kept.unionByName(ingest.explode_edges(records)), "edges")
-        snapshots = write_through(
-            old_snapshots.unionByName(ingest.project_snapshots(records)), "snapshots"
-        )
-
-    sinks.write_entities(edges, catalog.path("edges"), replace_all=force)
-    sinks.write_entities(snapshots, catalog.path("video_snapshots"), replace_all=force)
-    videos = ingest.upsert_videos(old_videos, ingest.project_videos(records))
-    version = catalog.write_version("videos", videos)
-
-    rows = ingest.crawl_registry(logs).withColumn("videos_version", F.lit(version).cast("bigint"))
-    if crawls is not None:
-        rows = crawls.join(rows.select("id"), "id", "left_anti").unionByName(rows)
+    if force:
+        registered = None
+    registry = cut_lineage(_registry(ingest.crawl_registry(logs), registered, run))
+    if registered is not None:
+        again = registered.join(registry.select("id"), "id", "left_semi").select(F.col("id").alias("crawl_id"))
+        if not again.isEmpty():
+            known = catalog.load_table("video_snapshots").join(again, "crawl_id", "left_semi")
+            known = known.select("crawl_id", "video_id")
+            records = write_through(records.join(known, ["crawl_id", "video_id"], "left_anti"), "new-records")
+
+    for name, rows in (
+        ("rejected_lines", rejects), ("edges", ingest.explode_edges(records)),
+        ("video_snapshots", ingest.project_snapshots(records)),
+    ):
+        sinks.write_entities(rows.withColumn("run", F.lit(run).cast("bigint")), catalog.path(name))
+    version = _store_videos(catalog, records, registry, run, None if force else catalog.video_buckets(), video_buckets)
+
+    rows = registry.withColumn("videos_version", F.lit(version).cast("bigint"))
+    if registered is not None:
+        rows = registered.join(rows.select("id"), "id", "left_anti").unionByName(rows)
     catalog.write_version("crawls", rows)
+    return run
+
+
+def _registry(rows: DataFrame, registered: DataFrame | None, run: int) -> DataFrame:
+    """Registry rows of a run's crawls with their numbers and runs; one row per crawl directory."""
+    none = F.expr("cast(array() AS array<bigint>)")
+    if registered is None:
+        old = rows.select("id", F.lit(None).cast("bigint").alias("number"), none.alias("runs"))
+        last = F.lit(-1)
+    else:
+        old = rows.select("id").join(registered.select("id", "number", "runs"), "id", "left")
+        last = F.coalesce(registered.agg(F.max("number")).scalar(), F.lit(-1))
+    # Numbers go on from the last one, in the order of ids; the rows are as few as the directories.
+    new = old.filter("number IS NULL").select("id").coalesce(1).sortWithinPartitions("id").select(
+        "id", F.monotonically_increasing_id().alias("place"))
+    runs = F.array_append(F.coalesce("runs", none), F.lit(run).cast("bigint"))
+    return (
+        rows.join(old.withColumnRenamed("number", "old"), "id").join(new, "id", "left")
+        .withColumn("number", F.coalesce("old", F.col("place") + last + 1).cast("bigint"))
+        .withColumn("runs", runs)
+        .withColumn("rejects_run", F.lit(run).cast("bigint"))
+        .drop("old", "place")
+    )
+
+
+def _store_videos(
+    catalog: Catalog, records: DataFrame, registry: DataFrame, run: int, current: DataFrame | None, buckets: int
+) -> int:
+    """Merge the records into the buckets of their ids; returns the version of the new list of buckets."""
+    if current is not None:
+        buckets = current.agg(F.max("bucket")).first()[0] + 1
+    numbers = registry.select(F.col("id").alias("crawl"), "number")
+    new = (
+        ingest.project_videos(records).withColumn("crawl", F.element_at("seen_in_crawls", 1)).drop("seen_in_crawls")
+        .join(numbers, "crawl").withColumn("bucket", ingest.bucket_of(F.col("id"), buckets))
+    )
+    this_run = F.lit(run).cast("bigint").alias("run")
+    if current is None:
+        old, named = None, catalog.spark.range(buckets).select(F.col("id").cast("int").alias("bucket"), this_run)
+    else:
+        touched = cut_lineage(new.select("bucket").distinct())
+        old = catalog.video_parts(current.join(touched, "bucket", "left_semi"))
+        named = current.join(touched, "bucket", "left_anti").unionByName(touched.select("bucket", this_run))
+    merged = ingest.merge_videos(old, new).withColumn("run", this_run)
+    sinks.write_buckets(merged, catalog.path("video_parts"))
+    return catalog.write_version("videos", named.coalesce(1))
 
 
 def _load(catalog: Catalog, name: str) -> DataFrame | None:
@@ -142,7 +182,7 @@ def _load(catalog: Catalog, name: str) -> DataFrame | None:
 
 
 def ingest_crawls(
-    spark: SparkSession, raw_dir: str, base: str, force: bool = False
+    spark: SparkSession, raw_dir: str, base: str, force: bool = False, video_buckets: int = VIDEO_BUCKET_COUNT
 ) -> DataFrame | None:
     """Ingest the crawl directories that are not registered; returns their line counts.
 
@@ -153,19 +193,18 @@ def ingest_crawls(
     crawls = crawl_files.list_files(spark, raw_dir).select("crawl_id").distinct()
     if not force:
         crawls = ingest.skip_processed(crawls, _load(catalog, "crawls"))
-    # One id per directory to read.
+    # One name per directory to read; the driver lists the files in them anyway.
     crawl_ids = sorted(row.crawl_id for row in crawls.collect())
     if not crawl_ids:
         return None
     lines = crawl_files.read_raw_crawl(spark, raw_dir, crawl_ids)
     classified = ingest.classified_once(lines)
     records = write_through(ingest.dedupe_in_crawl(ingest.records_of(classified)), "records")
-    rejects = ingest.rejects_of(classified)
-    sinks.write_entities(rejects, catalog.path("rejected_lines"), replace_all=force)
     logs = cut_lineage(crawl_files.read_crawl_log(spark, raw_dir, crawl_ids))
-    store_records(catalog, records, logs, crawl_ids, force)
-    stored = catalog.load_table("rejected_lines").filter(F.col("crawl_id").isin(crawl_ids))
-    return ingest.ingest_stats(records, stored)
+    run = store_records(catalog, records, ingest.rejects_of(classified), logs, force, video_buckets)
+    if force:
+        catalog.drop_unused()
+    return ingest.ingest_stats(records, catalog.rows_of_run("rejected_lines", run))
 
 
 def notebook_flow(catalog: Catalog, category: str, k: int = 10) -> dict[str, DataFrame]:

@@ -4,7 +4,9 @@ from pyspark.sql.types import (
     ArrayType,
     DateType,
     DoubleType,
+    IntegerType,
     LongType,
+    MapType,
     StringType,
     StructField,
     StructType,
@@ -74,8 +76,29 @@ REJECTED_LINES = _struct(
     reason=StringType(),
 )
 
-# The registry also names the version of `videos` that its crawls are part of.
-STORED_CRAWLS = StructType([*CRAWLS.fields, StructField("videos_version", LongType())])
+# The registry also numbers the crawls, and names the runs of ingest whose rows count: those that wrote a crawl's
+# snapshots and edges, the one that wrote its rejected lines, and the version of the list of buckets of `videos`.
+STORED_CRAWLS = StructType([
+    *CRAWLS.fields,
+    StructField("number", LongType()),
+    StructField("runs", ArrayType(LongType())),
+    StructField("rejects_run", LongType()),
+    StructField("videos_version", LongType()),
+])
+
+# Videos as stored: `seen` is a bitmap over the numbers of crawls, 64 of them in each entry.
+VIDEO_PARTS = _struct(
+    id=StringType(),
+    uploader=StringType(),
+    category=StringType(),
+    length_sec=LongType(),
+    date_uploaded=DateType(),
+    seen=MapType(IntegerType(), LongType()),
+    bucket=IntegerType(),
+    run=LongType(),
+)
+# The run that wrote the rows of a bucket.
+VIDEO_BUCKETS = _struct(bucket=IntegerType(), run=LongType())
 
 # The four tables of the data model.
 TABLES = {

@@ -15,20 +15,26 @@ ARCHIVE_RUN = "%m-%d-%Y_%H-%M-%S"
 
 
 def write_entities(df: DataFrame, path: str, replace_all: bool = False) -> None:
-    """Write a table partitioned by crawl; only the crawls in `df` are replaced.
+    """Write a table partitioned by crawl, and by run where rows carry one; only the partitions in `df` are replaced.
 
     The rebalance hint lets adaptive execution split a very large crawl over
     several files and join small ones, by size.
     """
+    keys = ["crawl_id", "run"] if "run" in df.columns else ["crawl_id"]
     (
         df.hint("rebalance", F.col("crawl_id"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
-        .partitionBy("crawl_id")
+        .partitionBy(*keys)
         .parquet(path)
     )
 
 
+def write_buckets(df: DataFrame, path: str) -> None:
+    """Add rows that carry their bucket and run, and are dealt by bucket, to a table partitioned by both."""
+    df.write.mode("append").partitionBy("bucket", "run").parquet(path)
+
+
 def save_degree_stats(degrees: DataFrame, path: str) -> None:
     degrees.write.mode("overwrite").parquet(path)
 

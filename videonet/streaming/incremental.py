@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from videonet.operators import ingest
 from videonet.plans.jobs import store_records
 from videonet.session import cut_lineage, write_through
-from videonet.sources import crawl_files, sinks
+from videonet.sources import crawl_files
 from videonet.sources.catalog import Catalog
 
 
@@ -51,20 +51,16 @@ def store_batch(batch: DataFrame, raw_dir: str, base: str) -> None:
     data = crawl_files.only_data_files(lines, logs.select("crawl_id", "log_file"))
     classified = ingest.classified_once(data)
     records = write_through(ingest.dedupe_in_crawl(ingest.records_of(classified)), "records")
-    store_rejects(catalog, ingest.rejects_of(classified), classified.select("crawl_id", "file_name").distinct())
-    store_records(catalog, records, logs, crawl_ids, force=False)
+    files = classified.select("crawl_id", "file_name").distinct()
+    store_records(catalog, records, with_other_rejects(catalog, ingest.rejects_of(classified), files), logs)
 
 
-def store_rejects(catalog: Catalog, rejects: DataFrame, files: DataFrame) -> None:
-    """Replace what the files of a batch had left; rejects of the crawls' other files stay."""
-    path = catalog.path("rejected_lines")
+def with_other_rejects(catalog: Catalog, rejects: DataFrame, files: DataFrame) -> DataFrame:
+    """The rejects of a batch's files and, of the same crawls, those of all other files."""
     try:
-        old = catalog.spark.read.schema(rejects.schema).parquet(path)
+        old = catalog.load_table("rejected_lines")
     except AnalysisException:
-        merged = rejects
-    else:
-        touched = files.select("crawl_id").distinct()
-        others = old.join(touched, "crawl_id", "left_semi").join(files, ["crawl_id", "file_name"], "left_anti")
-        # Read before the partitions are replaced.
-        merged = write_through(others.unionByName(rejects), "rejects")
-    sinks.write_entities(merged, path)
+        return rejects
+    others = old.join(files.select("crawl_id").distinct(), "crawl_id", "left_semi").join(
+        files, ["crawl_id", "file_name"], "left_anti")
+    return others.unionByName(rejects)
