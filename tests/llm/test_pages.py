@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import io
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,9 +123,41 @@ KEPT_CASES = [
      f"{LONG.strip()}\nBye."),
     ("<p class=ad>buy<p>more<article><p>kept</p></article>", "kept"),
     (f"<div class=post-meta>By me</div><div>{LONG}</div>", f"By me\n{LONG.strip()}"),
+    ("<article><p>See <span class='ad'>AD</span> 79, press <button>OK</button> <b hidden>x</b>now.</p></article>",
+     "See 79, press now."),
+    ("<article><ul><li class='share'>Market share grew.</li><li>b</li></ul><div id='search'><p>A search.</p></div>"
+     "<p class='notice'>Notice periods are long.</p><div class='menu'>The menu was short.</div></article>",
+     "Market share grew.\nb\nA search.\nNotice periods are long.\nThe menu was short."),
+    ("<article><p>a</p><div class=share><a href=x>Tweet</a> | <a href=y>Mail</a></div><div class=search><input>Go</div>"
+     "<ul class=menu><li>One</ul><div class=related><p>x</p><form>y</form></div><p>b <span class=share><a>T</a></span> c</p>"
+     "<div class=notice><div class=alert><a>z</a></div>kept</div>d</article>", "a\nb c\nkept\nd"),
+    ("<article><p class=share><a>x</a><p>next</article>", "next"),
 ]
 
 
 @pytest.mark.parametrize("page,text", KEPT_CASES)
 def test_main_text_is_kept(page, text):
     assert main_text.main_text(page) == text
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, "<a " * 350_000 + ">", "<script " * 130_000, "<!" * 500_000, "<" + "a" * 1_000_000,
+    "<a title=\"" * 90_000, "<a 'x" * 170_000, "<a \"'" * 170_000, "<div class=banner>" * 55_000 + "<article>x</article>",
+    "<article>" + "<div class=menu>" * 60_000 + "x", "<div><a>x</a><a>y</a>" * 40_000 + "</div>" * 40_000,
+    "<p " + " " * 1_000_000, "&" * 1_000_000, "<p>" * 330_000, "</script" * 120_000,
+])
+def test_odd_pages_of_a_megabyte_in_seconds(page):
+    start = time.monotonic()
+    main_text.main_text(page)
+    assert time.monotonic() - start < 15
+
+
+def test_repeated_rows_null_ids_and_clashing_columns(spark):
+    page = "<article><p>one</p></article>"
+    rows = [(1, "u", page, "t", 5), (1, "u", page, "t", 5), (None, None, page, None, None), (2, "v", "", "t", 5)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars long")
+    out = main_text.extract_main_text(frame)
+    assert out.columns == ["page_id", "url", "text"]
+    assert sorted(map(repr, ((r["page_id"], r["url"], r["text"]) for r in out.collect()))) == sorted(map(repr, [
+        (1, "u", "one"), (1, "u", "one"), (None, None, "one"), (2, "v", "")]))
+    assert main_text.extract_main_text(frame.limit(0)).count() == 0

@@ -2,8 +2,9 @@
 
 Markup is stripped so that every block element is a line of its own; what menus, forms, scripts and the like contain
 leaves no line. Runs of empty lines are where such a part was and around containers of nothing but links. Class, id
-and role names tell other parts only as whole names, and never headings, articles or what holds the main part. Text lengths outside
-links are summed over sliding windows of lines: a surge is where a window comes above zero, the dive where one
+and role names tell other parts only as whole names, and never headings, articles or what holds the main part; names
+that are words of articles as well need further evidence in an article. What is dropped within a line leaves the rest of the
+line together. Text lengths outside links are summed over sliding windows of lines: a surge is where a window comes above zero, the dive where one
 falls back to zero. The text between a surge and its dive is kept if its largest window reaches a quarter of the
 page's largest. Where the page marks an article (or else its main part, by element or by a name like "content"),
 only lines in it have a length; there a line of nothing but links counts as one character, elsewhere as none.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,10 +34,11 @@ BATCH_BYTES = 4 << 20
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|textarea|title|noscript|template|iframe|svg|object|select)(?=[\s/>])[^>]*(?<!/)>"
-    r".*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*>",
+    r"|<(?P<raw>script|style|textarea|title|noscript|template|iframe|svg|object|select)(?=[\s/>])[^<>]*+(?<!/)>"
+    r".*?(?:</(?P=raw)\s*+>|\Z)"
+    # Outside of quotes a tag ends before the next one begins, and nothing is tried twice, so reading is linear.
+    r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<rest>(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<[!?][^<>]*+>",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
@@ -49,6 +52,8 @@ CONTAINERS = frozenset(
     "html head body figure details center header".split()
 )
 DROPPED = frozenset("nav footer aside form button dialog menu".split())
+#: Elements that end a line; all others are part of one.
+BLOCKS = PARAGRAPHS | CONTAINERS | DROPPED - {"button"} | frozenset("article div fieldset main section".split())
 #: Ends at the next element of the same name, as these cannot be nested.
 NOT_NESTED = frozenset("p li dt dd tr td th".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -72,6 +77,10 @@ OTHER_COMPOUNDS = frozenset(
     f"{owner}-{part}" for owner in "main page primary secondary site user".split()
     for part in "comments footer menu nav navigation".split()
 ) | frozenset(("sidebar-widget", "skip-link", "disqus-thread"))
+#: Names that are words of articles as well: there such an element goes only if all its text is links, if it holds
+#: parts of a form, or if it is a list.
+WEAK_PARTS = frozenset("share search menu notice alert skip feedback related".split())
+FORM_PARTS = frozenset("form input button select textarea".split())
 OTHER_OUTSIDE_ARTICLE = frozenset("header masthead topbar site-header page-header".split())
 #: Elements that are never another part by their name, but for articles that hold a comment.
 NEVER_OTHER = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
@@ -93,14 +102,37 @@ class _Page:
         self._texts: list[str] = []
         self._linked = 0
         self.article = self.main = self.link = 0
-        self.links = 0
-        # Open containers without a meaning of their own: do they hold the main part, lines and links before them.
-        self.boxes: list[tuple[bool, int, int]] = []
+        self.links = self.forms = 0
+        self.worded = 0  # texts with a letter or digit outside links
+        self._long = 0  # lines with a length
+        # Open containers without a meaning of their own: do they hold the main part, lines, links and lengths before them.
+        self.boxes: list[tuple[bool, int, int, int]] = []
+        # Open elements of weak names: where they end, and what was there before them.
+        self.doubtful: list[tuple] = []
 
     def text(self, text: str) -> None:
         self._texts.append(text)
         if self.link:
             self._linked += len("".join(html.unescape(text).split()))
+        elif self.doubtful and any(map(str.isalnum, text)):
+            self.worded += 1
+
+    def doubt(self, end: int, is_list: bool) -> None:
+        """An element that may be another part begins."""
+        self.doubtful.append((
+            end, is_list, len(self.lines), len(self._texts), self._linked, self.links, self.forms, self.worded, self._long))
+
+    def settle(self, place: int) -> None:
+        """Drop those elements that ended before `place` and were other parts."""
+        while self.doubtful and self.doubtful[-1][0] <= place:
+            _, is_list, lines, texts, linked, links, forms, worded, long = self.doubtful.pop()
+            only_links = self.links > links and self.worded == worded
+            if not (is_list or only_links or self.forms > forms):
+                continue
+            if len(self.lines) > lines:  # a block, or something of several lines
+                texts = linked = 0
+            del self.lines[lines:], self.lengths[lines:], self.parts[lines:], self._texts[texts:]
+            self._linked, self.worded, self._long = linked, worded, long
 
     def end_line(self) -> None:
         if self._texts:
@@ -109,6 +141,7 @@ class _Page:
                 self.lines.append(line)
                 own = len(line) - line.count(" ") - self._linked
                 self.lengths.append(max(1, own) if self.article or self.main else max(0, own))
+                self._long += self.lengths[-1] > 0
                 self.parts.append(2 if self.article else 1 if self.main else 0)
             self._texts, self._linked = [], 0
 
@@ -124,12 +157,12 @@ class _Page:
         """Open or close a container; one of nothing but several links is a part of its own."""
         self.end_line()
         if not closing:
-            self.boxes.append((holds_main, len(self.lines), self.links))
+            self.boxes.append((holds_main, len(self.lines), self.links, self._long))
             self.main += holds_main
         elif self.boxes:
-            held_main, first, links = self.boxes.pop()
+            held_main, first, links, long = self.boxes.pop()
             self.main -= held_main
-            if self.links > links + 1 and not any(self.lengths[first:]) and not (self.article or self.main):
+            if self.links > links + 1 and self._long <= long and not (self.article or self.main):
                 self.lines[first:first] = [""] * WINDOW_LINES
                 self.lengths[first:first] = [0] * WINDOW_LINES
                 self.parts[first:first] = [0] * WINDOW_LINES
@@ -167,33 +200,41 @@ def _is_other(name: str, attributes: dict[str, str], inside: bool) -> bool:
     return bool(names & OTHER_PARTS or names & OTHER_COMPOUNDS) or (not inside and bool(names & OTHER_OUTSIDE_ARTICLE))
 
 
-def _main_starts(page: str) -> list[int]:
-    """Where the main part begins: the page's main elements, or else its articles, or else containers so named."""
+def _is_weak(name: str, attributes: dict[str, str]) -> bool:
+    """Whether an element is told to be another part by weak names only."""
+    names = _names(attributes, ("class", "role") if name == "section" else ("class", "id", "role"))
+    return not names & OTHER_COMPOUNDS and names & OTHER_PARTS <= WEAK_PARTS
+
+
+def _outline(page: str) -> tuple[list[int], dict[int, int]]:
+    """Where the main part begins, and where each element ends, by the place where it begins.
+
+    The main part is the page's main elements, or else its articles, or else containers so named. An element
+    without an end ends with the page and is not listed.
+    """
     found: tuple[list[int], ...] = ([], [], [])
+    ends: dict[int, int] = {}
+    still_open: dict[str, list[int]] = defaultdict(list)
     for token in _TOKEN.finditer(page):
-        if token["name"] is None or token["close"]:
+        if token["name"] is None:
             continue
-        name = token["name"].lower()
+        name, start = token["name"].lower(), token.start()
+        of_name = still_open[name]
+        if of_name and (token["close"] or name in NOT_NESTED):
+            ends[of_name.pop()] = start
+        if token["close"]:
+            continue
+        if name in VOID or token["rest"].endswith("/"):
+            ends[start] = start
+        else:
+            of_name.append(start)
         if name == "main":
             found[0].append(token.start())
         elif name == "article" and not _is_other(name, _attributes(token["rest"]), False):
             found[1].append(token.start())
         elif name in ("div", "section") and _names(_attributes(token["rest"])) & MAIN_PARTS:
             found[2].append(token.start())
-    return next((starts for starts in found if starts), [])
-
-
-def _holds(page: str, start: int, wanted: str, place: int) -> bool:
-    """Whether the element that begins at `start` ends after `place`."""
-    depth = 0
-    for token in _TOKEN.finditer(page, start):
-        if token.start() > place:
-            return True
-        if token["name"] and token["name"].lower() == wanted:
-            depth += -1 if token["close"] else not token["rest"].endswith("/")
-            if depth <= 0 or (depth > 1 and wanted in NOT_NESTED):
-                return False
-    return True
+    return next((starts for starts in found if starts), []), ends
 
 
 def stripped(page: str) -> _Page:
@@ -201,14 +242,18 @@ def stripped(page: str) -> _Page:
     out = _Page()
     skipped, depth = "", 0
     at = 0
-    starts: list[int] | None = None
+    known: tuple[list[int], dict[int, int]] | None = None
+
+    def outline() -> tuple[list[int], dict[int, int]]:
+        nonlocal known
+        if known is None:
+            known = _outline(page)
+        return known
 
-    def holds_main(name: str, start: int) -> bool:
+    def holds_main(start: int) -> bool:
         """Whether the element holds the whole main part."""
-        nonlocal starts
-        if starts is None:
-            starts = _main_starts(page)
-        return bool(starts) and start < starts[0] and _holds(page, start, name, starts[-1])
+        starts, ends = outline()
+        return bool(starts) and start < starts[0] and ends.get(start, len(page)) > starts[-1]
 
     for token in _TOKEN.finditer(page):
         if not depth and token.start() > at:
@@ -216,6 +261,7 @@ def stripped(page: str) -> _Page:
         at = token.end()
         name = token["name"]
         if name is None:
+            out.forms += token["raw"] is not None and token["raw"].lower() in FORM_PARTS
             continue
         name, closing = name.lower(), bool(token["close"])
         if depth:
@@ -228,14 +274,26 @@ def stripped(page: str) -> _Page:
                 continue
             if closing:
                 continue
+        if out.doubtful and out.doubtful[-1][0] <= token.start():
+            if name in BLOCKS:
+                out.end_line()
+            out.settle(token.start())
         opening = not closing and name not in VOID
+        out.forms += not closing and name in FORM_PARTS
         attributes = _attributes(token["rest"]) if opening and token["rest"] else {}
+        other = bool(attributes) and _is_other(name, attributes, out.article > 0)
+        if other and out.article and name not in DROPPED and _is_weak(name, attributes) and not _is_hidden(attributes):
+            other = False
+            if name in BLOCKS:
+                out.end_line()
+            out.doubt(outline()[1].get(token.start(), len(page)), name in ("ul", "ol", "dl"))
         if opening and (
             name in DROPPED or (name == "header" and not out.article)
             or (attributes and name not in ("html", "body", "main") and _is_hidden(attributes))
-            or (attributes and _is_other(name, attributes, out.article > 0) and not holds_main(name, token.start()))
+            or (other and not holds_main(token.start()))
         ):
-            out.gap()
+            if name in BLOCKS:
+                out.gap()
             skipped, depth = name, 1
         elif name in ("article", "main"):
             out.end_line()
@@ -254,6 +312,7 @@ def stripped(page: str) -> _Page:
     if not depth and at < len(page):
         out.text(page[at:])
     out.end_line()
+    out.settle(len(page))
     return out
 
 
