@@ -176,6 +176,16 @@ def common_recommendations(d):
     return patterns.common_recommendations(d.edges, d.videos, "promo", max_results=5000)
 
 
+@query("common_of_pairs", """
+SELECT e.src AS video_a, f.src AS video_b, e.dst AS common_target
+FROM edges e JOIN edges f ON e.dst = f.dst AND e.src < f.src JOIN videos ON e.dst = id
+JOIN (SELECT e.src AS a, f.src AS b FROM simple e JOIN simple f ON e.dst = f.dst AND e.src < f.src
+      JOIN videos ON e.dst = id WHERE category = 'promo' GROUP BY 1, 2 HAVING count(*) >= 2) ON a = e.src AND b = f.src
+WHERE category = 'promo' ORDER BY 3, 1, 2 LIMIT 5000""")
+def common_of_pairs(d):
+    return patterns.common_recommendations(d.edges, d.videos, "promo", max_results=5000, min_common=2)
+
+
 @query("common_pairs", """
 SELECT e.src AS video_a, f.src AS video_b, count(*) AS num_common
 FROM simple e JOIN simple f ON e.dst = f.dst AND e.src < f.src
@@ -588,6 +598,12 @@ def closeness(d):
     return rounded(scores, "closeness", digits=9)
 
 
+@query("closeness_sketched", CENTRALITY + "SELECT id, round(closeness, 9) AS closeness FROM close_scores")
+def closeness_sketched(d):
+    scores = centrality.closeness_sketched(centrality.top_degree_subgraph(d.edges))
+    return rounded(scores, "closeness", digits=9)
+
+
 @query("centrality_table", CENTRALITY + """
 SELECT id AS video_id, in_degree, out_degree, in_degree + out_degree AS total_degree,
        round(betweenness, 9) AS betweenness, round(closeness, 9) AS closeness, category, uploader

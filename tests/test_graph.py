@@ -115,6 +115,27 @@ def test_long_path_is_searched_with_one_state(spark):
     assert structure.strongly_connected(edge_frame(spark, [(f"{i:03d}", f"{(i + 1) % 40:03d}") for i in range(40)]))
 
 
+def test_closeness_from_sketches(spark):
+    """Exact where counts are small; within the stated error, and some more, where they are not."""
+    edges = helpers.edge_frame(spark, HUBS)
+    assert as_dict(centrality.closeness_sketched(edges)) == pytest.approx(helpers.closeness(HUBS), abs=1e-9)
+    assert as_dict(centrality.closeness_sketched(edges, rows_per_slice=3)) == pytest.approx(
+        helpers.closeness(HUBS), abs=1e-9)
+    large = sorted({(f"v{i}", f"v{(i * m + 1) % 3000}") for i in range(3000) for m in (2, 3)})
+    exact = helpers.closeness(large)
+    got = as_dict(centrality.closeness_sketched(helpers.edge_frame(spark, large)))
+    errors = [abs(got[v] - exact[v]) / exact[v] for v in exact if exact[v]]
+    assert set(got) == set(exact) and max(errors) < 0.12 and sum(errors) / len(errors) < 0.04
+    one_step = as_dict(centrality.closeness_sketched(edges, max_rounds=1))
+    n = len(one_step)
+    senders = {}
+    for a, b in set(HUBS):
+        if a != b:
+            senders.setdefault(b, set()).add(a)
+    assert one_step == pytest.approx({v: len(senders.get(v, ())) / (n - 1) for v in one_step})
+    assert centrality.closeness_sketched(edges.limit(0)).count() == 0
+
+
 def test_sampled_closeness(spark):
     edges = edge_frame(spark, HUBS)
     n = len(helpers.nodes(HUBS))

@@ -259,13 +259,18 @@ def common_recommendations(
     videos: DataFrame | None = None,
     category: str | None = None,
     max_results: int = 30,
+    min_common: int = 1,
 ) -> DataFrame:
     """(a)->(c)<-(b) with a < b, the target c in the category; first by (c, a, b).
 
     Sources of a target are numbered. Source i of n begins (n - i) pairs, so the
-    position of every pair is known and only the wanted ones are built.
+    position of every pair is known and only the wanted ones are built. With
+    `min_common` the pair must share so many distinct targets; then these pairs
+    are found first, and their common targets are looked up.
     """
     limit = check_limit(max_results)
+    if min_common > 1:
+        return _common_of_pairs(edges, videos, category, limit, min_common)
     rows = weighted_edges(edges)
     if videos is not None and category:
         targets = by_category(videos, category).select(F.col("id").alias("dst"))
@@ -306,6 +311,28 @@ def common_recommendations(
     )
 
 
+def _common_of_pairs(
+    edges: DataFrame, videos: DataFrame | None, category: str | None, limit: int, min_common: int
+) -> DataFrame:
+    """The first triples of all pairs that share `min_common` distinct targets."""
+    pairs = write_through(
+        common_pairs(edges, min_common, videos, category, max_results=None).select("video_a", "video_b"), "pairs")
+    rows = weighted_edges(edges)
+    if videos is not None and category:
+        targets = by_category(videos, category).select(F.col("id").alias("dst"))
+        rows = rows.join(targets, "dst", "left_semi")
+    of_a = rows.select(F.col("src").alias("video_a"), "dst", F.col("weight").alias("weight_a"))
+    of_b = rows.select(F.col("src").alias("video_b"), "dst", F.col("weight").alias("weight_b"))
+    triples = sliced_join(pairs, of_a, "video_a", by=["video_b"]).join(of_b, ["video_b", "dst"])
+    copies = F.least(F.col("weight_a") * F.col("weight_b"), F.lit(limit).cast("bigint"))
+    first = triples.select("video_a", "video_b", F.col("dst").alias("common_target"), copies.alias("copies")).orderBy(
+        "common_target", "video_a", "video_b").limit(limit)
+    return (
+        first.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).drop("copies", "copy")
+        .orderBy("common_target", "video_a", "video_b").limit(limit)
+    )
+
+
 def common_pairs(
     edges: DataFrame,
     min_common: int = 2,

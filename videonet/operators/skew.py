@@ -4,6 +4,7 @@ Every hot key is cut into slices: each row of the large side goes to one slice,
 and the matching row of the other side is copied to all slices of its key. The
 list of hot keys is stored as a table, so Spark knows its size: it broadcasts a
 short list and joins a long one by a shuffle that adaptive execution can split.
+Where the list is empty there is one slice, and neither side is joined with it.
 """
 
 from __future__ import annotations
@@ -20,20 +21,21 @@ SLICE = "_slice"
 
 def hot_slices(
     counts: DataFrame, key: str, n: str = "n", rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
-    """(key, _slices) for all keys of a (key, n) table with more rows than a slice holds."""
+) -> DataFrame | None:
+    """(key, _slices) for all keys of a (key, n) table with more rows than a slice holds; None if there is none."""
     hot = counts.filter(F.col(key).isNotNull() & (F.col(n) > rows_per_slice)).select(
         key, F.ceil(F.col(n) / rows_per_slice).cast("int").alias("_slices")
     )
-    return write_through(hot, "hot-keys")
+    stored = write_through(hot, "hot-keys")
+    return None if stored.isEmpty() else stored
 
 
-def spread_rows(fact: DataFrame, hot: DataFrame, key: str, by: list[str]) -> DataFrame:
+def spread_rows(fact: DataFrame, hot: DataFrame | None, key: str, by: list[str]) -> DataFrame:
     """Give each row of a hot key one of its slices, chosen by the columns `by`."""
     spread = F.xxhash64(*by)
+    rows = fact.withColumn("_slices", F.lit(None).cast("int")) if hot is None else fact.join(hot, key, "left")
     return (
-        fact.join(hot, key, "left")
-        .withColumn(
+        rows.withColumn(
             SLICE,
             F.when(F.col(key).isNull(), F.pmod(spread, F.lit(NULL_SLICES)))
             .when(F.col("_slices").isNull(), F.lit(0))
@@ -44,8 +46,10 @@ def spread_rows(fact: DataFrame, hot: DataFrame, key: str, by: list[str]) -> Dat
     )
 
 
-def copy_to_slices(dim: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+def copy_to_slices(dim: DataFrame, hot: DataFrame | None, key: str) -> DataFrame:
     """Copy the rows of a hot key to each of its slices."""
+    if hot is None:
+        return dim.withColumn(SLICE, F.lit(0))
     last: Column = F.coalesce(F.col("_slices"), F.lit(1)) - 1
     return (
         dim.join(hot, key, "left")
