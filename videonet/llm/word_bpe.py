@@ -329,6 +329,6 @@ def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.transform("ids", lambda number: number.cast("string")), " "), 256).alias("ids_sha256"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
