@@ -32,6 +32,7 @@ CAPACITY = 2048
 END_ID = 1
 POOL = 4096
 BATCH_BYTES = 2 << 20
+WORD_CACHE_BYTES = 128 << 20
 TASKS_MERGED_BITS = 10
 _SEQUENCE_BITS = 33
 _MERGED = 1 << 62
@@ -135,7 +136,7 @@ def _pack_texts(path: str, end_id: int, capacity: int):
 
     def work(batches):
         pool = Pool(TaskContext.get().partitionId() << _SEQUENCE_BITS, capacity)
-        model = word_model(path)
+        model = word_model(path, WORD_CACHE_BYTES)
         for batch in slices(batches, "text", BATCH_BYTES):
             texts = [text or "" for text in batch.column(1).to_pylist()]
             for doc_id, ids in zip(batch.column(0).to_pylist(), map(model.encode, texts)):

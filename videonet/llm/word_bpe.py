@@ -38,10 +38,10 @@ from videonet.llm.common import arrow_map, slices, store, table
 from videonet.llm.registry import query
 
 BATCH_BYTES = 1 << 20
-IDS_AT_ONCE = 1 << 18
+IDS_AT_ONCE = 1 << 16
 #: Memory of a worker: entries and bytes of remembered words, longest word kept, remembered pair tests.
 CACHE_ENTRIES = 800_000
-CACHE_BYTES = 128 << 20
+CACHE_BYTES = 64 << 20
 LONGEST_KEPT = 48
 PAIRS_KEPT = 1_000_000
 _ENTRY_BYTES = 160  # places in the dictionary, headers of key and value
@@ -82,7 +82,8 @@ def latin_stretches(data: bytes) -> list[bytes]:
 class WordModel:
     """The tokens of one vocabulary file and the words encoded so far."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_bytes: int | None = None):
+        self._cache_bytes = cache_bytes
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
@@ -224,7 +225,7 @@ class WordModel:
         ids = self.learn(stretch)
         if len(stretch) <= LONGEST_KEPT:
             self._held += _ENTRY_BYTES + len(stretch) + len(ids)
-            if len(self._known) >= CACHE_ENTRIES or self._held > CACHE_BYTES:
+            if len(self._known) >= CACHE_ENTRIES or self._held > (self._cache_bytes or CACHE_BYTES):
                 self._known, self._held = {}, 0
             self._known[stretch] = ids
         return ids
@@ -259,10 +260,20 @@ class WordModel:
         return " ".join(map(self.written.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
-def word_model(path: str) -> WordModel:
-    """One model per worker process and file."""
-    return WordModel(path)
+@lru_cache(maxsize=1)
+def word_model(path: str, cache_bytes: int | None = None) -> WordModel:
+    """One model per worker process."""
+    return WordModel(path, cache_bytes)
+
+
+@lru_cache(maxsize=1)
+def written_tokens(path: str) -> pa.Array:
+    """The tokens of a vocabulary file as written, by id; null where there is none."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    written = {number: token for token, number in spec["model"]["vocab"].items()}
+    written |= {token["id"]: token["content"] for token in spec["added_tokens"]}
+    return pa.array([written.get(number) for number in range(max(written) + 1)], pa.large_string())
 
 
 def _encode(path: str):
@@ -294,8 +305,7 @@ def _of_size(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
 
 def _decode(path: str):
     def work(batches):
-        written = word_model(path).written
-        tokens = pa.array([written.get(number) for number in range(max(written) + 1)], pa.large_string())
+        tokens = written_tokens(path)
         for batch in batches:
             for part in _of_size(batch, IDS_AT_ONCE):
                 lists = part.column(1)
