@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,9 +45,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+#: Scratch paths given out since a block of `scratch_paths` began.
+_GIVEN: ContextVar[list[str] | None] = ContextVar("given", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below this session's shared folder."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    if (given := _GIVEN.get()) is not None:
+        given.append(path)
+    return path
+
+
+@contextmanager
+def scratch_paths() -> Iterator[list[str]]:
+    """The list of scratch paths that are given out within the block, for a caller that deletes them."""
+    given: list[str] = []
+    token = _GIVEN.set(given)
+    try:
+        yield given
+    finally:
+        _GIVEN.reset(token)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
