@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
-from contextvars import ContextVar
 from pathlib import Path
 
 import pyarrow as pa
@@ -14,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from videonet.session import scratch_path
+from videonet.session import scratch_path, scratch_paths
 
 #: The characters that separate words (fixed by the operators' contracts).
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -26,42 +25,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Paths of scratch tables made since a call of `settle` began; none are listed outside of one.
-_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
-
-
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder; deleted by the call of `settle` around this one, if there is any."""
-    path = scratch_path(spark, name)
-    if (made := _MADE.get()) is not None:
-        made.append(path)
-    return path
-
-
 def store(df: DataFrame, name: str) -> DataFrame:
     """The frame written once as a table in the shared folder and read back.
 
     Later steps read these rows even if an executor is lost, so row ids and
     other choices of one run cannot differ between two uses.
     """
-    path = scratch_folder(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def settle(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
     """The frame that `make` returns, stored; the scratch tables made for it are deleted at once."""
-    token = _MADE.set([])
-    try:
-        df = make()
-        path = scratch_path(spark, name)
-        df.write.option("compression", "zstd").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-    finally:
-        made = _MADE.get()
-        _MADE.reset(token)
-        for folder in made:
-            delete_folder(spark, folder)
+    path = scratch_path(spark, name)
+    with scratch_paths() as made:
+        try:
+            df = make()
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            for folder in made:
+                delete_folder(spark, folder)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def delete_folder(spark: SparkSession, folder: str) -> None:

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from videonet.llm.common import arrow_map, scratch_folder, store
+from videonet.llm.common import arrow_map, store
+from videonet.session import scratch_path
 
 ROW = "__row"
 #: Bits of a row id within a partition.
@@ -36,7 +37,7 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
 def without_rows(rows: DataFrame, gone: DataFrame) -> DataFrame:
     """The numbered rows whose id is not in the only column of `gone`, without the ids."""
     spark = rows.sparkSession
-    folder = scratch_folder(spark, "dropped-rows")
+    folder = scratch_path(spark, "dropped-rows")
     ids = gone.toDF("row").withColumn("part", F.shiftright("row", _ROW_BITS))
     ids.repartition("part").write.partitionBy("part").parquet(folder)
     names = [name for name in rows.columns if name != ROW]
