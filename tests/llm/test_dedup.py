@@ -168,7 +168,7 @@ def test_schema_of_helper_is_that_of_documents(spark):
 def test_rows_are_dropped_where_they_lie(spark):
     """Without a shuffle of the other rows, from any number of partitions, with columns of many types."""
     docs = spark.range(5000, numPartitions=7).select(
-        "id", F.array("id").alias("row"), F.struct("id").alias("part"), F.lit(None).cast("date").alias("a b"))
+        "id", F.array("id").alias("row"), F.struct("id").alias("part"), F.lit(None).cast("date").alias("a.b"))
     rows = row_filter.numbered(docs)
     for share in (0, 1, 50, 100):
         gone = rows.filter(F.pmod(F.xxhash64("id"), F.lit(100)) < share).select(row_filter.ROW)

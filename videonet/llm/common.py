@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from videonet.session import scratch_path, scratch_paths
 
@@ -19,6 +19,8 @@ from videonet.session import scratch_path, scratch_paths
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]"
 SPACE_BYTES = b"\x20\x09\x0a\x0b\x0c\x0d"
+#: Stands for a full stop in a column name.
+_STOP = "\u2024"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,8 +95,15 @@ def ship_package(spark: SparkSession) -> None:
 
 def arrow_map(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str | StructType) -> DataFrame:
+    """mapInArrow for frames with any column names; it cannot itself resolve names with full stops."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(work, schema)
+    if not any("." in name for name in df.columns):
+        return df.mapInArrow(work, schema)
+    plain = df.toDF(*[name.replace(".", _STOP) for name in df.columns])
+    if isinstance(schema, str):
+        return plain.mapInArrow(work, schema)
+    renamed = StructType([StructField(f.name.replace(".", _STOP), f.dataType, f.nullable) for f in schema.fields])
+    return plain.mapInArrow(work, renamed).toDF(*[f.name for f in schema.fields])
 
 
 def schema_with(df: DataFrame, *columns: tuple[str, str]) -> StructType:
