@@ -20,6 +20,8 @@ from videonet.operators import (
     structure,
 )
 from videonet.plans import jobs
+from videonet.session import scratch_path
+from videonet.sources.layout import EdgeLayout
 
 UNITED = """
 SELECT DISTINCT src AS id FROM edges UNION SELECT dst FROM edges"""
@@ -90,19 +92,35 @@ def common_target_counts(d):
     return whole(patterns.common_counts_by_target(d.edges), "num_triples")
 
 
-@query("motif_edge", """
+MOTIF_EDGE = """
 SELECT a.id AS a_id, a.uploader AS a_uploader, e.crawl_id, e.src, e.dst, b.id AS b_id,
        b.category AS b_category
 FROM edges e JOIN videos a ON e.src = a.id JOIN videos b ON e.dst = b.id
-WHERE a.category = 'promo'""")
-def motif_edge(d):
-    found = patterns.motif_edge(d.edges, d.videos, "Promo")
+WHERE a.category = 'promo'"""
+
+
+def edge_layout(d: Data) -> EdgeLayout:
+    return EdgeLayout.store(d.edges, scratch_path(d.spark, "edge-layout"))
+
+
+def promo_links(d: Data, edges) -> DataFrame:
+    found = patterns.motif_edge(edges, d.videos, "Promo")
     return found.select(
         F.col("a.id").alias("a_id"), F.col("a.uploader").alias("a_uploader"), "e.crawl_id",
         "e.src", "e.dst", F.col("b.id").alias("b_id"), F.col("b.category").alias("b_category"),
     )
 
 
+@query("motif_edge", MOTIF_EDGE)
+def motif_edge(d):
+    return promo_links(d, d.edges)
+
+
+@query("motif_edge_stored", MOTIF_EDGE)
+def motif_edge_stored(d):
+    return promo_links(d, edge_layout(d))
+
+
 @query("enrich_metadata", """
 SELECT d.id, total_degree, coalesce(category, 'Unknown') AS category,
        coalesce(uploader, 'Unknown') AS uploader, round(coalesce(rate, 0), 6) AS rating,
@@ -303,6 +321,11 @@ def pagerank(d):
     return rounded(influence.pagerank(d.edges), "pagerank")
 
 
+@query("pagerank_stored", PAGERANK + "SELECT id, round(pagerank, 6) AS pagerank FROM ranks")
+def pagerank_stored(d):
+    return rounded(influence.pagerank(edge_layout(d)), "pagerank")
+
+
 TOL_ROUNDS = 15
 TOL_PICK = "\nUNION ALL\n".join(
     f"SELECT {i} AS step, max(abs(a.r - b.r)) AS moved FROM r{i} a JOIN r{i - 1} b USING (id)"

@@ -17,6 +17,7 @@ from videonet.operators.skew import (
     hot_slices,
     spread_rows,
 )
+from videonet.sources.layout import EdgeLayout
 
 UNKNOWN = "Unknown"
 
@@ -132,18 +133,37 @@ class MessageRoutes:
         )
         self._hot = hot_slices(counts, "sender", rows_per_slice=rows_per_slice)
         counts.unpersist()
-        self._keys = ["sender", SLICE]
+        # Without hubs there is one slice only: partitioned by it too, the edges would be shuffled in each round,
+        # as Spark leaves a constant out of the keys of a join.
+        keys = ["sender"] if self._hot is None else ["sender", SLICE]
         self.edges = (
             spread_rows(edges, self._hot, "sender", ["receiver"])
-            .repartition(partitions, *self._keys)
-            .sortWithinPartitions(*self._keys)
+            .repartition(partitions, *keys)
+            .sortWithinPartitions(*keys)
             .persist()
         )
 
+    @classmethod
+    def stored(cls, layout: EdgeLayout) -> MessageRoutes:
+        """Routes (sender, receiver, weight) of a stored layout: parallel edges share a bucket, so nothing is shuffled."""
+        routes = cls.__new__(cls)
+        hot = layout.hot("src")
+        routes._hot = None if hot is None else hot.withColumnRenamed("src", "sender")
+        keys = ["sender"] if hot is None else ["sender", SLICE]
+        routes.edges = (
+            layout.by("src").groupBy("src", SLICE, "dst").agg(F.count(F.lit(1)).alias("weight"))
+            .select(F.col("src").alias("sender"), F.col("dst").alias("receiver"), "weight", SLICE)
+            .sortWithinPartitions(*keys)
+            .persist()
+        )
+        # Adaptive execution knows the partitioning of a cached frame only once it is filled.
+        routes.edges.count()
+        return routes
+
     def send(self, state: DataFrame) -> DataFrame:
         """Edges joined with the state (id, ...) of their sender."""
         out = copy_to_slices(state.withColumnRenamed("id", "sender"), self._hot, "sender")
-        return self.edges.join(out, self._keys).drop(SLICE)
+        return self.edges.join(out, ["sender", SLICE]).drop(SLICE)
 
     def __enter__(self) -> MessageRoutes:
         return self

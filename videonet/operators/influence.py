@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +20,7 @@ from videonet.operators.ranks import cumulative_counts, group_quantiles
 from videonet.operators.search import check_limit, latest_snapshot
 from videonet.operators.skew import ROWS_PER_SLICE, sliced_join
 from videonet.session import cut_lineage
+from videonet.sources.layout import EdgeLayout
 
 ROUNDS_PER_CHECKPOINT = 5
 
@@ -37,6 +41,26 @@ def _layout(weighted: DataFrame) -> tuple[DataFrame, DataFrame]:
     return routes, ends.groupBy("id").agg(F.sum("out_edges").alias("out_edges"))
 
 
+@contextmanager
+def _routes_and_vertices(
+    edges: DataFrame | EdgeLayout, rows_per_slice: int
+) -> Iterator[tuple[MessageRoutes, DataFrame]]:
+    """Routes of the multigraph, and its vertices (id, out_edges); both are cached within the block."""
+    if isinstance(edges, EdgeLayout):
+        vertices = edges.vertices().select("id", F.col("outDegree").alias("out_edges")).persist()
+        with MessageRoutes.stored(edges) as routes:
+            yield routes, vertices
+        vertices.unpersist()
+        return
+    weighted = weighted_edges(edges).persist()
+    links, vertices = _layout(weighted)
+    vertices = vertices.persist()
+    with MessageRoutes(links, rows_per_slice) as routes:
+        yield routes, vertices
+    vertices.unpersist()
+    weighted.unpersist()
+
+
 def _round(routes: MessageRoutes, state: DataFrame, vertices: DataFrame) -> DataFrame:
     """(id, out_edges, got): sum of the received shares, 0 for a vertex that receives none.
 
@@ -55,7 +79,7 @@ def _round(routes: MessageRoutes, state: DataFrame, vertices: DataFrame) -> Data
 
 
 def pagerank(
-    edges: DataFrame,
+    edges: DataFrame | EdgeLayout,
     reset: float = 0.15,
     max_iter: int = 10,
     tol: float | None = None,
@@ -65,13 +89,11 @@ def pagerank(
 
     All vertices start at 1 and parallel edges count. With `tol` the rounds stop
     once no rank moves by more than `tol`; max_iter remains the upper bound.
+    A stored layout is read as it is: no edge is shuffled.
     """
     _check(reset, max_iter)
-    weighted = weighted_edges(edges).persist()
-    links, vertices = _layout(weighted)
-    vertices = vertices.persist()
-    state = vertices.withColumn("rank", F.lit(1.0))
-    with MessageRoutes(links, rows_per_slice) as routes:
+    with _routes_and_vertices(edges, rows_per_slice) as (routes, vertices):
+        state = vertices.withColumn("rank", F.lit(1.0))
         for step in range(1, max_iter + 1):
             before = state
             state = _round(routes, state, vertices).select(
@@ -88,8 +110,6 @@ def pagerank(
                 )
                 if (moved.first()[0] or 0.0) <= tol:
                     break
-    vertices.unpersist()
-    weighted.unpersist()
     scale = state.agg(F.count(F.lit(1)) / F.sum("rank")).scalar()
     return state.select("id", (F.col("rank") * scale).alias("pagerank"))
 

@@ -26,6 +26,7 @@ from videonet.operators.skew import (
     spread_rows,
 )
 from videonet.session import cut_lineage, write_through
+from videonet.sources.layout import EdgeLayout
 
 # Rows of a hot target that one task pairs with all rows of that target.
 PAIR_ROWS_PER_SLICE = 10_000
@@ -56,14 +57,25 @@ def related_pairs(
 
 
 def motif_edge(
-    edges: DataFrame, vertices: DataFrame, category: str | None = None
+    edges: DataFrame | EdgeLayout, vertices: DataFrame, category: str | None = None
 ) -> DataFrame:
-    """(a)-[e]->(b) as structs; both ends must be vertices, `a` in the category."""
+    """(a)-[e]->(b) as structs; both ends must be vertices, `a` in the category.
+
+    From a stored layout the edges are joined with `a` bucket by bucket; only the
+    matches, not all edges, are shuffled to find `b`.
+    """
     columns = [c for c in vertices.columns if c != "id"]
     starts = by_category(vertices, category).select(
         F.col("id").alias("src"), F.struct("id", *columns).alias("a")
     )
     ends = vertices.select(F.col("id").alias("dst"), F.struct("id", *columns).alias("b"))
+    if isinstance(edges, EdgeLayout):
+        rows = edges.by("src").join(copy_to_slices(starts, edges.hot("src"), "src"), ["src", SLICE])
+        rows = rows.select("src", "dst", F.struct("crawl_id", "src", "dst").alias("e"), "a")
+        # Of the matches into a popular `b` no more exist than the layout counted edges into it.
+        hot = edges.hot("dst")
+        rows = spread_rows(rows, hot, "dst", ["src"])
+        return rows.join(copy_to_slices(ends, hot, "dst"), ["dst", SLICE]).select("a", "e", "b")
     edge = F.struct(*edges.columns).alias("e")
     rows = sliced_join(edges.select("src", "dst", edge), starts, "src", by=["dst"])
     return sliced_join(rows, ends, "dst", by=["src"]).select("a", "e", "b")
