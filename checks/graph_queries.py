@@ -17,6 +17,7 @@ from videonet.operators import (
     influence,
     patterns,
     sampling,
+    strong,
     structure,
 )
 from videonet.plans import jobs
@@ -693,6 +694,17 @@ def is_strongly_connected(d):
     return nodes.withColumn("strongly_connected", F.lit(answer))
 
 
+@query("strong_components", """
+WITH links AS MATERIALIZED (SELECT DISTINCT src AS a, dst AS b FROM offer_edges),
+walk(id, other) AS (
+  SELECT id, id FROM (SELECT a AS id FROM links UNION SELECT b FROM links)
+  UNION SELECT walk.id, b FROM walk JOIN links ON other = a)
+SELECT there.id, min(there.other) AS component
+FROM walk there JOIN walk back ON there.id = back.other AND there.other = back.id GROUP BY there.id""")
+def strong_components(d):
+    return strong.strong_components(d.offer_edges)
+
+
 @query("reciprocity", """
 SELECT m AS num_edges, k AS num_mutual, round(CAST(k AS DOUBLE) / m, 9) AS reciprocity
 FROM (SELECT count(*) AS m FROM simple),
