@@ -347,6 +347,35 @@ def pagerank_tol(d):
     return rounded(ranks, "pagerank")
 
 
+PUSH_ROUNDS, PUSH_TOL = 30, 0.01
+
+
+def push_steps(rounds: int, tol: float, reset: float = 0.15) -> str:
+    """s0 ... s<rounds>: rank and residual after each round; once no residual is above tol nothing changes."""
+    parts = [
+        'outs AS MATERIALIZED (SELECT id, "outDegree" AS o FROM degrees)',
+        f"s0 AS MATERIALIZED (SELECT id, CAST(0 AS DOUBLE) AS r, CAST({reset} AS DOUBLE) AS d FROM outs)",
+    ]
+    for i in range(1, rounds + 1):
+        parts.append(
+            f"""s{i} AS MATERIALIZED (SELECT p.id, r + CASE WHEN loud THEN d ELSE 0 END AS r,
+    CASE WHEN loud THEN 0 ELSE d END + coalesce(got, 0) AS d
+  FROM (SELECT *, d > {tol / 4} AND (SELECT max(d) FROM s{i - 1}) > {tol} AS loud FROM s{i - 1}) p
+  LEFT JOIN (SELECT dst, sum((1 - {reset}) * q.d * weight / o) AS got FROM weighted
+    JOIN s{i - 1} q ON q.id = src JOIN outs u ON u.id = src
+    WHERE q.d > {tol / 4} AND (SELECT max(d) FROM s{i - 1}) > {tol} GROUP BY dst) ON dst = p.id)"""
+        )
+    return ",\n".join(parts)
+
+
+@query("pagerank_push", f"""
+WITH {push_steps(PUSH_ROUNDS, PUSH_TOL)}
+SELECT id, round((r + d) * (count(*) OVER () / sum(r + d) OVER ()), 6) AS pagerank FROM s{PUSH_ROUNDS}""")
+def pagerank_push(d):
+    ranks = influence.pagerank_push(d.edges, tol=PUSH_TOL, max_iter=PUSH_ROUNDS)
+    return rounded(ranks, "pagerank")
+
+
 def normalized_steps(rounds: int, alpha: float = 0.85) -> str:
     parts = [
         f"""vs AS MATERIALIZED (SELECT id, CAST(sum(o) AS DOUBLE) AS o, count(*) OVER () AS n FROM

@@ -43,6 +43,46 @@ def test_pagerank_tolerance_stops_early_and_checks_arguments(spark):
         influence.pagerank(edges, max_iter=0)
 
 
+@pytest.mark.parametrize("rows_per_slice", SLICES)
+def test_push_gives_the_ranks_of_many_rounds(spark, rows_per_slice):
+    edges = HUBS + [("n01", "dead end"), ("alone", "alone")]
+    exact = helpers.pagerank(edges, 0.15, 300)
+    for tol in (0.05, 0.002):
+        got = as_dict(influence.pagerank_push(edge_frame(spark, edges), tol=tol, rows_per_slice=rows_per_slice))
+        assert sum(got.values()) == pytest.approx(len(exact))
+        assert sum(abs(got[v] - exact[v]) for v in exact) <= 2 * len(exact) * tol * 0.85 / 0.15
+
+
+def test_push_sends_less_than_rounds_of_all(spark, monkeypatch):
+    """The leaves of a star have nothing left after one round, while a ring goes on for long."""
+    edges = [("x", "y"), ("y", "x")] + [(f"p{i:03d}", "end") for i in range(200)]
+    sent = []
+    send = influence.MessageRoutes.send
+
+    def counted(self, state):
+        rows = send(self, state)
+        sent.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(influence.MessageRoutes, "send", counted)
+    pushed = as_dict(influence.pagerank_push(edge_frame(spark, edges), tol=0.001))
+    push_rounds, pushes = len(sent), sum(sent)
+    sent.clear()
+    whole = as_dict(influence.pagerank(edge_frame(spark, edges), max_iter=push_rounds))
+    assert pushed == pytest.approx(whole, abs=0.02)
+    assert pushes == 200 + 2 * push_rounds and sum(sent) == 202 * push_rounds
+
+
+def test_push_checks_arguments_and_convergence(spark):
+    edges = edge_frame(spark, SMALL)
+    for wrong in ({"tol": 0.0}, {"reset": 1.0}, {"max_iter": 0}):
+        with pytest.raises(ValueError):
+            influence.pagerank_push(edges, **wrong)
+    with pytest.raises(RuntimeError):
+        influence.pagerank_push(edges, tol=1e-9, max_iter=2)
+    assert influence.pagerank_push(edge_frame(spark, [])).count() == 0
+
+
 def test_normalized_pagerank(spark):
     ranks = as_dict(influence.pagerank_normalized(edge_frame(spark, SMALL), max_iter=100))
     pairs = helpers.simple(SMALL)

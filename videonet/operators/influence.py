@@ -114,6 +114,49 @@ def pagerank(
     return state.select("id", (F.col("rank") * scale).alias("pagerank"))
 
 
+def pagerank_push(
+    edges: DataFrame | EdgeLayout,
+    reset: float = 0.15,
+    tol: float = 0.001,
+    max_iter: int = 200,
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """(id, pagerank) as `pagerank` after endless rounds; only vertices with something left to tell send.
+
+    What a vertex has received and not yet sent on is its residual. In each round
+    those with more than `tol` add it to their rank and send its share along their
+    edges; the others stay silent and keep it, however many rounds go on elsewhere.
+    When nobody has more than `tol`, all the mass still to come is at most
+    n * tol * (1 - reset) / reset, and so is the summed error of the ranks before
+    they are scaled to add up to the number of vertices. The same holds after
+    scaling with a factor of two. Fails when max_iter rounds do not reach that.
+    """
+    _check(reset, max_iter)
+    if not tol > 0:
+        raise ValueError(f"the tolerance must be positive, got {tol}")
+    loud = F.col("residual") > tol / 4
+    with _routes_and_vertices(edges, rows_per_slice) as (routes, vertices):
+        state = vertices.withColumns({"rank": F.lit(0.0), "residual": F.lit(float(reset))})
+        for _ in range(max_iter):
+            senders = state.filter(loud & (F.col("out_edges") > 0)).select("id", "out_edges", "residual")
+            share = (1 - reset) * F.col("residual") * F.col("weight") / F.col("out_edges")
+            sent = routes.send(senders).select(
+                F.col("receiver").alias("id"), F.lit(0).cast("bigint").alias("out_edges"),
+                F.lit(0.0).alias("rank"), share.alias("residual"))
+            kept = state.select(
+                "id", "out_edges", F.when(loud, F.col("rank") + F.col("residual")).otherwise(F.col("rank")).alias("rank"),
+                F.when(loud, 0.0).otherwise(F.col("residual")).alias("residual"))
+            state = cut_lineage(kept.union(sent).groupBy("id").agg(
+                F.max("out_edges").alias("out_edges"), F.max("rank").alias("rank"), F.sum("residual").alias("residual")))
+            if state.filter(F.col("residual") > tol).isEmpty():
+                break
+        else:
+            raise RuntimeError(f"no convergence within {max_iter} iterations")
+    ranks = state.select("id", (F.col("rank") + F.col("residual")).alias("rank"))
+    scale = ranks.agg(F.count(F.lit(1)) / F.sum("rank")).scalar()
+    return ranks.select("id", (F.col("rank") * scale).alias("pagerank"))
+
+
 def pagerank_normalized(
     edges: DataFrame,
     alpha: float = 0.85,
