@@ -1,5 +1,6 @@
 """Sources, sinks and ingest."""
 
+import math
 from datetime import datetime
 from functools import reduce
 
@@ -14,6 +15,8 @@ from videonet.session import scratch_path
 from videonet.sources import catalog, crawl_files, sinks
 from videonet.streaming.incremental import stream_ingest
 
+# Raw lines that one task writes.
+LINES_PER_RANGE = 400_000
 LINE = ["crawl_id", "file_name", "block_start", "line_no"]
 
 
@@ -34,8 +37,9 @@ def raw_files(d: Data) -> str:
     """The raw lines as crawl directories with a log file each, below the scratch folder."""
     path = scratch_path(d.spark, "raw")
     order = ["crawl_id", "file_name", "block_start", "line_no"]
-    # Ranges keep the order over file names and split a crawl over several files.
-    lines = d.lines.repartitionByRange(8, *order).sortWithinPartitions(*order)
+    # Ranges keep the order over file names and split a crawl over several files, as many as there are lines for.
+    ranges = max(8, math.ceil(d.table("lineitem").count() / LINES_PER_RANGE))
+    lines = d.lines.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     lines.select("crawl_id", "value").write.partitionBy("crawl_id").text(path)
     logs = d.lines.groupBy("crawl_id").agg(F.count(F.lit(1)).alias("n")).select(
         "crawl_id",
