@@ -2,77 +2,89 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from videonet.operators.degree import degree_table, vertex_set
 from videonet.operators.graph import MessageRoutes, enrich_metadata, simple_edges
-from videonet.operators.skew import ROWS_PER_SLICE, sliced_join
-from videonet.session import cut_lineage
+from videonet.operators.keys import KeyedGraph
+from videonet.operators.skew import ROWS_PER_SLICE, SLICE, copy_to_slices, hot_keys, sliced_join, spread_rows
+from videonet.session import cut_lineage, write_through
+
+
+def _at_parents(links: DataFrame, end: str, other: str, parents: DataFrame, rows_per_slice: int) -> DataFrame:
+    """Links whose `end` is replaced by its parent where it has one; those that then join a vertex to itself are dropped."""
+    hot = hot_keys(links, end, rows_per_slice)
+    above = copy_to_slices(parents.withColumnRenamed("id", end), hot, end)
+    moved = F.coalesce("parent", end).alias(end)
+    return (
+        spread_rows(links, hot, end, [other]).join(above, [end, SLICE], "left")
+        .select(moved, other).filter(F.col(end) != F.col(other))
+    )
 
 
-def _rewire(neighbours: DataFrame, rows_per_slice: int, emit) -> DataFrame:
-    """Distinct links emitted from the rows (u, v, m), m the smallest of u and its neighbours.
+def _roots(links: DataFrame, turn: int, rows_per_slice: int) -> DataFrame:
+    """(id, parent): the root of every vertex that hangs on its first neighbour, directly or over others.
 
-    The centres are counted once; those with very many neighbours are cut into slices.
+    First is by the id with some bits turned. Paths are halved until all end at a root.
     """
-    centres = (
-        neighbours.groupBy("u")
-        .agg(F.min("v").alias("low"), F.count(F.lit(1)).alias("n"))
-        .persist()
-    )
-    lows = centres.select("u", F.least("u", "low").alias("m"))
-    rows = sliced_join(
-        neighbours, lows, "u", ["v"], centres.select("u", "n"), rows_per_slice=rows_per_slice
+    a, b = F.col("a").bitwiseXOR(F.lit(turn)), F.col("b").bitwiseXOR(F.lit(turn))
+    low = F.least(a, b)
+    parents = write_through(
+        links.select(F.greatest(a, b).alias("id"), low.alias("low")).groupBy("id").agg(F.min("low").alias("low"))
+        .select(*[F.col(c).bitwiseXOR(F.lit(turn)).alias(n) for c, n in (("id", "id"), ("low", "parent"))]),
+        "parents",
     )
-    links = cut_lineage(emit(rows).distinct())
-    centres.unpersist()
-    return links
+    while True:
+        hot = hot_keys(parents, "parent", rows_per_slice)
+        above = copy_to_slices(parents.select(F.col("id").alias("parent"), F.col("parent").alias("above")), hot, "parent")
+        halved = write_through(
+            spread_rows(parents, hot, "parent", ["id"]).join(above, ["parent", SLICE], "left")
+            .select("id", F.coalesce("above", "parent").alias("parent"), F.col("above").isNotNull().alias("moved")),
+            "parents",
+        )
+        parents = halved.select("id", "parent")
+        if halved.filter("moved").isEmpty():
+            return parents
 
 
 def weak_components(edges: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """(id, component): the smallest vertex id of the weakly connected component.
 
-    Alternates two rewirings that attach vertices to smaller ones until every
-    vertex hangs directly on the smallest of its component; the number of
-    rounds grows with the logarithm of the graph size, not with its diameter.
+    In each round every vertex hangs on the first of its neighbours before it, if
+    there is one, in an order that each round draws anew; the trees that arise are
+    merged into their roots, and links go on between roots. Of a vertex with a link,
+    half the orders make something else its root, so the rounds grow with the
+    logarithm of the graph size, not with its diameter. Vertices and links are
+    64-bit keys; the smallest id is looked up once at the end.
     """
-    ends = edges.select("src", "dst").filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
-    vertices = cut_lineage(vertex_set(ends))
-    links = cut_lineage(
-        ends.filter(F.col("src") != F.col("dst"))
-        .select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v"))
-        .distinct()
-    )
-
-    def fingerprint(rows: DataFrame):
-        h = F.xxhash64("u", "v")
-        return rows.agg(
-            F.count(F.lit(1)), F.sum(F.shiftright(h, 20)), F.bit_xor(h)
-        ).first()
-
-    mark = fingerprint(links)
-    while True:
-        # Larger neighbours move to the smallest neighbour.
-        links = _rewire(
-            links.select(F.expr("stack(2, u, v, v, u) AS (u, v)")),
-            rows_per_slice,
-            lambda rows: rows.filter("v > u").selectExpr("v AS u", "m AS v"),
-        )
-        # A vertex and its smaller neighbours move to the smallest of them.
-        links = _rewire(
-            links,
-            rows_per_slice,
-            lambda rows: rows.selectExpr("stack(2, v, m, u, m) AS (u, v)").filter("u <> v"),
-        )
-        now = fingerprint(links)
-        if now == mark:
-            break
-        mark = now
-    roots = links.select(F.col("u").alias("id"), F.col("v").alias("root"))
-    return vertices.join(roots, "id", "left").select(
-        "id", F.coalesce("root", "id").alias("component")
-    )
+    graph = KeyedGraph(edges)
+    links = graph.links("a", "b").filter("a <> b")
+    turns = random.Random(0)
+    merged = []
+    while not links.isEmpty():
+        parents = _roots(links, turns.getrandbits(64) - (1 << 63), rows_per_slice)
+        merged.append(parents)
+        for end, other in (("a", "b"), ("b", "a")):
+            links = write_through(_at_parents(links, end, other, parents, rows_per_slice), "links")
+    vertices = graph.vertices.select("id", "key")
+    if not merged:
+        return vertices.select("id", F.col("id").alias("component"))
+
+    def looked_up(rows, key, other, roots):
+        found = roots.select(F.col("id").alias(key), F.col("parent").alias("root"))
+        rows = sliced_join(rows, found, key, [other], how="left", rows_per_slice=rows_per_slice)
+        return rows.withColumn("root", F.coalesce("root", key))
+
+    roots = merged.pop()
+    while merged:
+        before = looked_up(merged.pop(), "parent", "id", roots)
+        roots = write_through(before.select("id", F.col("root").alias("parent")).union(roots), "roots")
+    rooted = write_through(looked_up(vertices, "key", "id", roots).select("id", "root"), "rooted")
+    lows = write_through(rooted.groupBy("root").agg(F.min("id").alias("component")), "lows")
+    return sliced_join(rooted, lows, "root", ["id"], rows_per_slice=rows_per_slice).select("id", "component")
 
 
 def component_count(components: DataFrame) -> DataFrame:
