@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from videonet.functions.labels import community_size_class
-from videonet.operators.graph import MessageRoutes, enrich_metadata, weighted_edges
-from videonet.operators.skew import ROWS_PER_SLICE
-from videonet.session import cut_lineage
+from videonet.operators.graph import MessageRoutes, enrich_metadata
+from videonet.operators.keys import KeyedGraph
+from videonet.operators.ranks import numbered
+from videonet.operators.skew import ROWS_PER_SLICE, SLICE, copy_to_slices, hot_keys, sliced_join, spread_rows
+from videonet.session import cut_lineage, write_through
 
 ROUNDS_PER_CHECKPOINT = 3
 
@@ -21,31 +23,32 @@ def label_propagation(
     Edges count in both directions, each parallel edge votes, a self-loop votes
     twice. Ties take the smallest label.
     """
-    votes = (
-        weighted_edges(edges)
-        .select(
-            F.expr("stack(2, src, dst, weight, dst, src, weight) AS (sender, receiver, votes)")
-        )
-        .groupBy("sender", "receiver")
-        .agg(F.sum("votes").alias("votes"))
-        .persist()
-    )
-    # Every vertex sends along at least one edge.
-    ids = votes.select(F.col("sender").alias("id")).distinct()
-    state = ids.withColumn("label", F.col("id"))
-    with MessageRoutes(votes, rows_per_slice) as routes:
+    graph = KeyedGraph(edges)
+    # Vertices and labels travel as places in the order of ids, which decide ties as the ids do.
+    places = write_through(numbered(graph.vertices.select("id", "key"), [], ["id"], "place"), "places")
+    links = graph.links("src", "dst")
+    for end, other in (("src", "dst"), ("dst", "src")):
+        hot = hot_keys(links, end, rows_per_slice)
+        placed = copy_to_slices(places.select(F.col("key").alias(end), "place"), hot, end)
+        rows = spread_rows(links, hot, end, [other]).join(placed, [end, SLICE])
+        links = write_through(rows.select(F.col("place").alias(end), other), "placed-links")
+    votes = links.select(F.expr("stack(2, src, dst, dst, src) AS (sender, receiver)"))
+    state = places.select(F.col("place").alias("id"), F.col("place").alias("label"))
+    with MessageRoutes(votes, rows_per_slice, weight="votes") as routes:
         for step in range(1, max_iter + 1):
-            counts = (
-                routes.send(state)
-                .groupBy(F.col("receiver").alias("id"), "label")
-                .agg(F.sum("votes").alias("votes"))
-            )
+            sent = routes.send(state).select(F.col("receiver").alias("id"), "label", "votes")
+            if not routes.has_hubs:
+                # Votes go both ways, so no vertex receives very many: one shuffle serves both groupings.
+                sent = sent.repartition("id")
+            counts = sent.groupBy("id", "label").agg(F.sum("votes").alias("votes"))
             best = F.min(F.struct(-F.col("votes"), F.col("label").alias("label"))).alias("best")
             state = counts.groupBy("id").agg(best).select("id", F.col("best.label").alias("label"))
             if step % ROUNDS_PER_CHECKPOINT == 0 or step == max_iter:
                 state = cut_lineage(state)
-    votes.unpersist()
-    return state
+    of_label = places.select(F.col("place").alias("label"), F.col("id").alias("name"))
+    named = state.join(places.select(F.col("place").alias("id"), F.col("id").alias("own")), "id")
+    return sliced_join(named, of_label, "label", ["id"], rows_per_slice=rows_per_slice).select(
+        F.col("own").alias("id"), F.col("name").alias("label"))
 
 
 def community_sizes(labels: DataFrame) -> DataFrame:

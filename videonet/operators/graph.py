@@ -14,7 +14,7 @@ from videonet.operators.skew import (
     ROWS_PER_SLICE,
     SLICE,
     copy_to_slices,
-    hot_slices,
+    hot_keys,
     spread_rows,
 )
 from videonet.sources.layout import EdgeLayout
@@ -122,26 +122,22 @@ class MessageRoutes:
     Senders with very many edges are cut into slices, and their state is copied
     to each slice, so no task holds all edges of a hub. The number of partitions
     follows the number of edges; the state is shuffled to match this layout.
+    With `weight`, parallel edges are counted under that name once they are laid
+    out, so that all edges are shuffled once.
     """
 
-    def __init__(self, edges: DataFrame, rows_per_slice: int = ROWS_PER_SLICE):
-        spark = edges.sparkSession
-        counts = edges.groupBy("sender").agg(F.count(F.lit(1)).alias("n")).persist()
-        total = counts.agg(F.sum("n")).first()[0] or 0
+    def __init__(self, edges: DataFrame, rows_per_slice: int = ROWS_PER_SLICE, weight: str | None = None):
         partitions = max(
-            spark.sparkContext.defaultParallelism, math.ceil(total / EDGES_PER_PARTITION)
+            edges.sparkSession.sparkContext.defaultParallelism, math.ceil(edges.count() / EDGES_PER_PARTITION)
         )
-        self._hot = hot_slices(counts, "sender", rows_per_slice=rows_per_slice)
-        counts.unpersist()
+        self._hot = hot_keys(edges, "sender", rows_per_slice)
         # Without hubs there is one slice only: partitioned by it too, the edges would be shuffled in each round,
         # as Spark leaves a constant out of the keys of a join.
         keys = ["sender"] if self._hot is None else ["sender", SLICE]
-        self.edges = (
-            spread_rows(edges, self._hot, "sender", ["receiver"])
-            .repartition(partitions, *keys)
-            .sortWithinPartitions(*keys)
-            .persist()
-        )
+        laid = spread_rows(edges, self._hot, "sender", ["receiver"]).repartition(partitions, *keys)
+        if weight is not None:
+            laid = laid.groupBy("sender", "receiver", SLICE).agg(F.count(F.lit(1)).alias(weight))
+        self.edges = laid.sortWithinPartitions(*keys).persist()
 
     @classmethod
     def stored(cls, layout: EdgeLayout) -> MessageRoutes:
@@ -160,6 +156,11 @@ class MessageRoutes:
         routes.edges.count()
         return routes
 
+    @property
+    def has_hubs(self) -> bool:
+        """Whether some sender is cut into slices."""
+        return self._hot is not None
+
     def send(self, state: DataFrame) -> DataFrame:
         """Edges joined with the state (id, ...) of their sender."""
         out = copy_to_slices(state.withColumnRenamed("id", "sender"), self._hot, "sender")
