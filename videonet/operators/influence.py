@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
@@ -14,8 +14,8 @@ from videonet.operators.graph import (
     MessageRoutes,
     enrich_metadata,
     simple_edges,
-    weighted_edges,
 )
+from videonet.operators.keys import KeyedGraph
 from videonet.operators.ranks import cumulative_counts, group_quantiles
 from videonet.operators.search import check_limit, latest_snapshot
 from videonet.operators.skew import ROWS_PER_SLICE, sliced_join
@@ -44,21 +44,20 @@ def _layout(weighted: DataFrame) -> tuple[DataFrame, DataFrame]:
 @contextmanager
 def _routes_and_vertices(
     edges: DataFrame | EdgeLayout, rows_per_slice: int
-) -> Iterator[tuple[MessageRoutes, DataFrame]]:
-    """Routes of the multigraph, and its vertices (id, out_edges); both are cached within the block."""
+) -> Iterator[tuple[MessageRoutes, DataFrame, Callable[[DataFrame], DataFrame]]]:
+    """Routes of the multigraph and its vertices (id, out_edges), both cached within the block, and a step that
+    gives rows the ids of the vertices: those of a frame of edges go by keys within the block."""
     if isinstance(edges, EdgeLayout):
         vertices = edges.vertices().select("id", F.col("outDegree").alias("out_edges")).persist()
         with MessageRoutes.stored(edges) as routes:
-            yield routes, vertices
+            yield routes, vertices, lambda rows: rows
         vertices.unpersist()
         return
-    weighted = weighted_edges(edges).persist()
-    links, vertices = _layout(weighted)
-    vertices = vertices.persist()
-    with MessageRoutes(links, rows_per_slice) as routes:
-        yield routes, vertices
+    graph = KeyedGraph(edges)
+    vertices = graph.vertices.select(F.col("key").alias("id"), "out_edges").persist()
+    with MessageRoutes(graph.links("sender", "receiver"), rows_per_slice, weight="weight") as routes:
+        yield routes, vertices, graph.named
     vertices.unpersist()
-    weighted.unpersist()
 
 
 def _round(routes: MessageRoutes, state: DataFrame, vertices: DataFrame) -> DataFrame:
@@ -92,7 +91,7 @@ def pagerank(
     A stored layout is read as it is: no edge is shuffled.
     """
     _check(reset, max_iter)
-    with _routes_and_vertices(edges, rows_per_slice) as (routes, vertices):
+    with _routes_and_vertices(edges, rows_per_slice) as (routes, vertices, named):
         state = vertices.withColumn("rank", F.lit(1.0))
         for step in range(1, max_iter + 1):
             before = state
@@ -111,7 +110,7 @@ def pagerank(
                 if (moved.first()[0] or 0.0) <= tol:
                     break
     scale = state.agg(F.count(F.lit(1)) / F.sum("rank")).scalar()
-    return state.select("id", (F.col("rank") * scale).alias("pagerank"))
+    return named(state.select("id", (F.col("rank") * scale).alias("pagerank")))
 
 
 def pagerank_push(
@@ -135,7 +134,7 @@ def pagerank_push(
     if not tol > 0:
         raise ValueError(f"the tolerance must be positive, got {tol}")
     loud = F.col("residual") > tol / 4
-    with _routes_and_vertices(edges, rows_per_slice) as (routes, vertices):
+    with _routes_and_vertices(edges, rows_per_slice) as (routes, vertices, named):
         state = vertices.withColumns({"rank": F.lit(0.0), "residual": F.lit(float(reset))})
         for _ in range(max_iter):
             senders = state.filter(loud & (F.col("out_edges") > 0)).select("id", "out_edges", "residual")
@@ -154,7 +153,7 @@ def pagerank_push(
             raise RuntimeError(f"no convergence within {max_iter} iterations")
     ranks = state.select("id", (F.col("rank") + F.col("residual")).alias("rank"))
     scale = ranks.agg(F.count(F.lit(1)) / F.sum("rank")).scalar()
-    return ranks.select("id", (F.col("rank") * scale).alias("pagerank"))
+    return named(ranks.select("id", (F.col("rank") * scale).alias("pagerank")))
 
 
 def pagerank_normalized(
