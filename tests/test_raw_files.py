@@ -2,6 +2,7 @@
 
 from checks import source_queries
 from checks.registry import Data
+from videonet.operators import ingest
 
 
 def test_files_grow_in_number_with_the_lines(spark, tmp_path, monkeypatch):
@@ -20,3 +21,18 @@ def test_files_grow_in_number_with_the_lines(spark, tmp_path, monkeypatch):
     many = spark.read.text(source_queries.raw_files(data), pathGlobFilter="part-*").select("value", "crawl_id")
     assert len({path.rsplit("/", 1)[1].split("-")[1] for path in many.inputFiles()}) > 20
     assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+
+
+def test_first_records_are_those_of_all_records(spark):
+    """Only lines that stay are made into records, with the same result."""
+    def line(place, video, age, views):
+        fields = [video, " up ", age, "Music & More", "60", views, "4.5", " 7", "x8", "abcdefghijk", "bad"]
+        return ("c1", f"{place % 3}.txt", 0, place, "\t".join(fields))
+
+    rows = [line(i, f"v{i % 5:010d}", f" {i} " if i % 2 else "abc", "-5" if i % 3 else "1_000") for i in range(30)]
+    lines = spark.createDataFrame(
+        rows + [("c1", "0.txt", 0, 99, "short")], "crawl_id string, file_name string, block_start long, line_no long, value string")
+    old = ingest.dedupe_in_crawl(ingest.typed_records(lines))
+    new = ingest.first_records(ingest.classify_malformed(lines))
+    assert sorted(map(str, new.select(*old.columns).collect())) == sorted(map(str, old.collect()))
+    assert new.count() == 5

@@ -41,13 +41,15 @@ def is_video_id(text: Column) -> Column:
 def to_long(text: Column) -> Column:
     """Integer value or 0. Values beyond 64 bits become the nearest 64-bit value.
 
-    The plain cast settles nearly all values; the pattern is tried only where it fails.
+    The plain cast, which ignores blanks itself, settles nearly all values; only where
+    it fails the text is stripped and the pattern tried.
     """
     bare = strip(text)
     grouped = F.replace(bare, F.lit("_"), F.lit("")).try_cast("bigint")
     too_big = F.when(bare.startswith("-"), F.lit(-_LONG_MAX)).otherwise(F.lit(_LONG_MAX))
     rare = F.when(bare.rlike(_INTEGER), F.coalesce(grouped, too_big))
-    return F.coalesce(bare.try_cast("bigint"), rare, F.lit(0).cast("bigint"))
+    stripped = F.when(bare != text, bare.try_cast("bigint"))
+    return F.coalesce(text.try_cast("bigint"), stripped, rare, F.lit(0).cast("bigint"))
 
 
 def to_double(text: Column) -> Column:
@@ -55,8 +57,8 @@ def to_double(text: Column) -> Column:
     bare = strip(text)
     grouped = F.replace(bare, F.lit("_"), F.lit("")).try_cast("double")
     rare = F.when(bare.rlike(_FLOAT), grouped)
-    plain = F.when(bare.rlike("[A-Za-z_]"), rare).otherwise(bare.try_cast("double"))
-    return F.coalesce(plain, F.lit(0.0))
+    plain = F.coalesce(text.try_cast("double"), F.when(bare != text, bare.try_cast("double")))
+    return F.coalesce(F.when(text.rlike("[A-Za-z_]"), rare).otherwise(plain), F.lit(0.0))
 
 
 def at_least_zero(number: Column) -> Column:

@@ -47,7 +47,8 @@ def typed_records(lines: DataFrame) -> DataFrame:
     return records_of(classify_malformed(lines))
 
 
-def records_of(classified: DataFrame) -> DataFrame:
+def records_of(classified: DataFrame, *more: str) -> DataFrame:
+    """The good lines as typed records, with the columns `more` as they are."""
     field = F.col("fields").getItem
     good = classified.filter(F.col("reason").isNull())
     return good.select(
@@ -63,6 +64,7 @@ def records_of(classified: DataFrame) -> DataFrame:
         cleaning.at_least_zero(cleaning.to_long(field(7))).alias("ratings"),
         cleaning.at_least_zero(cleaning.to_long(field(8))).alias("comments"),
         cleaning.clean_related(F.col("fields")).alias("related_ids"),
+        *more,
     )
 
 
@@ -92,6 +94,17 @@ def dedupe_in_crawl(records: DataFrame) -> DataFrame:
     )
 
 
+def first_records(classified: DataFrame) -> DataFrame:
+    """The dedupe_in_crawl of the typed records of classified lines; only lines that stay are made into records."""
+    video = cleaning.strip(F.col("fields").getItem(0)).alias("video_id")
+    lines = classified.filter(F.col("reason").isNull()).groupBy("crawl_id", video).agg(
+        F.min(F.struct(*LINE_ORDER, "fields")).alias("first"), F.count(F.lit(1)).alias("copies"))
+    kept = lines.select(
+        "crawl_id", *[F.col(f"first.{c}").alias(c) for c in (*LINE_ORDER, "fields")],
+        F.lit(None).cast("string").alias("reason"), "copies")
+    return records_of(kept, "copies").drop(*LINE_ORDER)
+
+
 def project_videos(records: DataFrame) -> DataFrame:
     return records.select(
         F.col("video_id").alias("id"),

@@ -199,7 +199,7 @@ def ingest_crawls(
         return None
     lines = crawl_files.read_raw_crawl(spark, raw_dir, crawl_ids)
     classified = ingest.classified_once(lines)
-    records = write_through(ingest.dedupe_in_crawl(ingest.records_of(classified)), "records")
+    records = write_through(ingest.first_records(classified), "records")
     logs = cut_lineage(crawl_files.read_crawl_log(spark, raw_dir, crawl_ids))
     run = store_records(catalog, records, ingest.rejects_of(classified), logs, force, video_buckets)
     if force:

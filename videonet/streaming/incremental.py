@@ -50,7 +50,7 @@ def store_batch(batch: DataFrame, raw_dir: str, base: str) -> None:
     logs = cut_lineage(crawl_files.read_crawl_log(spark, raw_dir, crawl_ids))
     data = crawl_files.only_data_files(lines, logs.select("crawl_id", "log_file"))
     classified = ingest.classified_once(data)
-    records = write_through(ingest.dedupe_in_crawl(ingest.records_of(classified)), "records")
+    records = write_through(ingest.first_records(classified), "records")
     files = classified.select("crawl_id", "file_name").distinct()
     store_records(catalog, records, with_other_rejects(catalog, ingest.rejects_of(classified), files), logs)
 
