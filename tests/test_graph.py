@@ -1,6 +1,7 @@
 """Graph algorithms against plain-Python answers, with and without sliced hubs."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests import helpers
 from tests.helpers import edge_frame, hub_graph
@@ -108,6 +109,82 @@ def test_label_propagation(spark, rows_per_slice):
     assert as_dict(got) == helpers.labels(edges, 3)
 
 
+# Leaves at a hub and on a tree, two by two, with parallel edges, and loops.
+LEAVES = (
+    [(f"s{i}", "hub") for i in range(5)] + [("hub", "s0"), ("hub", "a"), ("a", "b"), ("b", "c"), ("c", "a"), ("c", "t")]
+    + [("t", "u"), ("t", "w")] + [("p1", "q1"), ("q2", "p2"), ("p3", "q3"), ("q3", "p3"), ("l", "l"), ("m", "m"), ("m", "x")]
+)
+
+
+@pytest.mark.parametrize("rows_per_slice", SLICES)
+@pytest.mark.parametrize("rounds", [1, 2, 6])
+def test_labels_of_leaves(spark, rounds, rows_per_slice):
+    got = communities.label_propagation(edge_frame(spark, LEAVES), rounds, rows_per_slice)
+    assert as_dict(got) == helpers.labels(LEAVES, rounds)
+
+
+def test_leaves_send_in_the_first_round_only(spark, monkeypatch):
+    sent, send = [], communities.MessageRoutes.send
+
+    def noted(self, state):
+        sent.append(state.count())
+        return send(self, state)
+
+    monkeypatch.setattr(communities.MessageRoutes, "send", noted)
+    communities.label_propagation(edge_frame(spark, LEAVES), 3)
+    neighbours = {}
+    for a, b in LEAVES:
+        neighbours.setdefault(a, set()).add(b)
+        neighbours.setdefault(b, set()).add(a)
+    inner = sum(len(others) > 1 or others == {v} for v, others in neighbours.items())
+    assert sent == [len(neighbours), inner, inner]
+
+
+def test_rounds_shuffle_votes_only(spark, monkeypatch):
+    """Without hubs, labels come back to the partitions of the edges, so sending them shuffles nothing."""
+    plans, send = [], communities.MessageRoutes.send
+
+    def noted(self, state):
+        rows = send(self, state)
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return rows
+
+    def steps(plan):
+        """The plan's lines without what lies below its cached frames."""
+        cached = None
+        for line in plan.splitlines():
+            depth = len(line) - len(line.lstrip(" :+-"))
+            if cached is None or depth <= cached:
+                cached = depth if "InMemoryTableScan" in line else None
+                yield line
+
+    monkeypatch.setattr(communities.MessageRoutes, "send", noted)
+    # Else tables this small are sent to all tasks.
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        communities.label_propagation(edge_frame(spark, LEAVES), 3)
+    finally:
+        spark.conf.set(name, before)
+    found = ["\n".join(steps(plan)) for plan in plans]
+    assert len(found) == 3
+    for plan in found:
+        assert "Join" in plan and plan.count("InMemoryTableScan") == 2 and "Exchange" not in plan
+
+
+def test_labels_where_keys_collide(spark):
+    tried = []
+
+    def key(vertex_id, seed):
+        tried.append(seed)
+        return F.pmod(F.xxhash64(F.lit(seed), vertex_id), F.lit(40 if seed < 2 else 10**15))
+
+    got = communities.label_propagation(edge_frame(spark, HUBS + LEAVES), 3, key=key)
+    assert max(tried) >= 2
+    assert as_dict(got) == helpers.labels(HUBS + LEAVES, 3)
+
+
 @pytest.mark.parametrize("rows_per_slice", SLICES)
 def test_components(spark, rows_per_slice):
     path = [(f"p{i:02d}", f"p{i + 1:02d}") for i in range(30)]

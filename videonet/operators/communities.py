@@ -2,53 +2,112 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from itertools import count
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from videonet.functions.labels import community_size_class
-from videonet.operators.graph import MessageRoutes, enrich_metadata
-from videonet.operators.keys import KeyedGraph
-from videonet.operators.ranks import numbered
-from videonet.operators.skew import ROWS_PER_SLICE, SLICE, copy_to_slices, hot_keys, sliced_join, spread_rows
+from videonet.operators.graph import MessageRoutes, enrich_metadata, message_partitions
+from videonet.operators.keys import hashed, stored_pairs
+from videonet.operators.ranks import in_order
+from videonet.operators.skew import ROWS_PER_SLICE, SLICE, copy_to_slices, hot_keys, spread_rows
 from videonet.session import cut_lineage, write_through
 
-ROUNDS_PER_CHECKPOINT = 3
+ROUNDS_PER_CHECKPOINT = 5
+
+
+def _keyed_vertices(vertices: DataFrame, partitions: int, key: Callable[[Column, int], Column]) -> tuple[DataFrame, int]:
+    """(key, id, place) of all vertices, cached in partitions of their keys, and the seed under which no two share one."""
+    for seed in count():
+        # The key is made again behind the shuffle, which so moves ids and places only.
+        made = key(F.col("id"), seed)
+        keyed = _filled(vertices.repartition(partitions, made).select(made.alias("key"), "id", "place"))
+        if keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+            return keyed, seed
+        keyed.unpersist()
+
+
+def _filled(df: DataFrame) -> DataFrame:
+    """The frame, cached and filled: adaptive execution knows the partitioning of a cached frame only then."""
+    df.persist().count()
+    return df
 
 
 def label_propagation(
-    edges: DataFrame, max_iter: int = 5, rows_per_slice: int = ROWS_PER_SLICE
+    edges: DataFrame, max_iter: int = 5, rows_per_slice: int = ROWS_PER_SLICE,
+    key: Callable[[Column, int], Column] = hashed,
 ) -> DataFrame:
     """(id, label) after synchronous rounds of taking the most frequent neighbour label.
 
     Edges count in both directions, each parallel edge votes, a self-loop votes
     twice. Ties take the smallest label.
+
+    Vertices travel as 64-bit keys, labels as places in the order of ids, which decide ties as
+    the ids do. Edges, vertices and labels lie in the same partitions of keys, so a round
+    shuffles its votes only, unless hubs are cut into slices. A leaf, which has one other
+    vertex as its only neighbour, votes for what that vertex had two rounds before. So leaves
+    send in the first round alone; later that vertex gives their votes itself.
     """
-    graph = KeyedGraph(edges)
-    # Vertices and labels travel as places in the order of ids, which decide ties as the ids do.
-    places = write_through(numbered(graph.vertices.select("id", "key"), [], ["id"], "place"), "places")
-    links = graph.links("src", "dst")
-    for end, other in (("src", "dst"), ("dst", "src")):
-        hot = hot_keys(links, end, rows_per_slice)
-        placed = copy_to_slices(places.select(F.col("key").alias(end), "place"), hot, end)
-        rows = spread_rows(links, hot, end, [other]).join(placed, [end, SLICE])
-        links = write_through(rows.select(F.col("place").alias(end), other), "placed-links")
+    pairs = stored_pairs(edges)
+    vertices = pairs.select(F.expr("stack(2, src, dst) AS (id)")).distinct()
+    places = in_order(vertices, "id", "place")
+    partitions = message_partitions(edges.sparkSession, 2 * pairs.count())
+    keyed, seed = _keyed_vertices(places, partitions, key)
+    links = pairs.select(*[key(F.col(end), seed).alias(end) for end in ("src", "dst")])
     votes = links.select(F.expr("stack(2, src, dst, dst, src) AS (sender, receiver)"))
-    state = places.select(F.col("place").alias("id"), F.col("place").alias("label"))
     with MessageRoutes(votes, rows_per_slice, weight="votes") as routes:
+        # Else each round that is planned before the edges are cached would lay them out again.
+        routes.edges.count()
+
+        def votes_of(senders: DataFrame, *more: str) -> DataFrame:
+            sent = routes.send(senders).withColumnRenamed("receiver", "id").select("id", "label", "votes", *more)
+            # Votes go both ways, so without hubs no vertex receives very many: one shuffle serves both
+            # groupings and leaves the labels where the edges of their vertices are.
+            return sent if routes.has_hubs else sent.repartition(partitions, "id")
+
+        alone = (F.count(F.lit(1)) == 1) & (F.max("sender") != F.max("receiver"))
+        leaves = routes.edges.groupBy(F.col("sender").alias("key")).agg(alone.alias("leaf"))
+        # `before` is the label of the last round but one, `held` the votes of the leaves at the vertex.
+        state = _filled(keyed.join(leaves, "key").select(
+            F.col("key").alias("id"), F.col("place").alias("label"), F.col("place").alias("before"),
+            F.lit(0).cast("bigint").alias("held"), "leaf"))
         for step in range(1, max_iter + 1):
-            sent = routes.send(state).select(F.col("receiver").alias("id"), "label", "votes")
-            if not routes.has_hubs:
-                # Votes go both ways, so no vertex receives very many: one shuffle serves both groupings.
-                sent = sent.repartition("id")
-            counts = sent.groupBy("id", "label").agg(F.sum("votes").alias("votes"))
-            best = F.min(F.struct(-F.col("votes"), F.col("label").alias("label"))).alias("best")
-            state = counts.groupBy("id").agg(best).select("id", F.col("best.label").alias("label"))
-            if step % ROUNDS_PER_CHECKPOINT == 0 or step == max_iter:
+            last = state
+            if step == 1:
+                sent = votes_of(last.select("id", "label", "leaf"), "leaf")
+                of_leaves = F.when(F.col("leaf"), F.col("votes")).otherwise(0)
+                counts = sent.groupBy("id", "label").agg(F.sum("votes").alias("votes"), F.sum(of_leaves).alias("held"))
+                best = F.min(F.struct(-F.col("votes"), F.col("label").alias("label"))).alias("best")
+                found = counts.groupBy("id").agg(best, F.sum("held").alias("held"))
+                state = last.select("id", F.col("label").alias("before"), "leaf").join(found, "id")
+            else:
+                sent = votes_of(last.filter(~F.col("leaf")).select("id", "label"))
+                counts = sent.groupBy("id", "label").agg(F.sum("votes").alias("votes"))
+                heard = last.join(counts.withColumnRenamed("label", "heard"), "id", "left")
+                all_votes = F.col("votes") + F.when(F.col("heard") == F.col("before"), F.col("held")).otherwise(0)
+                choice = F.struct((-all_votes).alias("votes"), F.col("heard").alias("label"))
+                best = F.min(F.when(F.col("heard").isNotNull(), choice)).alias("best")
+                kept = [F.first(c).alias(c) for c in ("label", "before", "held", "leaf")]
+                of_leaves = F.struct((-F.col("held")).alias("votes"), F.col("before").alias("label"))
+                state = heard.groupBy("id").agg(best, *kept).select(
+                    "id", F.col("label").alias("before"), "leaf", "held",
+                    F.least("best", F.when(F.col("held") > 0, of_leaves)).alias("best"))
+            state = state.select("id", F.col("best.label").alias("label"), "before", "held", "leaf")
+            if step % ROUNDS_PER_CHECKPOINT == 0 and step < max_iter:
                 state = cut_lineage(state)
-    of_label = places.select(F.col("place").alias("label"), F.col("id").alias("name"))
-    named = state.join(places.select(F.col("place").alias("id"), F.col("id").alias("own")), "id")
-    return sliced_join(named, of_label, "label", ["id"], rows_per_slice=rows_per_slice).select(
-        F.col("own").alias("id"), F.col("name").alias("label"))
+            state = _filled(state)
+            last.unpersist()
+        own = keyed.select(F.col("key").alias("id"), F.col("id").alias("own"))
+        found = state.join(own, "id").select(F.col("own").alias("id"), "label")
+        found = write_through(found, "labels", "zstd")
+        state.unpersist()
+    keyed.unpersist()
+    hot = hot_keys(found, "label", rows_per_slice)
+    names = copy_to_slices(places.select(F.col("place").alias("label"), F.col("id").alias("name")), hot, "label")
+    return spread_rows(found, hot, "label", ["id"]).join(names, ["label", SLICE]).select(
+        "id", F.col("name").alias("label"))
 
 
 def community_sizes(labels: DataFrame) -> DataFrame:

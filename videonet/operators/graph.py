@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from videonet.operators.degree import vertex_set
@@ -115,6 +115,11 @@ def enrich_metadata(
 EDGES_PER_PARTITION = 2_000_000
 
 
+def message_partitions(spark: SparkSession, num_edges: int) -> int:
+    """Partitions of the routes of so many edges."""
+    return max(spark.sparkContext.defaultParallelism, math.ceil(num_edges / EDGES_PER_PARTITION))
+
+
 class MessageRoutes:
     """Edges laid out once, for steps that send vertex state along them.
 
@@ -127,9 +132,7 @@ class MessageRoutes:
     """
 
     def __init__(self, edges: DataFrame, rows_per_slice: int = ROWS_PER_SLICE, weight: str | None = None):
-        partitions = max(
-            edges.sparkSession.sparkContext.defaultParallelism, math.ceil(edges.count() / EDGES_PER_PARTITION)
-        )
+        partitions = message_partitions(edges.sparkSession, edges.count())
         self._hot = hot_keys(edges, "sender", rows_per_slice)
         # Without hubs there is one slice only: partitioned by it too, the edges would be shuffled in each round,
         # as Spark leaves a constant out of the keys of a join.

@@ -11,6 +11,18 @@ from pyspark.sql import functions as F
 from videonet.session import write_through
 
 
+def hashed(vertex_id: Column, seed: int) -> Column:
+    """The 64-bit key of an id."""
+    return F.xxhash64(F.lit(seed), vertex_id)
+
+
+def stored_pairs(edges: DataFrame) -> DataFrame:
+    """The ends (src, dst) of all edges with both ends present, stored once."""
+    return write_through(
+        edges.select("src", "dst").filter(F.col("src").isNotNull() & F.col("dst").isNotNull()), "pairs", "zstd"
+    )
+
+
 class KeyedGraph:
     """Edges with both ends present, stored once, and a 64-bit key for each vertex.
 
@@ -19,10 +31,8 @@ class KeyedGraph:
     """
 
     def __init__(self, edges: DataFrame, key: Callable[[Column, int], Column] | None = None):
-        make = key or (lambda vertex_id, seed: F.xxhash64(F.lit(seed), vertex_id))
-        self.pairs = write_through(
-            edges.select("src", "dst").filter(F.col("src").isNotNull() & F.col("dst").isNotNull()), "pairs"
-        )
+        make = key or hashed
+        self.pairs = stored_pairs(edges)
         ends = self.pairs.select(F.expr("stack(2, src, 1L, dst, 0L) AS (id, out_edges)"))
         vertices = ends.groupBy("id").agg(F.sum("out_edges").alias("out_edges"))
         for seed in count():

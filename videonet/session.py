@@ -74,8 +74,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def write_through(df: DataFrame, name: str) -> DataFrame:
-    """A frame stored as a table in the shared folder, for several reads of some columns each."""
+def write_through(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """A frame stored as a table in the shared folder, for several reads of some columns each.
+
+    `codec` is the compression of its files, the session's where it is not given.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
