@@ -138,13 +138,18 @@ def community_summary(sizes: DataFrame) -> DataFrame:
     )
 
 
+def _videos_of(members: DataFrame, videos: DataFrame) -> DataFrame:
+    """The videos among the stored members; where these are few, Spark drops the others before it shuffles any."""
+    return videos.join(members.select("id"), "id", "left_semi")
+
+
 def community_categories(labels: DataFrame, videos: DataFrame, top: int = 5) -> DataFrame:
     """Videos per category in the `top` largest communities."""
     largest = community_sizes(labels).limit(top).select("label")
     # At most `top` rows.
-    members = labels.join(F.broadcast(largest), "label", "left_semi")
+    members = write_through(labels.join(F.broadcast(largest), "label", "left_semi"), "members", "zstd")
     return (
-        enrich_metadata(members, videos)
+        enrich_metadata(members, _videos_of(members, videos))
         .groupBy("label", "category")
         .agg(F.count(F.lit(1)).alias("num_videos"))
         .orderBy("label", F.desc("num_videos"), "category")
@@ -157,4 +162,5 @@ def community_members(
     """First members of the `top` largest communities with category and uploader."""
     largest = community_sizes(labels).limit(top).select("label")
     members = labels.join(F.broadcast(largest), "label", "left_semi")
-    return enrich_metadata(members.orderBy("label", "id").limit(limit), videos)
+    members = write_through(members.orderBy("label", "id").limit(limit), "members")
+    return enrich_metadata(members, _videos_of(members, videos))
