@@ -1,5 +1,7 @@
 """Graph algorithms against plain-Python answers, with and without sliced hubs."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,6 +175,51 @@ def test_rounds_shuffle_votes_only(spark, monkeypatch):
         assert "Join" in plan and plan.count("InMemoryTableScan") == 2 and "Exchange" not in plan
 
 
+def sparse_graph(n=60, seed=3):
+    """Short chains and small trees with some parallel edges, where labels swing between two states for some rounds."""
+    rng = random.Random(seed)
+    names = [f"v{i:03d}" for i in range(n)]
+    return [(rng.choice(names), rng.choice(names)) for _ in range(n - 10)] + [(names[0], names[1])] * 3 + LEAVES
+
+
+@pytest.mark.parametrize("rounds, rows_per_slice", [(3, SLICES[0]), (4, SLICES[1]), (5, SLICES[0]), (7, SLICES[0])])
+def test_labels_of_later_rounds(spark, rounds, rows_per_slice):
+    edges = sparse_graph()
+    got = communities.label_propagation(edge_frame(spark, edges), rounds, rows_per_slice)
+    assert as_dict(got) == helpers.labels(edges, rounds)
+
+
+def test_later_rounds_send_changed_votes_only(spark, monkeypatch):
+    """Votes for the label of two rounds before are not sent again, and what was heard then is not shuffled."""
+    edges, written, plans = sparse_graph(), [], []
+    write, fill = communities.write_through, communities._filled
+
+    def noted(df, name, *codec):
+        stored = write(df, name, *codec)
+        if name == "moved-votes":
+            written.append(stored.count())
+        return stored
+
+    def filled(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return fill(df)
+
+    monkeypatch.setattr(communities, "write_through", noted)
+    monkeypatch.setattr(communities, "_filled", filled)
+    communities.label_propagation(edge_frame(spark, edges), 6)
+    labels = [{v: v for v in helpers.nodes(edges)}] + [helpers.labels(edges, n) for n in range(1, 6)]
+    links = set(edges) | {(b, a) for a, b in edges}
+    others = {v: {b for a, b in links if a == v} for v in labels[0]}
+    leaves = {v for v, found in others.items() if len(found) == 1 and found != {v}}
+    moved = [
+        sum(a not in leaves and labels[n - 1][a] != labels[n - 3][a] for a, _ in links) for n in (3, 4, 5, 6)]
+    assert written == moved and moved[1] < sum(a not in leaves for a, _ in links) / 2
+    unions = [plan for plan in plans if "Union" in plan.split("InMemoryRelation")[0]]
+    assert len(unions) == 4
+    for plan in unions:
+        assert "Exchange" not in plan.split("Union")[0]
+
+
 def test_labels_where_keys_collide(spark):
     tried = []
 

@@ -115,9 +115,9 @@ def enrich_metadata(
 EDGES_PER_PARTITION = 2_000_000
 
 
-def message_partitions(spark: SparkSession, num_edges: int) -> int:
+def message_partitions(spark: SparkSession, num_edges: int, per_partition: int = EDGES_PER_PARTITION) -> int:
     """Partitions of the routes of so many edges."""
-    return max(spark.sparkContext.defaultParallelism, math.ceil(num_edges / EDGES_PER_PARTITION))
+    return max(spark.sparkContext.defaultParallelism, math.ceil(num_edges / per_partition))
 
 
 class MessageRoutes:
@@ -131,8 +131,11 @@ class MessageRoutes:
     out, so that all edges are shuffled once.
     """
 
-    def __init__(self, edges: DataFrame, rows_per_slice: int = ROWS_PER_SLICE, weight: str | None = None):
-        partitions = message_partitions(edges.sparkSession, edges.count())
+    def __init__(
+        self, edges: DataFrame, rows_per_slice: int = ROWS_PER_SLICE, weight: str | None = None,
+        per_partition: int = EDGES_PER_PARTITION,
+    ):
+        partitions = message_partitions(edges.sparkSession, edges.count(), per_partition)
         self._hot = hot_keys(edges, "sender", rows_per_slice)
         # Without hubs there is one slice only: partitioned by it too, the edges would be shuffled in each round,
         # as Spark leaves a constant out of the keys of a join.
