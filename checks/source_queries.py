@@ -11,12 +11,16 @@ from checks.registry import Data, query
 from videonet.functions import cleaning
 from videonet.operators import categories, degree, ingest
 from videonet.plans.jobs import ingest_crawls
-from videonet.session import scratch_path
+from videonet.session import cut_lineage, drop_shuffles, scratch_path
 from videonet.sources import catalog, crawl_files, sinks
-from videonet.streaming.incremental import stream_ingest
+from videonet.sources.views import raw_lines_at, raw_places
+from videonet.streaming.incremental import parts_of, stream_ingest
 
 # Raw lines that one task writes.
 LINES_PER_RANGE = 400_000
+# Raw lines are written in about so many goes, of so many lines at least.
+WRITES = 4
+LINES_PER_WRITE = 2_000_000
 LINE = ["crawl_id", "file_name", "block_start", "line_no"]
 
 
@@ -33,15 +37,27 @@ def stored(d: Data) -> catalog.Catalog:
     return tables
 
 
-def raw_files(d: Data) -> str:
-    """The raw lines as crawl directories with a log file each, below the scratch folder."""
+def raw_files(d: Data, codec: str | None = None) -> str:
+    """The raw lines as crawl directories with a log file each, below the scratch folder.
+
+    Rows are dealt out and sorted before the text of their lines is made, some crawls at a time where they are many.
+    `codec` is the compression of the files.
+    """
     path = scratch_path(d.spark, "raw")
     order = ["crawl_id", "file_name", "block_start", "line_no"]
-    # Ranges keep the order over file names and split a crawl over several files, as many as there are lines for.
-    ranges = max(8, math.ceil(d.table("lineitem").count() / LINES_PER_RANGE))
-    lines = d.lines.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    lines.select("crawl_id", "value").write.partitionBy("crawl_id").text(path)
-    logs = d.lines.groupBy("crawl_id").agg(F.count(F.lit(1)).alias("n")).select(
+    counts = cut_lineage(d.lines.groupBy("crawl_id").agg(F.count(F.lit(1)).alias("n")))
+    # One number per crawl.
+    found = {row.crawl_id: row.n for row in counts.collect()}
+    rows = raw_places(d.spark, d.sf_dir)
+    most = max(LINES_PER_WRITE, math.ceil(sum(found.values()) / WRITES))
+    for crawls in parts_of({crawl or "": n for crawl, n in found.items()}, most):
+        places = rows.filter(F.coalesce("crawl_id", F.lit("")).isin(crawls))
+        # Ranges keep the order over file names and split a crawl over several files, as many as there are lines for.
+        ranges = max(8, math.ceil(sum(found.get(c or None, 0) for c in crawls) / LINES_PER_RANGE))
+        places = places.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+        raw_lines_at(places).write.mode("append").partitionBy("crawl_id").text(path, compression=codec)
+        drop_shuffles(d.spark)
+    logs = counts.select(
         "crawl_id",
         F.concat_ws(
             "\n",
@@ -512,8 +528,9 @@ def run_stream_ingest(d):
 SELECT video_id, 'crawl_id=' || crawl_id AS crawl_id, views, rate, ratings FROM deduped""")
 def run_stream_dedupe(d):
     # A second run over the same directory must not add a record.
-    raw, base = raw_files(d), scratch_path(d.spark, "streamed")
+    raw, base = raw_files(d, "gzip"), scratch_path(d.spark, "streamed")
     for _ in range(2):
-        stream_ingest(d.spark, raw, base, scratch_path(d.spark, "stream")).awaitTermination()
+        checkpoint = scratch_path(d.spark, "stream")
+        stream_ingest(d.spark, raw, base, checkpoint, crawl_files.TEXT_OR_GZIP).awaitTermination()
     snapshots = catalog.Catalog(d.spark, base).load_table("video_snapshots")
     return snapshots.select("video_id", "crawl_id", "views", "rate", "ratings")

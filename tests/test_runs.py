@@ -1,5 +1,6 @@
 """Runs of ingest that are broken off, buckets of videos, and what is left behind."""
 
+import gzip
 import os
 import random
 
@@ -10,7 +11,10 @@ from pyspark.sql.readwriter import DataFrameWriter
 from tests.test_ingest import GOOD, LOG, line, related, tables, write
 from videonet.operators import ingest
 from videonet.plans.jobs import ingest_crawls
+from videonet.session import checkpoint_root
+from videonet.sources import crawl_files
 from videonet.sources.catalog import Catalog
+from videonet.streaming import incremental
 from videonet.streaming.incremental import stream_ingest
 
 
@@ -157,3 +161,72 @@ def test_only_named_partitions_are_read(spark, raw, tmp_path):
     for name in ("edges", "videos"):
         plan = Catalog(spark, base).load_table(name)._jdf.queryExecution().executedPlan().toString()
         assert "dynamicpruning" in plan
+
+
+def _scratch(spark):
+    root = checkpoint_root(spark).removeprefix("file:")
+    return {name for name in os.listdir(root) if name.startswith(("classified-", "records-", "new-"))}
+
+
+def test_a_stream_stores_a_batch_by_parts_and_leaves_no_scratch_tables(spark, raw, tmp_path, monkeypatch):
+    """All lines and records of a batch were stored at once, twice over, and stayed until the session ended."""
+    write(raw, "0303", "0.txt", line(category="Sport"), line(id="ccccccccccc"), line(length="x"), "  ", line(age="-1"))
+    monkeypatch.setattr(incremental, "PART_BYTES", 1)
+    monkeypatch.setattr(incremental, "PARTS", 1000)
+    stored, plain = [], ingest.first_records_of_lines
+
+    def seen(lines, known=None):
+        stored.append(sorted({r.crawl_id for r in lines.collect()}))
+        return plain(lines, known)
+
+    monkeypatch.setattr(ingest, "first_records_of_lines", seen)
+    before, base, whole = _scratch(spark), str(tmp_path / "tables"), str(tmp_path / "whole")
+    for i in range(2):  # with another checkpoint, so that all is read again
+        stream_ingest(spark, raw, base, str(tmp_path / f"checkpoint-{i}")).awaitTermination()
+        assert _scratch(spark) == before
+        if i == 0:
+            ingest_crawls(spark, raw, whole)
+            before = _scratch(spark)
+        assert _state(spark, base) == _state(spark, whole)
+    assert stored == [["0101"], ["0202"], ["0303"]] * 2
+
+
+def test_parts_hold_whole_crawls():
+    assert incremental.parts_of({"a": 3, "b": 2, "c": 9, "d": 0, "e": 4, "f": 2}, 5) == [["a", "b"], ["c"], ["d", "e"], ["f"]]
+    assert incremental.parts_of({"a": 0, "b": 0}, 0) == [["a", "b"]]
+    assert incremental.parts_of({}, 5) == []
+
+
+def test_a_batch_without_data_files_keeps_the_rejects(spark, raw, tmp_path):
+    base, checkpoint = str(tmp_path / "tables"), str(tmp_path / "checkpoint")
+    stream_ingest(spark, raw, base, checkpoint).awaitTermination()
+    before = _state(spark, base)
+    assert before["rejects"]
+    write(raw, "0101", "readme.txt", "about")
+    stream_ingest(spark, raw, base, checkpoint).awaitTermination()
+    assert _state(spark, base) == before
+
+
+def test_file_names_are_not_patterns(spark, raw, tmp_path):
+    write(raw, "0101", "[7] {a,b} c%41+?.txt", line(related(5), id="eeeeeeeeeee"))
+    base = str(tmp_path / "tables")
+    stream_ingest(spark, raw, base, str(tmp_path / "checkpoint")).awaitTermination()
+    videos = Catalog(spark, base).load_table("video_snapshots").filter("crawl_id = '0101'")
+    assert sorted(r.video_id for r in videos.collect()) == [GOOD[0], "bbbbbbbbbbb", "eeeeeeeeeee"]
+
+
+def test_compressed_files_are_read_where_asked_for(spark, raw, tmp_path):
+    plain, packed, base = (str(tmp_path / name) for name in ("plain", "packed", "tables"))
+    write(raw, "0101", "10.txt", line(views="9"), line(id="bbbbbbbbbbb", views="8"), line(id="fffffffffff"))
+    stream_ingest(spark, raw, plain, str(tmp_path / "c0")).awaitTermination()
+    for folder, _, names in os.walk(raw):
+        for name in names:
+            if name != "2.txt":
+                with open(f"{folder}/{name}", "rb") as text, gzip.open(f"{folder}/{name}.gz", "wb") as out:
+                    out.write(text.read())
+                os.remove(f"{folder}/{name}")
+    query = stream_ingest(spark, raw, packed, str(tmp_path / "c1"), crawl_files.TEXT_OR_GZIP)
+    query.awaitTermination()
+    assert _state(spark, packed) == _state(spark, plain)
+    stream_ingest(spark, raw, base, str(tmp_path / "c2")).awaitTermination()
+    assert [r["id"] for r in Catalog(spark, base).load_table("crawls").collect()] == ["0101"]

@@ -105,6 +105,22 @@ def first_records(classified: DataFrame) -> DataFrame:
     return records_of(kept, "copies").drop(*LINE_ORDER)
 
 
+def first_records_of_lines(lines: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """The first_records of unclassified lines, without those of `known` (crawl_id, video_id).
+
+    A good line travels as its text, which is shorter than its fields; what is left is split again.
+    """
+    video = cleaning.strip(F.col("fields").getItem(0)).alias("video_id")
+    first = classify_malformed(lines).filter(F.col("reason").isNull()).groupBy("crawl_id", video).agg(
+        F.min(F.struct(*LINE_ORDER, "value")).alias("first"), F.count(F.lit(1)).alias("copies"))
+    if known is not None:
+        first = first.join(known, ["crawl_id", "video_id"], "left_anti")
+    kept = first.select(
+        "crawl_id", *[F.col(f"first.{c}").alias(c) for c in (*LINE_ORDER, "value")],
+        F.lit(None).cast("string").alias("reason"), "copies")
+    return records_of(split_lines(kept), "copies").drop(*LINE_ORDER)
+
+
 def project_videos(records: DataFrame) -> DataFrame:
     return records.select(
         F.col("video_id").alias("id"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,9 @@ from videonet.operators.graph import build_graph
 from videonet.operators.influence import influence_report, pagerank
 from videonet.operators.metrics import run_measured
 from videonet.operators.patterns import motif_edge
-from videonet.session import build_session, cut_lineage, write_through
+from videonet.session import (
+    build_session, cut_lineage, delete_folder, drop_shuffles, scratch_path, scratch_paths, write_through,
+)
 from videonet.sources import crawl_files, sinks
 from videonet.sources.catalog import VIDEO_BUCKET_COUNT, Catalog
 
@@ -90,13 +93,30 @@ def store_records(
     catalog: Catalog, records: DataFrame, rejects: DataFrame, logs: DataFrame, force: bool = False,
     video_buckets: int = VIDEO_BUCKET_COUNT,
 ) -> int:
-    """Write deduplicated records and register their crawls, which makes them visible; returns the number of the run.
+    """Write deduplicated records and register their crawls, which makes them visible; returns the number of the run."""
+    def whole(known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        if known is None:
+            return records, rejects
+        return write_through(records.join(known, ["crawl_id", "video_id"], "left_anti"), "new-records"), rejects
+
+    return store_parts(catalog, [(None, whole)], logs, force, video_buckets)
+
+
+def store_parts(
+    catalog: Catalog, parts: list[tuple[list[str] | None, Callable[[DataFrame | None], tuple[DataFrame, DataFrame]]]],
+    logs: DataFrame, force: bool = False, video_buckets: int = VIDEO_BUCKET_COUNT,
+) -> int:
+    """Write deduplicated records, some crawls at a time, and register all crawls; returns the number of the run.
+
+    A part is the ids of its crawls (None for all) and a function that makes their
+    records and rejects. It gets the stored (crawl_id, video_id) of its crawls, or
+    None, and leaves those out. What was shuffled and stored for a part goes once it is written.
 
     Everything is written into partitions of this run, which no reader sees before
     the registry names them; the registry is written last, as a new version. So a
     run that fails anywhere, new, repeated or forced, leaves readers with what they
     had. A registered crawl keeps its runs and gains this one, with its new records
-    only. `rejects` are all rejected lines of the crawls. With `force` the new
+    only. The rejects are all rejected lines of the crawls. With `force` the new
     registry names nothing but this run.
 
     Of `videos` the buckets are merged and written that hold ids of this run.
@@ -108,19 +128,37 @@ def store_records(
     if force:
         registered = None
     registry = cut_lineage(_registry(ingest.crawl_registry(logs), registered, run))
-    if registered is not None:
-        again = registered.join(registry.select("id"), "id", "left_semi").select(F.col("id").alias("crawl_id"))
-        if not again.isEmpty():
-            known = catalog.load_table("video_snapshots").join(again, "crawl_id", "left_semi")
-            known = known.select("crawl_id", "video_id")
-            records = write_through(records.join(known, ["crawl_id", "video_id"], "left_anti"), "new-records")
-
-    for name, rows in (
-        ("rejected_lines", rejects), ("edges", ingest.explode_edges(records)),
-        ("video_snapshots", ingest.project_snapshots(records)),
-    ):
-        sinks.write_entities(rows.withColumn("run", F.lit(run).cast("bigint")), catalog.path(name))
-    version = _store_videos(catalog, records, registry, run, None if force else catalog.video_buckets(), video_buckets)
+    again = set()
+    if registered is not None:  # One id per crawl directory.
+        again = {row.id for row in registered.join(registry.select("id"), "id", "left_semi").select("id").collect()}
+    spark, videos = catalog.spark, scratch_path(catalog.spark, "new-videos")
+    try:
+        for crawls, make in parts:
+            mine = sorted(again if crawls is None else again.intersection(crawls))
+            known = None
+            if mine:
+                stored = catalog.load_table("video_snapshots").filter(F.col("crawl_id").isin(mine))
+                known = stored.select("crawl_id", "video_id")
+            with scratch_paths() as made:
+                try:
+                    records, rejects = make(known)
+                    for name, rows in (
+                        ("rejected_lines", rejects), ("edges", ingest.explode_edges(records)),
+                        ("video_snapshots", ingest.project_snapshots(records)),
+                    ):
+                        sinks.write_entities(rows.withColumn("run", F.lit(run).cast("bigint")), catalog.path(name))
+                    new = ingest.project_videos(records).withColumn("crawl", F.element_at("seen_in_crawls", 1))
+                    new = new.drop("seen_in_crawls")
+                    new.write.mode("append").parquet(videos)
+                finally:
+                    for folder in made:
+                        delete_folder(spark, folder)
+            drop_shuffles(spark)
+        new = spark.read.schema(new.schema).parquet(videos)
+        version = _store_videos(catalog, new, registry, run, None if force else catalog.video_buckets(), video_buckets)
+    finally:
+        delete_folder(spark, videos)
+    drop_shuffles(spark)
 
     rows = registry.withColumn("videos_version", F.lit(version).cast("bigint"))
     if registered is not None:
@@ -152,16 +190,14 @@ def _registry(rows: DataFrame, registered: DataFrame | None, run: int) -> DataFr
 
 
 def _store_videos(
-    catalog: Catalog, records: DataFrame, registry: DataFrame, run: int, current: DataFrame | None, buckets: int
+    catalog: Catalog, videos: DataFrame, registry: DataFrame, run: int, current: DataFrame | None, buckets: int
 ) -> int:
-    """Merge the records into the buckets of their ids; returns the version of the new list of buckets."""
+    """Merge the videos of a run into the buckets of their ids; returns the version of the new list of buckets."""
     if current is not None:
         buckets = current.agg(F.max("bucket")).first()[0] + 1
     numbers = registry.select(F.col("id").alias("crawl"), "number")
-    new = (
-        ingest.project_videos(records).withColumn("crawl", F.element_at("seen_in_crawls", 1)).drop("seen_in_crawls")
-        .join(numbers, "crawl").withColumn("bucket", ingest.bucket_of(F.col("id"), buckets))
-    )
+    # One row per crawl directory; shuffled by crawl, the videos of a large one would fill a task.
+    new = videos.join(F.broadcast(numbers), "crawl").withColumn("bucket", ingest.bucket_of(F.col("id"), buckets))
     this_run = F.lit(run).cast("bigint").alias("run")
     if current is None:
         old, named = None, catalog.spark.range(buckets).select(F.col("id").cast("int").alias("bucket"), this_run)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -68,6 +69,20 @@ def scratch_paths() -> Iterator[list[str]]:
         _GIVEN.reset(token)
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of queries that have ended.
+
+    It does so once the driver collects their handles, which may be long after the disk is full.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives lost executors and shortens the plan."""
     checkpoint_root(df.sparkSession)

@@ -7,27 +7,47 @@ from pyspark.sql import functions as F
 
 from videonet.functions.cleaning import is_integer, strip, to_long
 
+# Names of the files of a crawl: text, or text of which some may be compressed.
+TEXT_FILES = "*.txt"
+TEXT_OR_GZIP = "*.{txt,txt.gz}"
 # Fixed values.
 SKIPPED_FILES = ["log.txt", "readme.txt"]
 RAW_LOG_CHARS = 1000
+LINE_COLUMNS = {
+    "crawl_id": "string", "file_name": "string", "block_start": "bigint", "line_no": "bigint", "value": "string",
+}
 
 
 def _crawl_of(path: Column) -> Column:
-    return F.url_decode(F.element_at(F.split(path, "/"), -2))
+    """The name of a file's directory; only one that holds an escape is decoded, as this runs for every line."""
+    name = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.when(name.contains("%") | name.contains("+"), F.url_decode(name)).otherwise(name)
 
 
-def list_files(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """(crawl_id, path, file_name, size); reads no content."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.txt")
-        .load(f"{raw_dir}/*")
-        .select(
-            _crawl_of(F.col("_metadata.file_path")).alias("crawl_id"),
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_name").alias("file_name"),
-            F.col("_metadata.file_size").alias("size"),
-        )
+def _plain_name(name: Column) -> Column:
+    """The file name without the ending of a compressed file."""
+    return F.when(name.endswith(".gz"), F.left(name, F.length(name) - 3)).otherwise(name)
+
+
+def list_files(spark: SparkSession, raw_dir: str, names: str = TEXT_FILES) -> DataFrame:
+    """(crawl_id, path, file_name, size, location); reads no content."""
+    return _listed(spark.read.format("binaryFile").option("pathGlobFilter", names).load(f"{raw_dir}/*"))
+
+
+def stream_files(spark: SparkSession, raw_dir: str, names: str = TEXT_FILES) -> DataFrame:
+    """The same as a stream of the files that appear."""
+    # The only schema that files of this format have; a stream does not find it by itself.
+    files = spark.readStream.schema("path string, modificationTime timestamp, length bigint, content binary")
+    return _listed(files.format("binaryFile").option("pathGlobFilter", names).load(f"{raw_dir}/*"))
+
+
+def _listed(files: DataFrame) -> DataFrame:
+    return files.select(
+        _crawl_of(F.col("_metadata.file_path")).alias("crawl_id"),
+        F.col("_metadata.file_path").alias("path"),
+        _plain_name(F.col("_metadata.file_name")).alias("file_name"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("path").alias("location"),
     )
 
 
@@ -63,14 +83,17 @@ def with_line_order(text: DataFrame) -> DataFrame:
     return text.select(
         _crawl_of(F.col("_metadata.file_path")).alias("crawl_id"),
         F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_name").alias("file_name"),
+        _plain_name(F.col("_metadata.file_name")).alias("file_name"),
         F.col("_metadata.file_block_start").alias("block_start"),
         valid_text(F.col("value")).alias("value"),
     )
 
 
 def only_data_files(lines: DataFrame, logs: DataFrame) -> DataFrame:
-    """Drop log and readme files; a numbered file is data even if it was taken for the log."""
+    """Drop log and readme files; a numbered file is data even if it was taken for the log.
+
+    `lines` are lines or files.
+    """
     name = F.lower(F.url_decode("file_name"))
     numbered = F.regexp_replace(name, r"\.[^.]*$", "").rlike(r"^\p{Nd}+$")
     # One row per crawl directory.
@@ -83,6 +106,16 @@ def only_data_files(lines: DataFrame, logs: DataFrame) -> DataFrame:
     )
 
 
+def read_files(spark: SparkSession, locations: list[str]) -> DataFrame:
+    """Lines of the listed files with their order."""
+    if not locations:
+        return spark.range(0).select(
+            *[F.lit(None).cast(kind).alias(name) for name, kind in LINE_COLUMNS.items()])
+    # The names are those of files, not patterns.
+    text = spark.read.option("__globPaths__", "false").text(locations)
+    return with_line_order(text).withColumn("line_no", F.monotonically_increasing_id()).select(*LINE_COLUMNS)
+
+
 def read_raw_crawl(
     spark: SparkSession, raw_dir: str, crawl_ids: list[str] | None = None
 ) -> DataFrame:
@@ -97,10 +130,10 @@ def read_raw_crawl(
 
 
 def read_crawl_log(
-    spark: SparkSession, raw_dir: str, crawl_ids: list[str] | None = None
+    spark: SparkSession, raw_dir: str, crawl_ids: list[str] | None = None, names: str = TEXT_FILES
 ) -> DataFrame:
     """One row per crawl with the times and totals of its log; the last match of a kind wins."""
-    logs = choose_logs(list_files(spark, raw_dir))
+    logs = choose_logs(list_files(spark, raw_dir, names))
     if crawl_ids is not None:
         logs = logs.filter(F.col("crawl_id").isin(crawl_ids))
     # Only the chosen files are opened: one path per crawl directory.

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 VIDEOS_SQL = """
 SELECT 'v' || lpad(CAST(p_partkey AS STRING), 10, '0') AS id,
@@ -100,6 +101,28 @@ VIEWS = {
 SPARK_VIEWS = VIEWS | {"offer_edges": OFFER_EDGES_BY_RUNS_SQL}
 
 
+RAW_ROWS = "FROM lineitem JOIN part ON l_partkey = p_partkey"
+# The columns that the text of a raw line is made of.
+RAW_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate",
+    "p_brand", "p_type", "p_size",
+]
+
+
+def raw_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw lines by place, with what their text is made of instead of the text, which is longer."""
+    lineitem, part = (spark.read.parquet(f"{sf_dir}/{table}.parquet") for table in ("lineitem", "part"))
+    joined = RAW_ROWS.replace("lineitem", "{lineitem}").replace("part ON", "{part} ON")
+    text = RAW_LINES_SQL.replace(RAW_ROWS, f", {', '.join(RAW_COLUMNS)} {joined}")
+    return spark.sql(text, lineitem=lineitem, part=part).drop("value")
+
+
+def raw_lines_at(places: DataFrame) -> DataFrame:
+    """(crawl_id, value) of raw_places, in their order."""
+    text = RAW_LINES_SQL.replace(RAW_ROWS, ", crawl_id AS crawl FROM {places}")
+    return places.sparkSession.sql(text, places=places).select(F.col("crawl").alias("crawl_id"), "value")
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One derived table over the parquet files of a test directory."""
     text = re.sub(r"\b(FROM|JOIN) (lineitem|part)\b", r"\1 {\2}", SPARK_VIEWS[name])
